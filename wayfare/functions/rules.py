@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values: (upper edge, tier) in rising order; None stands for "no upper edge".
 HOTEL_TIERS = ((100, "BUDGET"), (200, "MIDRANGE"), (300, "UPSCALE"), (None, "LUXURY"))
 RESTAURANT_TIERS = ((10, "QUICK_SERVICE"), (45, "UPSCALE_CASUAL"), (None, "FINE_DINING"))
-HOTEL_SHARE = 0.7
+HOTEL_SHARE = "0.7"
 REAL_SHARE = 0.99
 
 RATING_TIERS = ((4.5, "EXCELLENT"), (3.5, "GOOD"), (2.5, "AVERAGE"), (None, "POOR"))
@@ -44,9 +46,11 @@ def rating_tier(rating: Column) -> Column:
     return chain
 
 
-def split_budget(budget: Column, share: float = HOTEL_SHARE) -> tuple[Column, Column]:
-    hotel = F.round(budget * share, 2)
-    return hotel, F.round(budget - hotel, 2)
+def split_budget(budget: Column, share: str = HOTEL_SHARE) -> tuple[Column, Column]:
+    """Hotel and restaurant part of a budget, in cents exactly."""
+    money = budget.cast("decimal(18,2)")
+    hotel = F.round(money * F.lit(Decimal(share)), 2)
+    return hotel.cast("double"), (money - hotel).cast("double")
 
 
 def synthetic_quota(n: Column, real_share: float = REAL_SHARE) -> Column:

@@ -17,6 +17,11 @@ BULLET = "•"
 SENTINEL = "￿"
 
 
+def strip(text: Column) -> Column:
+    """Without white space at both ends, line breaks included."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def first_match(text: Column, pattern: str, default: str = MISSING) -> Column:
     """First group of the pattern; ``default`` when nothing (or nothing but '') is found."""
     return F.coalesce(F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")), F.lit(default))
@@ -36,15 +41,15 @@ def review_id(url: Column) -> Column:
 
 def location_name(url: Column) -> Column:
     raw = F.regexp_extract(url, LOCATION_NAME, 1)
-    return F.coalesce(F.nullif(F.trim(F.replace(raw, F.lit("_"), F.lit(" "))), F.lit("")), F.lit(MISSING))
+    return F.coalesce(F.nullif(strip(F.replace(raw, F.lit("_"), F.lit(" "))), F.lit("")), F.lit(MISSING))
 
 
 def head_of(text: Column, separator: str = BULLET) -> Column:
-    return F.trim(F.split_part(text, F.lit(separator), F.lit(1)))
+    return strip(F.split_part(text, F.lit(separator), F.lit(1)))
 
 
 def strip_tags(html: Column) -> Column:
-    return F.trim(F.regexp_replace(html, "<[^>]*>", ""))
+    return strip(F.regexp_replace(html, "<[^>]*>", ""))
 
 
 def repair_json(reply: Column) -> Column:
@@ -64,7 +69,7 @@ def repair_json(reply: Column) -> Column:
 def json_or_text(reply: Column) -> Column:
     """The repaired reply if it parses, otherwise the trimmed repaired text."""
     repaired = repair_json(reply)
-    return F.when(is_json(repaired), repaired).otherwise(F.trim(repaired))
+    return F.when(is_json(repaired), repaired).otherwise(strip(repaired))
 
 
 def is_json(text: Column) -> Column:
