@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
+from pyspark.util import inheritable_thread_target
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ MIN_POINTS = 5
 RELATED_ABOVE = 0.3
 NOISE = -1
 
+PARALLEL_FITS = 4
+
 
 def candidate_counts(n: int) -> list[int]:
     """Cluster counts to try for ``n`` rows: about five steps between n/100 and min(n/10, 50)."""
@@ -39,24 +43,26 @@ def candidate_counts(n: int) -> list[int]:
 
 # -- fitting --------------------------------------------------------------------
 
-def _grid(df: DataFrame, make, counts: Sequence[int], seeds: Sequence[int]) -> tuple[DataFrame, list[dict]]:
-    """Best fit by silhouette over the grid, with the score of every fit."""
+def _grid(df: DataFrame, make, counts: Sequence[int], seeds: Sequence[int]) -> tuple[DataFrame | None, list[dict]]:
+    """Best fit by silhouette over the grid, with the score of every fit; a few fits run side by side."""
     data = df.withColumn("_f", array_to_vector("vector")).persist()
     evaluator = ClusteringEvaluator(featuresCol="_f", predictionCol="label", metricName="silhouette")
-    scores, best, best_score = [], None, float("-inf")
+
+    def fit(point):
+        k, seed = point
+        model = make(k, seed).setFeaturesCol("_f").setPredictionCol("label").fit(data)
+        if sum(size > 0 for size in model.summary.clusterSizes) < 2:
+            return None
+        return evaluator.evaluate(model.transform(data)), model, {"k": k, "seed": seed}
+
     try:
-        for k in counts:
-            for seed in seeds:
-                model = make(k, seed).setFeaturesCol("_f").setPredictionCol("label").fit(data)
-                if model.summary.k < 2 or sum(size > 0 for size in model.summary.clusterSizes) < 2:
-                    continue
-                score = evaluator.evaluate(model.transform(data))
-                scores.append({"k": k, "seed": seed, "silhouette": score})
-                if score > best_score:
-                    best, best_score = model, score
-        if best is None:
-            return None, scores
-        return best.transform(df.withColumn("_f", array_to_vector("vector"))).drop("_f"), scores
+        with ThreadPool(PARALLEL_FITS) as pool:
+            fits = [f for f in pool.map(inheritable_thread_target(data.sparkSession)(fit), [(k, s) for k in counts for s in seeds]) if f]
+        if not fits:
+            return None, []
+        _, model, _ = max(fits, key=lambda f: f[0])
+        labelled = model.transform(df.withColumn("_f", array_to_vector("vector"))).drop("_f")
+        return labelled, [{**point, "silhouette": score} for score, _, point in fits]
     finally:
         data.unpersist()
 

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from wayfare.functions import rules
 
-# Spark trims a ranked group inside each task, before the shuffle, up to this rank.
-GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
+# From this rank on a hot group is ranked in salted parts before it meets in one task.
+SALT_FROM = 100
 SALTS = 64
 
 
@@ -34,13 +34,13 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
 def cap_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str | None = None) -> DataFrame:
     """The first ``n`` rows of each group in ``order``, exactly.
 
-    Up to the group-limit threshold Spark drops rows ranked above ``n`` in each
-    task before shuffling. Past it the rows are ranked in salted sub-groups
-    first, which trims a hot group the same way.
+    Spark drops rows ranked above ``n`` in each task before shuffling, so a hot
+    group sends at most ``n`` rows per task. For a large ``n`` that is still
+    much for the one task that ranks the group, so the group is ranked in
+    salted parts first and ``n`` rows of each part go on.
     """
     name = rank or "_rank"
-    threshold = int(df.sparkSession.conf.get(GROUP_LIMIT_CONF, "1000"))
-    if n > threshold:
+    if n >= SALT_FROM:
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
         part = Window.partitionBy(*keys, "_salt").orderBy(*order)
         df = salted.withColumn("_part", F.row_number().over(part)).filter(F.col("_part") <= n).drop("_part", "_salt")
@@ -124,38 +124,57 @@ def place_statistics(review: DataFrame) -> DataFrame:
     )
 
 
-def location_statistics(df: DataFrame) -> DataFrame:
-    """Mean rating and rating count per (city, state); rows without either key are left out."""
-    return (
-        df.filter(F.col("city").isNotNull() & F.col("state").isNotNull())
-        .groupBy("city", "state")
-        .agg(F.avg("rating").alias("loc_avg_rating"), F.count("rating").alias("loc_review_count"))
-    )
+def location_statistics(review: DataFrame, place: DataFrame) -> DataFrame:
+    """Mean rating and rating count per (city, state); places without either key are left out.
 
+    Reviews shrink to one row per place before they meet the place table.
+    """
+    sums = review.groupBy("place_id").agg(F.sum("rating").alias("s"), F.count("rating").alias("n"))
+    located = place.filter(F.col("city").isNotNull() & F.col("state").isNotNull()).select("place_id", "city", "state")
+    return sums.join(located, "place_id").groupBy("city", "state").agg(
+        F.try_divide(F.sum("s"), F.sum("n")).alias("loc_avg_rating"), F.sum("n").alias("loc_review_count"))
 
-def with_location_statistics(df: DataFrame) -> DataFrame:
-    """Left join of the small group table back to the rows, with the log count."""
-    joined = df.join(location_statistics(df), ["city", "state"], "left")
+
+def with_location_statistics(place: DataFrame, review: DataFrame) -> DataFrame:
+    """Left join of the city table back to the places, with the log count."""
+    joined = place.join(location_statistics(review, place), ["city", "state"], "left")
     return (
         joined.withColumn("loc_avg_rating", F.coalesce("loc_avg_rating", F.lit(0.0)))
         .withColumn("loc_log_count", F.log1p(F.coalesce("loc_review_count", F.lit(0))))
     )
 
 
+def sentiment_by_category(review: DataFrame, place: DataFrame) -> DataFrame:
+    """Reviews of known places by category and sentiment.
+
+    Counts per place and rating are taken before the join, so the join moves a
+    few rows per place instead of every review.
+    """
+    per_place = review.filter(F.col("rating").isNotNull()).groupBy("place_id", "rating").agg(
+        F.count("*").alias("n"), F.sum("spend").alias("spend"))
+    joined = per_place.join(place.select("place_id", "primary_category"), "place_id")
+    return joined.groupBy("primary_category", rules.sentiment(F.col("rating")).alias("sentiment")).agg(
+        F.sum("n").alias("n_reviews"),
+        (F.sum(F.col("n") * F.col("rating")) / F.sum("n")).alias("mean_rating"),
+        F.sum("spend").alias("spend"),
+    )
+
+
 def reviews_between(review: DataFrame, start, end) -> DataFrame:
     return review.filter(F.col("published").between(start, end))
 
 
-def reviews_in_trip(trips: DataFrame, review_city: DataFrame) -> DataFrame:
+def reviews_in_trip(trips: DataFrame, review: DataFrame, place: DataFrame) -> DataFrame:
     """Reviews of a trip's city on the trip's days: count and mean rating per trip.
 
-    Reviews shrink to one row per city and day before the join; a trip opens
-    into its own days, so the range test becomes an equality join.
+    Reviews shrink to one row per place and day, then city and day, before the
+    trips join; a trip opens into its own days, so the range test becomes an
+    equality join.
     """
-    daily = (
-        review_city.groupBy("city", F.col("published").alias("date"))
-        .agg(F.count("*").alias("n"), F.sum("rating").alias("rating_sum"))
-    )
+    per_place = review.groupBy("place_id", F.col("published").alias("date")).agg(
+        F.count("*").alias("n"), F.sum("rating").alias("rating_sum"))
+    daily = per_place.join(place.select("place_id", "city"), "place_id").groupBy("city", "date").agg(
+        F.sum("n").alias("n"), F.sum("rating_sum").alias("rating_sum"))
     days = trips.select("request_id", "city", F.explode(F.sequence("start_date", "end_date")).alias("date"))
     return (
         days.join(daily, ["city", "date"])

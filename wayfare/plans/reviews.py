@@ -16,11 +16,8 @@ from wayfare.registry import query
     FROM review r JOIN place p ON r.place_id = p.place_id
     WHERE r.rating IS NOT NULL GROUP BY ALL""", ("place", "review"))
 def sentiment_join(t):
-    joined = t.review.filter(F.col("rating").isNotNull()).join(t.place, "place_id")
-    return joined.groupBy("primary_category", rules.sentiment(F.col("rating")).alias("sentiment")).agg(
-        F.count("*").alias("n_reviews"), F.round(F.avg("rating"), 6).alias("mean_rating"),
-        F.round(F.sum("spend"), 2).alias("spend"),
-    )
+    return R.sentiment_by_category(t.review, t.place).withColumn("mean_rating", F.round("mean_rating", 6)).withColumn(
+        "spend", F.round("spend", 2))
 
 
 @query("sentiment_case", """
@@ -51,13 +48,9 @@ def suffix_join(t):
            round(ln(1 + coalesce(c, 0)), 6) AS loc_log_count
     FROM place p LEFT JOIN loc ON p.city = loc.city AND p.state = loc.state""", ("place", "review"))
 def location_stats(t):
-    rated = t.review.select("place_id", "rating").join(t.place, "place_id")
-    joined = t.place.join(R.location_statistics(rated), ["city", "state"], "left")
-    return joined.select(
-        "place_id", "city", "state",
-        F.round(F.coalesce("loc_avg_rating", F.lit(0.0)), 6).alias("loc_avg_rating"), "loc_review_count",
-        F.round(F.log1p(F.coalesce("loc_review_count", F.lit(0))), 6).alias("loc_log_count"),
-    )
+    return R.with_location_statistics(t.place, t.review).select(
+        "place_id", "city", "state", F.round("loc_avg_rating", 6).alias("loc_avg_rating"), "loc_review_count",
+        F.round("loc_log_count", 6).alias("loc_log_count"))
 
 
 @query("place_statistics", "SELECT place_id, n, round(mean_rating, 6) AS mean_rating, weighted_rating, rating_tier, "
@@ -100,7 +93,7 @@ def date_range(t):
         .select(F.col("o_orderkey").alias("request_id"), "city", start.alias("start_date"),
                 F.date_add(start, (2 + F.col("o_orderkey") % 9).cast("int")).alias("end_date"))
     )
-    return R.reviews_in_trip(trips, t.review.join(t.place.select("place_id", "city"), "place_id"))
+    return R.reviews_in_trip(trips, t.review, t.place)
 
 
 @query("review_counts", "SELECT place_id, count(*) AS review_count FROM review GROUP BY place_id", ("review",))
