@@ -24,8 +24,9 @@ _RIGHT = "_right_"
 
 def block_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ids: tuple[str, str],
                fn: Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str,
-               rows: int = BLOCK_ROWS) -> DataFrame:
+               rows: int | None = None) -> DataFrame:
     """``fn(key values, left block, right block)`` for every pair of blocks with equal ``keys``."""
+    rows = rows or BLOCK_ROWS
     keys = list(keys)
     if not keys:
         keys = [_ALL]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.operators.blocks import BLOCK_ROWS, block_join, matrix, unit_rows
+from wayfare.operators.blocks import block_join, matrix, unit_rows
 from wayfare.operators.features import mean_vector
 from wayfare.operators.reviews import cap_per_group
 
@@ -77,7 +77,7 @@ def few_queries(queries: DataFrame, limit: int = FEW_QUERIES, most_bytes: int =
     return 0 < n <= limit and n * width * 8 <= most_bytes
 
 
-def top_k(queries: DataFrame, corpus: DataFrame, filters: Sequence[str], k: int = TOP_K, rows: int = BLOCK_ROWS,
+def top_k(queries: DataFrame, corpus: DataFrame, filters: Sequence[str], k: int = TOP_K, rows: int | None = None,
           few: int = FEW_QUERIES) -> DataFrame:
     """The ``k`` most similar corpus rows per query among those with equal filter values (cosine, exact).
 
