@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 2048
-_ALL = "_all"
 _RIGHT = "_right_"
 
 
@@ -28,24 +27,24 @@ def block_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ids: tupl
     """``fn(key values, left block, right block)`` for every pair of blocks with equal ``keys``."""
     rows = rows or BLOCK_ROWS
     keys = list(keys)
-    if not keys:
-        keys = [_ALL]
-        left, right = left.withColumn(_ALL, F.lit(0)), right.withColumn(_ALL, F.lit(0))
-    n_left, n_right = _blocks(left, keys, "_nl", rows), _blocks(right, keys, "_nr", rows)
-    sizes = n_left.join(n_right, keys)
+    n_keys = len(keys)
+    if keys:
+        sizes = _blocks(left, keys, "_nl", rows).join(_blocks(right, keys, "_nr", rows), keys)
+        left, right = left.join(sizes, keys), right.join(sizes, keys)
+    else:
+        n_left, n_right = (df.agg(_n_blocks(rows)).scalar() for df in (left, right))
+        left, right = (df.withColumn("_nl", n_left).withColumn("_nr", n_right) for df in (left, right))
+    number = F.lit(0).cast("long")
     placed_left = (
-        left.join(sizes, keys)
-        .withColumn("_lb", F.pmod(F.xxhash64(ids[0]), "_nl"))
-        .withColumn("_rb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nr") - 1))).drop("_nl", "_nr")
+        left.withColumn("_lb", F.pmod(F.xxhash64(ids[0]), "_nl"))
+        .withColumn("_rb", F.explode(F.sequence(number, F.greatest(F.col("_nr") - 1, number)))).drop("_nl", "_nr")
     )
     placed_right = (
-        right.join(sizes, keys)
-        .withColumn("_rb", F.pmod(F.xxhash64(ids[1]), "_nr"))
-        .withColumn("_lb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nl") - 1))).drop("_nl", "_nr")
+        right.withColumn("_rb", F.pmod(F.xxhash64(ids[1]), "_nr"))
+        .withColumn("_lb", F.explode(F.sequence(number, F.greatest(F.col("_nl") - 1, number)))).drop("_nl", "_nr")
     )
     # Own names on the right keep a set compared with itself apart from itself.
     placed_right = placed_right.select(*[F.col(c).alias(_RIGHT + c) for c in placed_right.columns])
-    n_keys = len(keys) if keys != [_ALL] else 0
 
     def one_pair(key, l, r):
         if len(l) == 0 or len(r) == 0:
@@ -57,8 +56,12 @@ def block_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ids: tupl
     return placed_left.groupBy(*by).cogroup(placed_right.groupBy(*[_RIGHT + c for c in by])).applyInPandas(one_pair, schema)
 
 
+def _n_blocks(rows: int):
+    return F.ceil(F.count("*") / F.lit(rows)).cast("long")
+
+
 def _blocks(df: DataFrame, keys: list[str], name: str, rows: int) -> DataFrame:
-    return df.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(rows)).cast("long").alias(name))
+    return df.groupBy(*keys).agg(_n_blocks(rows).alias(name))
 
 
 def matrix(column: pd.Series) -> np.ndarray:

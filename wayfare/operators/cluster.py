@@ -232,6 +232,13 @@ def dbscan(df: DataFrame, eps: float = EPS, min_points: int = MIN_POINTS) -> Dat
 
 # -- scores (per method; df has id, method, label, vector) ---------------------------
 
+def with_groupings(df: DataFrame, groupings: dict[str, str]) -> DataFrame:
+    """Several clusterings of the same rows in long form: method -> label expression, from one scan."""
+    pairs = F.array(*[F.struct(F.lit(m).alias("method"), F.expr(e).cast("long").alias("label")) for m, e in groupings.items()])
+    rest = [c for c in df.columns if c not in ("method", "label")]
+    return df.withColumn("_g", F.explode(pairs)).select("_g.method", "_g.label", *rest)
+
+
 def centroids(df: DataFrame) -> DataFrame:
     kept = df.filter(F.col("label") >= 0)
     return mean_vector(kept, ["method", "label"], "vector", "centroid")

@@ -43,7 +43,6 @@ WEEKS = r"([0-9]+)\s+weeks?"
 START = r"(?:from|start on|starting)\s+([0-9]{4}-[0-9]{2}-[0-9]{2})"
 END = r"(?:until|end on|ending)\s+([0-9]{4}-[0-9]{2}-[0-9]{2})"
 WORD = r"[\p{L}\p{N}_]+"
-MAX_NAME_WORDS = 3
 
 
 def is_travel(text: Column) -> Column:
@@ -72,18 +71,21 @@ def entities(requests: DataFrame, cities: DataFrame, key: str = "request_id") ->
 def named_cities(requests: DataFrame, cities: DataFrame, key: str) -> DataFrame:
     """First city name a request mentions.
 
-    Every run of one to three words is looked up by equality, the longer run
-    winning at one place, so the work follows the text and not texts x cities.
+    Every run of words up to the length of the longest name is looked up by
+    equality, the longer run winning at one place, so the work follows the text
+    and not texts x cities.
     """
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    runs = requests.select(key, words.alias("w")).select(key, F.posexplode(F.transform(
-        "w", lambda _, i: F.transform(
-            F.sequence(F.lit(1), F.least(F.lit(MAX_NAME_WORDS), F.size("w") - i)),
-            lambda n: F.lower(F.array_join(F.slice("w", i + 1, n), " ")),
-        ))).alias("at", "run"))
-    runs = runs.select(key, "at", F.posexplode("run").alias("more", "name_key"))
     names = cities.select("city").distinct().select("city", F.lower("city").alias("name_key"))
-    found = runs.join(names, "name_key").withColumn("shorter", -F.col("more"))
+    longest = names.agg(F.max(F.size(F.split("name_key", " ")))).scalar()
+    words = F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))
+    runs = F.transform(
+        "w", lambda word, i: F.when(F.col("longest") > 1, F.transform(
+            F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.col("longest"), F.size("w") - i))),
+            lambda n: F.array_join(F.slice("w", i + 1, n), " "),
+        )).otherwise(F.array(word)))
+    opened = requests.select(key, words.alias("w"), longest.alias("longest")).select(key, F.posexplode(runs).alias("at", "runs"))
+    opened = opened.select(key, "at", F.posexplode("runs").alias("more", "name_key"))
+    found = opened.join(names, "name_key").withColumn("shorter", -F.col("more"))
     first = first_per_key(found.select(key, "at", "shorter", "city"), [key], ["at", "shorter", "city"])
     return first.select(key, F.col("city").alias("location"))
 
@@ -115,7 +117,9 @@ def refine_terms(requests: DataFrame, key: str = "request_id") -> DataFrame:
     The edit distance is taken once per distinct word, not once per mention.
     """
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)))
-    mentions = requests.select(key, F.explode(words).alias("word"))
+    terms = sorted({term for term, _, _ in TERMS})
+    mentions = requests.select(key, F.explode(words).alias("word")).filter(
+        F.col("word").isin(*terms) | (F.length("word") >= TERM_LENGTH))
     meaning = mentions.select("word").distinct().select("word", nearest_term(F.col("word")).alias("term"))
     values = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(k).alias("kind"), F.lit(v).alias("value")) for t, k, v in TERMS])
     meant = meaning.filter(F.col("term").isNotNull()).select(

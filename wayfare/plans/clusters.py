@@ -14,10 +14,10 @@ DIM = 64
 REDUCED = 16
 
 
-def points(t, method="given", label="label"):
-    return t.table("embeddings").select(
-        F.lit(method).alias("method"), F.col("vec_id").alias("id"), F.expr(label).cast("long").alias("label"),
-        F.col("embedding").cast("array<double>").alias("vector"))
+def points(t, groupings=None):
+    rows = t.table("embeddings").select(
+        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vector"), "label")
+    return C.with_groupings(rows, groupings or {"given": "label"})
 
 
 _POINTS = """
@@ -87,9 +87,7 @@ _METHODS = """
            method = (SELECT method FROM sil ORDER BY round(value, 6) DESC, method LIMIT 1) AS is_best FROM sil""")
 def model_select(t):
     """Three groupings of the same vectors scored side by side; the best is marked."""
-    groupings = (
-        points(t).unionByName(points(t, "halves", "label div 5"))
-        .unionByName(points(t, "signs", "cast(embedding[0] > 0 as int)")))
+    groupings = points(t, {"given": "label", "halves": "label div 5", "signs": "int(vector[0] > 0)"})
     scored = C.silhouette_squared(groupings).withColumn("silhouette_squared", F.round("silhouette_squared", 6))
     return C.best_method(scored, "silhouette_squared")
 

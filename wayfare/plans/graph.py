@@ -113,8 +113,8 @@ _CENTROID_PAIRS = """
 @query("related_clusters", f"SELECT * FROM ({_CENTROID_PAIRS}) WHERE similarity > 0.05", ("centroid",))
 def related_clusters(t):
     """The centroids of the given clusters are nearly orthogonal, so the cut is lowered from 0.3 to show pairs."""
-    vectors = t.review_vector.select(F.lit("given").alias("method"), "label", "vector", "place_id").join(
-        t.place_stats.select("place_id"), "place_id", "left_semi")
+    placed = t.review_vector.join(t.place_stats.select("place_id"), "place_id", "left_semi")
+    vectors = C.with_groupings(placed.select("label", "vector"), {"given": "label"})
     return C.related(vectors, above=0.05).withColumn("similarity", F.round("similarity", 6))
 
 

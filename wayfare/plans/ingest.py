@@ -32,31 +32,31 @@ def scan_projected(t):
 
 def raw_reviews(t):
     """Nested review documents made of reviews, places and users; parts are missing on purpose."""
-    review = t.review.select("review_id", "order_no", "line_no", "place_id", "user_id", "rating", "published", "trip_type", "spend")
-    joined = review.join(t.place.select("place_id", "name", "city", "state", "country", "price"), "place_id")
+    nothing = F.lit(None).cast("string")
+    line = F.col("line_no")
     subratings = F.slice(F.transform(
-        F.sequence(F.lit(1), F.col("line_no")),
+        F.sequence(F.lit(1), line),
         lambda i: F.struct(F.concat(F.lit("aspect"), i.cast("string")).alias("name"),
                            ((F.col("rating") + i) % 5 + 1).cast("string").alias("value")),
     ), 1, 8)
-    return joined.select(
-        F.col("review_id").alias("id"), F.col("place_id").alias("locationId"),
+    written = t.review_spread.select(
+        F.col("review_id").alias("id"), "place_id", line,
         F.date_format("published", "yyyy-MM-dd").alias("publishedDate"),
-        F.when(F.col("line_no") != 2, F.date_format("published", "yyyy-MM")).alias("travelDate"),
+        F.when(line != 2, F.date_format("published", "yyyy-MM")).alias("travelDate"),
         F.col("rating").cast("string").alias("rating"), F.lit("good, \"quiet\"\nplace").alias("text"),
         F.col("spend").cast("string").alias("title"), F.col("trip_type").alias("tripType"),
-        F.lit(None).cast("string").alias("url"), F.lit("en").alias("lang"),
-        F.when(F.col("line_no") != 3, F.struct(
-            "name", F.col("price").cast("string").alias("rating"), F.lit("1.5").alias("latitude"),
-            F.lit("bad").alias("longitude"),
-            F.struct("city", "country", F.lit(None).cast("string").alias("postalcode"), "state",
-                     F.lit(None).cast("string").alias("street1"), F.lit(None).cast("string").alias("street2")).alias("addressObj"),
-        )).alias("placeInfo"),
-        F.when(F.col("line_no") != 4, F.struct(
-            F.lit(None).cast("string").alias("link"), F.lit("u").alias("name"), F.col("user_id").alias("userId"),
+        nothing.alias("url"), F.lit("en").alias("lang"),
+        F.when(line != 4, F.struct(
+            nothing.alias("link"), F.lit("u").alias("name"), F.col("user_id").alias("userId"),
             F.concat(F.lit("user"), F.col("user_id")).alias("username"))).alias("user"),
-        F.when(F.col("line_no") != 1, subratings).alias("subratings"),
+        F.when(line != 1, subratings).alias("subratings"),
     )
+    info = t.place.select("place_id", F.struct(
+        "name", F.col("price").cast("string").alias("rating"), F.lit("1.5").alias("latitude"), F.lit("bad").alias("longitude"),
+        F.struct("city", "country", nothing.alias("postalcode"), "state", nothing.alias("street1"), nothing.alias("street2")).alias("addressObj"),
+    ).alias("info"))
+    return written.join(info, "place_id").withColumn("placeInfo", F.when(line != 3, F.col("info"))).withColumnRenamed(
+        "place_id", "locationId").drop("info", "line_no")
 
 
 _FLAT = """
@@ -129,7 +129,7 @@ def scan_json_envelope(t):
 
     path = scratch_path(t.spark, "envelopes")
     data = F.transform(F.sequence(F.lit(1), 1 + F.col("line_no") % 3), row)
-    writers.write_json(t.review.select(data.alias("data")), path)
+    writers.write_json(t.review_spread.select(data.alias("data")), path)
     rows = readers.read_envelope(t.spark, path, schemas.LOCATION_REVIEW_RAW)
     return ingest.location_reviews(rows).select(
         "review_id", "location_id", "rating", "travel_date", "user_name", "user_location")
@@ -148,7 +148,7 @@ def scan_jsonl_typed(t):
 def messy_rows(t):
     """Reviews as text with markers, quotes, line breaks and bad numbers in known places."""
     line = F.col("line_no")
-    return t.review.select(
+    return t.review_spread.select(
         "review_id",
         F.when(line == 1, F.lit("NULL")).when(line == 2, F.lit("null")).when(line == 3, F.lit("")).otherwise(F.col("place_id")).alias("place_id"),
         F.when(line == 4, F.lit("four")).otherwise(F.col("rating").cast("string")).alias("rating"),

@@ -102,10 +102,10 @@ def insert_select(t):
     SELECT review_id, CASE WHEN line_no <= 3 THEN NULL ELSE place_id END AS place_id, rating, published,
            concat('said "a, b"', chr(10), 'and ', trip_type) AS text, spend FROM review WHERE line_no NOT IN (4, 5)""", ("review",))
 def load_with_rejects(t):
-    path, good, rejects = (scratch_path(t.spark, n) for n in ("load", "good", "rejects"))
-    writers.write_delimited(messy_rows(t), path)
-    writers.load_table(readers.read_delimited(t.spark, path, list(MESSY_SPEC)), MESSY_SPEC, good, rejects)
-    return t.spark.read.parquet(good)
+    source, target = scratch_path(t.spark, "load"), scratch_path(t.spark, "loaded")
+    writers.write_delimited(messy_rows(t), source)
+    writers.load_table(readers.read_delimited(t.spark, source, list(MESSY_SPEC)), MESSY_SPEC, target)
+    return writers.loaded_rows(t.spark, target, MESSY_SPEC)
 
 
 @query("load_rejects", """

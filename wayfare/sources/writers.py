@@ -13,6 +13,7 @@ from wayfare.operators.reviews import last_per_key
 
 # A text file with quoted line breaks is read in one piece, so files stay this small.
 ROWS_PER_TEXT_FILE = 500_000
+GOOD, REJECTED = "good", "rejected"
 
 
 def write_delimited(df: DataFrame, path: str, columns: Sequence[str] | None = None, header: bool = True,
@@ -96,11 +97,24 @@ def rejected_rows(checked: DataFrame) -> DataFrame:
     return checked.filter(F.size("_rejected") > 0).select("_raw.*", "_rejected")
 
 
-def load_table(raw: DataFrame, spec: dict[str, str], good_path: str, rejects_path: str) -> None:
-    """Tolerant bulk load: rows that fit go to one table, the others to the next with the reason."""
+def load_table(raw: DataFrame, spec: dict[str, str], path: str, mode: str = "append") -> None:
+    """Tolerant bulk load in one pass over the source.
+
+    Rows that fit their types and rows that do not land in two folders of one
+    table; a rejected row keeps its text and the names of the columns at fault.
+    """
     checked = split_rejects(raw, spec)
-    good_rows(checked).write.mode("append").parquet(good_path)
-    rejected_rows(checked).write.mode("append").parquet(rejects_path)
+    status = F.when(F.size("_rejected") > 0, REJECTED).otherwise(GOOD)
+    kept_text = F.when(F.size("_rejected") > 0, F.col("_raw"))
+    checked.withColumn("_raw", kept_text).withColumn("load_status", status).write.mode(mode).partitionBy("load_status").parquet(path)
+
+
+def loaded_rows(spark: SparkSession, path: str, spec: dict[str, str]) -> DataFrame:
+    return spark.read.parquet(path).filter(F.col("load_status") == GOOD).select(*spec)
+
+
+def loaded_rejects(spark: SparkSession, path: str) -> DataFrame:
+    return rejected_rows(spark.read.parquet(path).filter(F.col("load_status") == REJECTED))
 
 
 def upsert(stored: DataFrame, incoming: DataFrame, keys: Sequence[str], version: str) -> DataFrame:

@@ -38,6 +38,17 @@ class Travel:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """The table over at least as many tasks as there are cores.
+
+        A small file in one row group reads as one task; for work that is heavy
+        per row it is dealt out first. A large table has more tasks than cores
+        and stays as it is.
+        """
+        table = self.table(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
     @cached_property
     def cities(self) -> DataFrame:
         nation = self.table("nation")
@@ -66,7 +77,16 @@ class Travel:
 
     @cached_property
     def review(self) -> DataFrame:
-        return self.table("lineitem").select(
+        return self.review_of(self.table("lineitem"))
+
+    @cached_property
+    def review_spread(self) -> DataFrame:
+        """The reviews dealt out for work that is heavy per row."""
+        return self.review_of(self.spread("lineitem"))
+
+    @staticmethod
+    def review_of(lines: DataFrame) -> DataFrame:
+        return lines.select(
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("review_id"),
             F.col("l_orderkey").alias("order_no"),
             F.col("l_linenumber").alias("line_no"),
@@ -137,7 +157,7 @@ class Travel:
             part(F.col("o_orderkey") % 7 != 0, F.lit(" with $"), F.floor(F.col("o_totalprice") / 1000).cast("string")),
             taste,
         )
-        orders = self.table("orders")
+        orders = self.spread("orders")
         customer = self.table("customer")
         nation = self.table("nation")
         return (
