@@ -95,6 +95,18 @@ def route_places(raw: DataFrame) -> dict[str, DataFrame]:
     return {table: place_family(raw, kind) for kind, (table, _) in schemas.PLACE_FAMILIES.items()}
 
 
+def tagged_places(raw: DataFrame) -> DataFrame:
+    """All three families in one pass, tagged with their table; columns of other families are null."""
+    tests = {table: F.col("type") == kind for kind, (table, _) in schemas.PLACE_FAMILIES.items()}
+    table = F.coalesce(*[F.when(test, F.lit(name)) for name, test in tests.items()])
+    columns = [casts.CASTS[of](F.col(field)).alias(name) for field, (name, of) in schemas.PLACE_BASE.items()]
+    for kind, (owner, fields) in schemas.PLACE_FAMILIES.items():
+        for field, (name, of) in fields.items():
+            value = joined_list(F.col(field)) if of == "list" else casts.CASTS[of](F.col(field))
+            columns.append(F.when(tests[owner], value).alias(name))
+    return raw.filter(F.col("type").isin(*schemas.PLACE_FAMILIES)).select(*columns, table.alias("category"))
+
+
 def ingest_options(df: DataFrame, language: str, location: str, order: Sequence[Column],
                    languages: Sequence[str] = LANGUAGES, limit: int = ROWS_PER_LOCATION) -> DataFrame:
     """Wanted languages, at most ``limit`` rows per location."""

@@ -167,14 +167,13 @@ def reviews_between(review: DataFrame, start, end) -> DataFrame:
 def reviews_in_trip(trips: DataFrame, review: DataFrame, place: DataFrame) -> DataFrame:
     """Reviews of a trip's city on the trip's days: count and mean rating per trip.
 
-    Reviews shrink to one row per place and day, then city and day, before the
-    trips join; a trip opens into its own days, so the range test becomes an
-    equality join.
+    Reviews shrink to one row per city and day before the trips join; a trip
+    opens into its own days, so the range test becomes an equality join.
     """
-    per_place = review.groupBy("place_id", F.col("published").alias("date")).agg(
-        F.count("*").alias("n"), F.sum("rating").alias("rating_sum"))
-    daily = per_place.join(place.select("place_id", "city"), "place_id").groupBy("city", "date").agg(
-        F.sum("n").alias("n"), F.sum("rating_sum").alias("rating_sum"))
+    daily = (
+        review.select("place_id", "published", "rating").join(place.select("place_id", "city"), "place_id")
+        .groupBy("city", F.col("published").alias("date")).agg(F.count("*").alias("n"), F.sum("rating").alias("rating_sum"))
+    )
     days = trips.select("request_id", "city", F.explode(F.sequence("start_date", "end_date")).alias("date"))
     return (
         days.join(daily, ["city", "date"])
@@ -196,29 +195,25 @@ def without_noise(df: DataFrame) -> DataFrame:
     return df.filter(F.col("label") >= 0)
 
 
-def cluster_numbers(df: DataFrame) -> DataFrame:
-    """Rating statistics per cluster; a one-row cluster has standard deviation 0.
+def cluster_facets(df: DataFrame) -> DataFrame:
+    """One row per cluster and facet: entropy, number of values, dominant value, and rating sums.
 
-    The exact median keeps a histogram of the distinct ratings, a handful of values.
+    A single pass over the reviews: they shrink to (cluster, facet, value)
+    counts with rating sums, and everything in the profile comes from those.
     """
-    return without_noise(df).groupBy(*PROFILE_KEYS).agg(
-        F.count("*").alias("size"),
-        F.avg("rating").alias("mean_rating"),
-        F.percentile(F.col("rating"), F.lit(0.5)).alias("median_rating"),
-        F.coalesce(F.stddev_samp("rating"), F.lit(0.0)).alias("std_rating"),
-        F.min("rating").alias("min_rating"),
-        F.max("rating").alias("max_rating"),
-        F.avg("weighted_rating").alias("weighted_avg"),
-    )
-
-
-def cluster_facets(df: DataFrame) -> DataFrame:
-    """Entropy, number of values and dominant value of each facet, one row per cluster and facet."""
-    counts = facet_counts(without_noise(df), PROFILE_KEYS, PROFILE_FACETS)
-    return counts.groupBy(*PROFILE_KEYS, "facet").agg(
-        entropy(F.col("n")).alias("entropy"),
-        F.count("*").alias("n_values"),
-        dominant(F.col("value"), F.col("n")).alias("dominant"),
+    facets = {**PROFILE_FACETS, "rating": "rating"}
+    pairs = ", ".join(f"'{facet}', cast({column} as string)" for facet, column in facets.items())
+    long = without_noise(df).select(
+        *PROFILE_KEYS, F.col("rating").cast("double").alias("r"), F.col("weighted_rating").alias("w"),
+        F.expr(f"stack({len(facets)}, {pairs}) as (facet, value)"))
+    cells = long.filter(F.col("value").isNotNull()).groupBy(*PROFILE_KEYS, "facet", "value").agg(
+        F.count("*").alias("n"), F.count("r").alias("rated"), F.sum("r").alias("s"), F.sum(F.col("r") * F.col("r")).alias("q"),
+        F.min("r").alias("low"), F.max("r").alias("high"), F.sum("w").alias("w"), F.count("w").alias("weighted"))
+    return cells.groupBy(*PROFILE_KEYS, "facet").agg(
+        entropy(F.col("n")).alias("entropy"), F.count("*").alias("n_values"), dominant(F.col("value"), F.col("n")).alias("dominant"),
+        F.sum("n").alias("size"), F.sum("rated").alias("rated"), F.sum("s").alias("s"), F.sum("q").alias("q"),
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("w").alias("w"), F.sum("weighted").alias("weighted"),
+        F.percentile(F.col("value").try_cast("double"), F.lit(0.5), F.col("n")).alias("median"),
     )
 
 
@@ -231,16 +226,34 @@ def facet_columns(facets: DataFrame, wanted: dict[str, tuple[str, str]]) -> Data
 
 
 def cluster_profile(df: DataFrame) -> DataFrame:
-    facets = facet_columns(cluster_facets(df), {
+    """Rating statistics, dominant values, distinct counts and entropies per cluster.
+
+    Every review has a sentiment, so the sentiment facet carries the cluster's
+    totals. A one-row cluster has standard deviation 0.
+    """
+    base = {m: ("sentiment", m) for m in ("size", "rated", "s", "q", "low", "high", "w", "weighted")}
+    wide = facet_columns(cluster_facets(df), {
+        **base, "median_rating": ("rating", "median"),
         "category_entropy": ("category", "entropy"), "dominant_category": ("category", "dominant"),
         "sentiment_entropy": ("sentiment", "entropy"), "dominant_sentiment": ("sentiment", "dominant"),
         "dominant_tier": ("tier", "dominant"),
         "n_city": ("city", "n_values"), "top_city": ("city", "dominant"), "city_entropy": ("city", "entropy"),
         "n_state": ("state", "n_values"), "top_state": ("state", "dominant"),
         "n_country": ("country", "n_values"), "top_country": ("country", "dominant"),
+        "n_category": ("category", "n_values"), "n_sentiment": ("sentiment", "n_values"),
         "n_attraction": ("attraction", "n_values"),
     })
-    return cluster_numbers(df).join(facets, list(PROFILE_KEYS))
+    spread = F.greatest(F.lit(0.0), F.col("q") - F.col("s") * F.col("s") / F.col("rated"))
+    numbers = {
+        "size": F.col("size"),
+        "mean_rating": F.try_divide(F.col("s"), F.col("rated")),
+        "median_rating": F.col("median_rating"),
+        "std_rating": F.coalesce(F.sqrt(F.try_divide(spread, F.col("rated") - 1)), F.lit(0.0)),
+        "min_rating": F.col("low"), "max_rating": F.col("high"),
+        "weighted_avg": F.try_divide(F.col("w"), F.col("weighted")),
+    }
+    used = {*base, "median_rating", *PROFILE_KEYS}
+    return wide.select(*PROFILE_KEYS, *[value.alias(name) for name, value in numbers.items()], *[c for c in wide.columns if c not in used])
 
 
 def cluster_quality(profile: DataFrame) -> DataFrame:

@@ -73,8 +73,13 @@ def open_rows(quota: DataFrame) -> DataFrame:
     return chunks.repartition("place_id", "chunk").select("place_id", F.explode(F.sequence(first, last)).alias("seq"))
 
 
+def _digest(*extra) -> Column:
+    return F.md5(F.concat_ws("|", "place_id", F.col("seq").cast("string"), *extra))
+
+
 def _pick(salt: str, n: int) -> Column:
-    return F.pmod(F.xxhash64(F.col("place_id"), F.col("seq"), F.lit(salt)), F.lit(n)).cast("int")
+    """A number below ``n`` from the first eight hex digits of the row's digest."""
+    return F.pmod(F.conv(F.substring(_digest(F.lit(salt)), 1, 8), 16, 10).cast("long"), F.lit(n)).cast("int")
 
 
 def _choice(values, salt: str, names) -> Column:
@@ -86,7 +91,7 @@ def with_parameters(rows: DataFrame, salt: str = "") -> DataFrame:
     """Style, visitor and aspects drawn from a hash of place and number: a rerun draws the same."""
     keyed = F.transform(
         F.array(*[F.lit(a) for a in ASPECTS]),
-        lambda a: F.struct(F.xxhash64(F.col("place_id"), F.col("seq"), a, F.lit(salt + "aspect")).alias("k"), a.alias("a")))
+        lambda a: F.struct(_digest(F.lit(salt + "aspect"), a).alias("k"), a.alias("a")))
     n_aspects = FEWEST_ASPECTS + _pick(salt + "count", MOST_ASPECTS - FEWEST_ASPECTS + 1)
     return (
         rows.withColumn("_style", _choice(STYLES, salt + "style", ("style", "length", "focus", "words")))

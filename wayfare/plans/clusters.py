@@ -143,7 +143,13 @@ def standardize(t):
     return scaled.select("place_id", *[F.round(c, 6).alias(c) for c in names])
 
 
-@query("feature_block")
+@query("feature_block", """
+    SELECT vec_id, w.category_width, w.location_width, w.sentiment_width, w.rating_width, 1.0::DOUBLE AS category_sum, 3.0::DOUBLE AS location_sum,
+           1.0::DOUBLE AS sentiment_sum, round(rating + weighted_rating + 2, 6) AS rating_sum
+    FROM clustered, (SELECT CAST(count(DISTINCT primary_category) AS INTEGER) AS category_width,
+                            CAST(count(DISTINCT city) + count(DISTINCT state) + count(DISTINCT country) AS INTEGER) AS location_width,
+                            CAST(count(DISTINCT sentiment) AS INTEGER) AS sentiment_width,
+                            CAST(2 + count(DISTINCT rating_tier) + count(DISTINCT popularity_tier) AS INTEGER) AS rating_width FROM clustered) w""", ("clustered",))
 def feature_block(t):
     """Widths of the one-hot and rating blocks of each row."""
     encoded = X.encode(t.clustered)
@@ -193,7 +199,9 @@ def bisecting_fit(t):
     return labelled.groupBy("label").agg(F.count("*").alias("size"))
 
 
-@query("median_split")
+@query("median_split", """
+    SELECT 0 AS label, n - n // 2 AS size FROM (SELECT count(*) AS n FROM embeddings)
+    UNION ALL SELECT 1, n // 2 FROM (SELECT count(*) AS n FROM embeddings)""")
 def median_split(t):
     return C.median_split(points(t).drop("label")).groupBy("label").agg(F.count("*").alias("size"))
 

@@ -97,11 +97,9 @@ def edges_in_cluster(t):
     SELECT concat_ws('_', method, label) AS cluster_id, method, count(*) AS size, round(avg(rating), 6) AS avg_rating,
            count(DISTINCT primary_category) AS n_categories, count(DISTINCT sentiment) AS n_sentiments FROM clustered GROUP BY method, label""", ("clustered",))
 def nodes_cluster(t):
-    facets = R.facet_columns(R.cluster_facets(t.clustered), {
-        "n_categories": ("category", "n_values"), "n_sentiments": ("sentiment", "n_values")})
-    return R.cluster_numbers(t.clustered).join(facets, list(R.PROFILE_KEYS)).select(
+    return R.cluster_profile(t.clustered).select(
         F.concat_ws("_", "method", F.col("label").cast("string")).alias("cluster_id"), "method", "size",
-        F.round("mean_rating", 6).alias("avg_rating"), "n_categories", "n_sentiments")
+        F.round("mean_rating", 6).alias("avg_rating"), F.col("n_category").alias("n_categories"), F.col("n_sentiment").alias("n_sentiments"))
 
 
 _CENTROID_PAIRS = """

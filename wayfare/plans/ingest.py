@@ -393,10 +393,14 @@ def rename_case(t):
     return casts.rename_case(t.table("part").select("p_partkey", "p_name", "p_type"), upper=True)
 
 
-@query("audit_columns")
+@query("audit_columns", """
+    SELECT place_id AS id, name, true AS has_created, true AS same_time FROM place WHERE type = 'HOTEL'""", ("place",))
 def audit_columns(t):
-    """Rows get their creation and change time when written."""
-    return writers.with_audit(ingest.place_family(raw_places(t), "HOTEL"))
+    """Rows get their creation and change time when written; both are the moment of the write."""
+    path = scratch_path(t.spark, "audited")
+    writers.replace_table(writers.with_audit(ingest.place_family(raw_places(t), "HOTEL")), path)
+    return t.spark.read.parquet(path).select(
+        "id", "name", F.col("created_at").isNotNull().alias("has_created"), (F.col("created_at") == F.col("updated_at")).alias("same_time"))
 
 
 # -- casts and nulls ------------------------------------------------------------------

@@ -273,8 +273,8 @@ def cluster_entropy(t):
 
 @query("cluster_profile", f"""
     WITH numbers AS (SELECT method, label, count(*) AS size, avg(rating) AS mean_rating, median(rating) AS median_rating,
-                            coalesce(stddev_samp(rating), 0.0) AS std_rating, min(rating) AS min_rating,
-                            max(rating) AS max_rating, avg(weighted_rating) AS weighted_avg,
+                            coalesce(stddev_samp(rating), 0.0) AS std_rating,
+                            CAST(min(rating) AS DOUBLE) AS min_rating, CAST(max(rating) AS DOUBLE) AS max_rating, avg(weighted_rating) AS weighted_avg,
                             count(DISTINCT city) AS n_city, count(DISTINCT state) AS n_state,
                             count(DISTINCT country) AS n_country, count(DISTINCT place_name) AS n_attraction
                      FROM clustered WHERE label >= 0 GROUP BY method, label)
@@ -287,7 +287,8 @@ def cluster_entropy(t):
     JOIN {_MODE.format(c='city')} d ON n.label = d.label JOIN {_MODE.format(c='state')} e ON n.label = e.label
     JOIN {_MODE.format(c='country')} f ON n.label = f.label""", ("clustered",))
 def cluster_profile(t):
-    profile = R.cluster_profile(t.clustered).drop("category_entropy", "sentiment_entropy", "city_entropy")
+    profile = R.cluster_profile(t.clustered).drop(
+        "category_entropy", "sentiment_entropy", "city_entropy", "n_category", "n_sentiment")
     for column in ("mean_rating", "std_rating", "weighted_avg"):
         profile = profile.withColumn(column, F.round(column, 6))
     return profile
@@ -334,7 +335,9 @@ def cluster_labels(t):
     return R.without_noise(t.table("embeddings").select("label")).distinct()
 
 
-@query("dist_json")
+@query("dist_json", """
+    SELECT label, concat('{', string_agg(concat('"', primary_category, '":', n), ',' ORDER BY primary_category), '}') AS distribution
+    FROM (SELECT label, primary_category, count(*) AS n FROM clustered GROUP BY label, primary_category) GROUP BY label""", ("clustered",))
 def dist_json(t):
     """Category distribution of each cluster as one JSON text."""
     return R.distribution_json(R.value_counts(R.without_noise(t.clustered), ["label"], "primary_category"), ["label"])

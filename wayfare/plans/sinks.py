@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -52,10 +51,9 @@ def sink_append(t):
     SELECT place_id AS id, name, CASE type WHEN 'HOTEL' THEN 'hotels' WHEN 'ATTRACTION' THEN 'attractions' ELSE 'restaurants' END AS category
     FROM place WHERE type <> 'VACATION_RENTAL'""", ("place",))
 def sink_jsonl_by_category(t):
+    """One JSON-lines folder per family, written in one pass; a family without rows gets no folder."""
     path = scratch_path(t.spark, "by-category")
-    routed = ingest.route_places(raw_places(t))
-    tagged = [df.withColumn("category", F.lit(table)) for table, df in routed.items()]
-    writers.write_json(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged), path, partition_by=["category"])
+    writers.write_json(ingest.tagged_places(raw_places(t)), path, partition_by=["category"])
     return t.spark.read.schema("id string, name string, category string").json(path)
 
 

@@ -31,34 +31,68 @@ def synthetic_plan(t):
     return S.open_rows(quota(t))
 
 
-@query("prompt_params")
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join([str(i), *["'" + str(x).replace("'", "''") + "'" for x in row]]) + ")" for i, row in enumerate(rows))
+
+
+def _drawn(salt: str, n: int) -> str:
+    return f"CAST(('0x' || substr(md5(concat_ws('|', place_id, seq, '{salt}')), 1, 8)) AS BIGINT) % {n}"
+
+
+_PARAMS = f"""
+    {_QUOTA},
+    opened AS (SELECT place_id, unnest(range(1, n_synthetic + 1)) AS seq FROM quota),
+    picked AS (SELECT *, {_drawn('style', len(S.STYLES))} AS style_no, {_drawn('visitor', len(S.VISITORS))} AS visitor_no,
+                      2 + {_drawn('count', 3)} AS n_aspects FROM opened),
+    styles AS (SELECT * FROM (VALUES {_values(S.STYLES)}) AS v(style_no, style, length, focus, words)),
+    visitors AS (SELECT * FROM (VALUES {_values(S.VISITORS)}) AS v(visitor_no, visitor, expects)),
+    aspects AS (SELECT * FROM (VALUES {_values([(a,) for a in S.ASPECTS])}) AS v(aspect_no, aspect)),
+    drawn AS (SELECT place_id, seq, string_agg(aspect, '; ' ORDER BY k) AS aspects FROM
+                 (SELECT place_id, seq, n_aspects, aspect, md5(concat_ws('|', place_id, seq, 'aspect', aspect)) AS k FROM picked, aspects
+                  QUALIFY row_number() OVER (PARTITION BY place_id, seq ORDER BY k) <= n_aspects) GROUP BY place_id, seq),
+    params AS (SELECT p.place_id, p.seq, style, length, focus, words, visitor, expects, d.aspects FROM picked p JOIN styles USING (style_no)
+               JOIN visitors USING (visitor_no) JOIN drawn d ON p.place_id = d.place_id AND p.seq = d.seq)"""
+
+
+@query("prompt_params", f"WITH {_PARAMS} SELECT place_id, seq, style, length, visitor, aspects FROM params", ("place", "review"))
 def prompt_params(t):
     drawn = S.with_parameters(S.open_rows(quota(t)))
     return drawn.select("place_id", "seq", "style", "length", "visitor", F.array_join("aspects", "; ").alias("aspects"))
 
 
-def prompt_rows(t):
+@query("prompt_table", f"""
+    WITH {_PARAMS},
+    newest AS (SELECT * FROM review ORDER BY published DESC, order_no, line_no, place_id, user_id, spend LIMIT 1000),
+    sample AS (SELECT place_id, avg(rating) AS a FROM newest GROUP BY place_id)
+    SELECT m.place_id, seq, concat_ws(chr(10),
+        concat('Write a ', length, ' review of ', words, ' for a place.'), concat('Name: ', name), concat('Location: ', city, ', ', state),
+        concat('Categories: ', primary_category, ', ', brand), concat('Style: ', style, ' with a view to ', focus),
+        concat('Written by a ', visitor, ' who expects ', expects), concat('Cover: ', replace(aspects, '; ', ', ')),
+        CASE WHEN a IS NULL THEN 'Rate the visit as it is described.'
+             ELSE concat('Visitors give this place about ', printf('%.1f', a), ' stars.') END,
+        'Answer with one JSON object with the fields rating, title, review_text, trip_type, travel_date.') AS prompt
+    FROM params m JOIN place p ON m.place_id = p.place_id LEFT JOIN sample s ON m.place_id = s.place_id""", ("place", "review"))
+def prompt_table(t):
     newest = R.newest(t.review, "published", ["order_no", "line_no", "place_id", "user_id", "spend"])
     sample = newest.groupBy("place_id").agg(F.avg("rating").alias("avg_rating"))
     places = t.place.select("place_id", "name", F.concat_ws(", ", "city", "state").alias("location"),
                             F.concat_ws(", ", "primary_category", "brand").alias("categories"))
     rows = S.with_parameters(S.open_rows(quota(t))).join(places, "place_id").join(sample, "place_id", "left")
-    return S.prompts(rows)
-
-
-@query("prompt_table")
-def prompt_table(t):
-    return prompt_rows(t).select("place_id", "seq", "prompt")
+    return S.prompts(rows).select("place_id", "seq", "prompt")
 
 
-@query("synthetic_rows")
+@query("synthetic_rows", f"""
+    WITH {_QUOTA}, opened AS (SELECT place_id, unnest(range(1, n_synthetic + 1)) AS seq FROM quota)
+    SELECT sha256(concat_ws('|', o.place_id, seq)) AS id, o.place_id AS locationid, DATE '2024-01-31' AS publisheddate,
+           concat('user_', substr(sha256(concat_ws('|', o.place_id, seq)), 1, 10)) AS username, concat(city, ', ', state) AS userlocation
+    FROM opened o JOIN place p ON o.place_id = p.place_id""", ("place", "review"))
 def synthetic_rows(t):
-    """Planned rows in table layout, with the texts left to the generator."""
+    """Planned rows in table layout for one run date, with the texts left to the generator."""
     rows = S.open_rows(quota(t)).join(t.place.select("place_id", F.concat_ws(", ", "city", "state").alias("userlocation")), "place_id")
     empty = {"rating": "int", "title": "string", "text": "string", "trip_type": "string", "traveldate": "date"}
     for name, kind in empty.items():
         rows = rows.withColumn(name, F.lit(None).cast(kind))
-    return S.synthetic_rows(rows, F.current_date())
+    return S.synthetic_rows(rows, F.lit("2024-01-31").cast("date")).drop(*empty)
 
 
 @query("required_fields", """
