@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wayfare.functions import rules
 from wayfare.operators import cluster as C
 from wayfare.operators import graph as G
 from wayfare.operators import reviews as R
@@ -53,8 +54,6 @@ def edges_category(t):
     UNION ALL SELECT DISTINCT 'City', concat_ws('|', city, state), 'LOCATED_IN', 'State', state FROM place""", ("place",))
 def edges_other(t):
     """Cuisine, diet, tier and state links."""
-    from wayfare.functions import rules
-
     restaurants = t.place.filter(F.col("type") == "RESTAURANT")
     hotels = t.place.filter(F.col("type") == "HOTEL")
     place_id = F.col("place_id")
@@ -165,10 +164,8 @@ def triplet_batch(t):
     JOIN ranked ON ranked.city = n_name WHERE place_rank <= 3""", ("node", "edge"))
 def pattern_table(t):
     """Hotels, attractions and restaurants of every request's city: equal patterns are answered once."""
-    orders, customer = t.table("orders"), t.table("customer")
-    asked = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
-        t.cities, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("o_orderkey").alias("request_id"), F.col("city").alias("dst_name"),
+    asked = t.trip.select(
+        "request_id", F.col("city").alias("dst_name"),
         F.explode(F.array(*[F.lit(label) for label in G.PLACE_LABELS.values()])).alias("src_label"),
         F.lit("LOCATED_IN").alias("rel"), F.lit("City").alias("dst_label"))
     found = G.match_patterns(t.node, t.edge, asked, k=3)

@@ -85,15 +85,7 @@ def string_keys(t):
     FROM trip JOIN daily ON trip.city = daily.city AND daily.published BETWEEN trip.a AND trip.b
     GROUP BY request_id""", ("place", "review"))
 def date_range(t):
-    orders, customer = t.table("orders"), t.table("customer")
-    start = F.col("o_orderdate").cast("date")
-    trips = (
-        orders.join(customer, orders.o_custkey == customer.c_custkey)
-        .join(t.cities, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(F.col("o_orderkey").alias("request_id"), "city", start.alias("start_date"),
-                F.date_add(start, (2 + F.col("o_orderkey") % 9).cast("int")).alias("end_date"))
-    )
-    return R.reviews_in_trip(trips, t.review, t.place)
+    return R.reviews_in_trip(t.trip, t.review, t.place)
 
 
 @query("review_counts", "SELECT place_id, count(*) AS review_count FROM review GROUP BY place_id", ("review",))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from wayfare.functions import vector as V
 from wayfare.operators import cluster as C
 from wayfare.operators import recommend, search
+from wayfare.operators.reviews import cap_per_group
 from wayfare.registry import query
 
 
@@ -102,8 +103,6 @@ def candidates_union(t):
     """Best rated places of the city and places of similar reviews, per request."""
     rows = t.clustered.select("vec_id", "vector", "city", "place_id")
     places = t.place.filter(F.col("type") != "VACATION_RENTAL").join(t.place_stats.select("place_id", "mean_rating"), "place_id")
-    from wayfare.operators.reviews import cap_per_group
-
     best = cap_per_group(places, ["city"], [F.col("mean_rating").desc(), F.col("place_id")], 5)
     best = best.select("city", "place_id", F.round("mean_rating", 6).alias("score"))
     graph = rows.select(F.col("vec_id").alias("request_id"), "city").join(best, "city").select("request_id", "place_id", "score")
@@ -132,11 +131,7 @@ _PLAN = """
 def _plan(t):
     places = t.place.filter(F.col("type") != "VACATION_RENTAL").join(
         t.place_stats.select("place_id", F.col("mean_rating").alias("rating")), "place_id")
-    orders, customer = t.table("orders"), t.table("customer")
-    trips = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
-        t.cities, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("o_orderkey").alias("request_id"), "city", (2 + F.col("o_orderkey") % 9).cast("int").alias("n_days"))
-    return recommend.day_plan(trips, recommend.ranked_places(places, 10))
+    return recommend.day_plan(t.trip.select("request_id", "city", "n_days"), recommend.ranked_places(places, 10))
 
 
 @query("day_plan", _PLAN + " SELECT * FROM planned", ("place", "place_stats"))
@@ -155,8 +150,6 @@ def daily_spend(t):
     FROM place QUALIFY place_rank <= 5""", ("place",))
 def lists_roundtrip(t):
     """Five places per city and type as parallel lists, and back."""
-    from wayfare.operators.reviews import cap_per_group
-
     best = cap_per_group(t.place, ["city", "type"], [F.col("price").desc(), F.col("place_id")], 5, rank="place_rank")
     lists = recommend.to_lists(best, ["city", "type"], "place_rank", ["place_id", "name", "price"])
     return recommend.from_lists(lists, ["city", "type"], ["place_rank", "place_id", "name", "price"]).withColumn(

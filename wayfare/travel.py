@@ -166,6 +166,20 @@ class Travel:
             .select(F.col("o_orderkey").alias("request_id"), text.alias("text"))
         )
 
+    @cached_property
+    def trip(self) -> DataFrame:
+        """One trip per order: the customer's city, the order date as start, two to ten days."""
+        orders = self.spread("orders")
+        customer = self.table("customer")
+        start = F.col("o_orderdate").cast("date")
+        days = (2 + F.col("o_orderkey") % 9).cast("int")
+        return (
+            orders.join(customer, orders.o_custkey == customer.c_custkey)
+            .join(self.cities, F.col("c_nationkey") == F.col("n_nationkey"))
+            .select(F.col("o_orderkey").alias("request_id"), "city", start.alias("start_date"),
+                    F.date_add(start, days).alias("end_date"), days.alias("n_days"))
+        )
+
     @cached_property
     def node(self) -> DataFrame:
         rated = self.place.join(self.place_stats.select("place_id", F.col("mean_rating").alias("rating")), "place_id", "left")
