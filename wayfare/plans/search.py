@@ -11,6 +11,7 @@ from wayfare.operators import cluster as C
 from wayfare.operators import recommend, search
 from wayfare.operators.reviews import cap_per_group
 from wayfare.registry import query
+from wayfare.session import cut_lineage
 
 
 def corpus(t):
@@ -43,13 +44,16 @@ def vector_topk_filtered(t):
     return search.top_k(asked(t), corpus(t), ["lang", "source"]).drop("match_rank")
 
 
-@query("vector_topk_approx")
-def vector_topk_approx(t):
-    """Cell search: about the square root of the corpus in cells, a third of them visited."""
+@query("vector_topk_cells", """
+    SELECT q.vec_id AS query_id, c.vec_id AS id, round(list_cosine_similarity(q.vector, c.vector), 6) AS score
+    FROM review_vector q, review_vector c
+    QUALIFY row_number() OVER (PARTITION BY q.vec_id ORDER BY score DESC, c.vec_id) <= 5""", ("review_vector",))
+def vector_topk_cells(t):
+    """Search without a filter through coarse cells, about the square root of the corpus of them."""
     rows = corpus(t)
-    cells = max(2, min(1024, math.isqrt(rows.count())))
-    centres = search.fit_cells(rows, cells)
-    return search.top_k_by_cells(asked(t), rows, centres, probes=max(1, cells // 3))
+    centres = search.fit_cells(rows, max(2, min(search.MOST_CELLS, math.isqrt(rows.count()))))
+    stored = cut_lineage(search.with_cell(rows, centres))
+    return search.top_k_by_cells(asked(t), stored, centres).drop("match_rank")
 
 
 @query("vector_fallback", """
