@@ -12,6 +12,7 @@ REVIEW_ID = r"-r(\d+)-"
 LOCATION_NAME = r"-Reviews-(.*?)-"
 MISSING = "N/A"
 BULLET = "•"
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 
 # Stands for a protected apostrophe while quotes are swapped.
 SENTINEL = "￿"
@@ -27,8 +28,8 @@ def first_match(text: Column, pattern: str, default: str = MISSING) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")), F.lit(default))
 
 
-def location_id(url: Column) -> Column:
-    return first_match(url, LOCATION_ID)
+def location_id(url: Column, default: str = MISSING) -> Column:
+    return first_match(url, LOCATION_ID, default)
 
 
 def city_id(url: Column) -> Column:
@@ -39,17 +40,25 @@ def review_id(url: Column) -> Column:
     return first_match(url, REVIEW_ID)
 
 
-def location_name(url: Column) -> Column:
+def location_name(url: Column, default: str = MISSING) -> Column:
     raw = F.regexp_extract(url, LOCATION_NAME, 1)
-    return F.coalesce(F.nullif(strip(F.replace(raw, F.lit("_"), F.lit(" "))), F.lit("")), F.lit(MISSING))
+    return F.coalesce(F.nullif(strip(F.replace(raw, F.lit("_"), F.lit(" "))), F.lit("")), F.lit(default))
 
 
 def head_of(text: Column, separator: str = BULLET) -> Column:
     return strip(F.split_part(text, F.lit(separator), F.lit(1)))
 
 
+def unescape(html: Column) -> Column:
+    """Named and quote entities as their characters, the ampersand last."""
+    for entity, character in ENTITIES:
+        html = F.replace(html, F.lit(entity), F.lit(character))
+    return html
+
+
 def strip_tags(html: Column) -> Column:
-    return strip(F.regexp_replace(html, "<[^>]*>", ""))
+    """Visible text of a piece of markup."""
+    return strip(unescape(F.regexp_replace(html, "<[^>]*>", "")))
 
 
 def repair_json(reply: Column) -> Column:

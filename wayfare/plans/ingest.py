@@ -220,27 +220,33 @@ def ingest_options(t):
 
 # -- pages ----------------------------------------------------------------------
 
-@query("extract_page_records", """
+def _visible(text: str) -> str:
+    """SQL for the visible text of a piece of markup."""
+    text = f"regexp_replace({text}, '<[^>]*>', '', 'g')"
+    for entity, character in X.ENTITIES:
+        text = f"replace({text}, '{entity}', '{character.replace(chr(39), chr(39) * 2)}')"
+    return f"coalesce(nullif(regexp_replace({text}, '^\\s+|\\s+$', '', 'g'), ''), 'N/A')"
+
+
+@query("extract_page_records", f"""
     WITH b AS (SELECT page_id, unnest(regexp_extract_all(html, '<li>(.*?)</li>', 1)) AS block,
                       unnest(range(len(regexp_extract_all(html, '<li>(.*?)</li>', 1)))) AS position FROM pages)
     SELECT page_id, CAST(position AS INTEGER) AS position,
-           coalesce(nullif(regexp_extract(block, 'href="([^"]*)"', 1), ''), 'N/A') AS link,
-           coalesce(nullif(regexp_replace(regexp_replace(regexp_extract(block, '<a [^>]*>(.*?)</a>', 1),
-               '<[^>]*>', '', 'g'), '^\\s+|\\s+$', '', 'g'), ''), 'N/A') AS title,
+           {_visible("""regexp_extract(block, 'href="([^"]*)"', 1)""")} AS link,
+           {_visible("""regexp_extract(block, '<a [^>]*>(.*?)</a>', 1)""")} AS title,
            coalesce(nullif(regexp_extract(block, 'rating="([0-9]+)"', 1), ''), 'N/A') AS rating FROM b""")
 def extract_page_records(t):
     fields = {"link": r'href="([^"]*)"', "title": r"<a [^>]*>(.*?)</a>", "rating": r'rating="([0-9]+)"'}
     return extract.page_records(t.table("pages"), ["page_id"], "html", "<li>(.*?)</li>", fields)
 
 
-@query("extract_review_cards", """
+@query("extract_review_cards", f"""
     SELECT doc_id AS page_id, i AS position,
            CASE WHEN source <> 'src3' THEN concat('/Show-g1-d', doc_id % 100, '-r', doc_id, i, '-Reviews-x.html') ELSE 'N/A' END AS review_link,
            CASE WHEN source <> 'src3' THEN concat('Title ', i) ELSE 'N/A' END AS review_title,
            CASE WHEN source <> 'src4' THEN 'May 2024' ELSE 'N/A' END AS review_date,
            concat('name', doc_id) AS username, concat('/Profile/', doc_id) AS username_link,
-           coalesce(nullif(regexp_replace(regexp_replace(split_part(text, '</div>', 1), '<[^>]*>', '', 'g'),
-                                          '^\\s+|\\s+$', '', 'g'), ''), 'N/A') AS review_body,
+           {_visible("split_part(text, '</div>', 1)")} AS review_body,
            CASE WHEN source <> 'src3' THEN concat(doc_id, i) ELSE 'N/A' END AS review_id
     FROM documents, (VALUES (0), (1)) AS v(i)""")
 def extract_review_cards(t):

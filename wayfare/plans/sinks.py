@@ -102,7 +102,7 @@ def insert_select(t):
 def load_with_rejects(t):
     source, target = scratch_path(t.spark, "load"), scratch_path(t.spark, "loaded")
     writers.write_delimited(messy_rows(t), source)
-    writers.load_table(readers.read_delimited(t.spark, source, list(MESSY_SPEC)), MESSY_SPEC, target)
+    writers.load_table(readers.read_delimited(t.spark, source, list(MESSY_SPEC), keep_broken=True), MESSY_SPEC, target)
     return writers.loaded_rows(t.spark, target, MESSY_SPEC)
 
 

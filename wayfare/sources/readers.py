@@ -12,6 +12,10 @@ from wayfare import schemas
 from wayfare.functions import casts
 
 
+# Holds the text of a row whose number of fields is wrong.
+BROKEN = "_broken"
+
+
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
     """Nested review documents, one JSON object per line."""
     return spark.read.schema(schemas.REVIEW_RAW).json(path)
@@ -42,20 +46,25 @@ def read_json_typed(spark: SparkSession, path: str, spec: dict[str, str]) -> Dat
 
 
 def read_delimited(
-    spark: SparkSession, path: str, columns: Sequence[str], header: bool = True, multi_line: bool = True
+    spark: SparkSession, path: str, columns: Sequence[str], header: bool = True, multi_line: bool = True, keep_broken: bool = False
 ) -> DataFrame:
     """Delimited text as text columns; the markers for "no value" become null.
 
     Quoted line breaks need ``multi_line``, which reads a file in one piece, so
-    writers bound the rows per file. Without line breaks inside quotes turn it off.
+    writers bound the rows per file. Without line breaks inside quotes turn it
+    off. ``keep_broken`` adds a column with the text of rows that have too few
+    or too many fields, for a load to reject.
     """
-    raw = (
-        spark.read.schema(schemas.texts(columns))
+    names = [*columns, BROKEN] if keep_broken else list(columns)
+    reader = (
+        spark.read.schema(schemas.texts(names))
         .option("header", header).option("quote", '"').option("escape", '"')
         .option("multiLine", multi_line).option("mode", "PERMISSIVE").option("enforceSchema", True)
-        .csv(path)
     )
-    return raw.select(*[casts.null_if_marker(F.col(c)).alias(c) for c in columns])
+    if keep_broken:
+        reader = reader.option("columnNameOfCorruptRecord", BROKEN)
+    raw = reader.csv(path)
+    return raw.select(*[casts.null_if_marker(F.col(c)).alias(c) for c in columns], *names[len(columns):])
 
 
 def read_positional(spark: SparkSession, path: str, spec: dict[str, str], multi_line: bool = True) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wayfare import schemas
 from wayfare.functions import casts
 from wayfare.operators.reviews import last_per_key
+from wayfare.sources.readers import BROKEN
 
 # A text file with quoted line breaks is read in one piece, so files stay this small.
 ROWS_PER_TEXT_FILE = 500_000
@@ -79,12 +80,16 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def split_rejects(raw: DataFrame, spec: dict[str, str]) -> DataFrame:
-    """Cast text columns by ``spec``; ``_rejected`` lists the columns whose text does not fit its type."""
+    """Cast text columns by ``spec``; ``_rejected`` lists the columns whose text does not fit its type,
+    or names the row's field count where the reader kept broken rows."""
     cast = {name: casts.CASTS[kind](F.col(name)) for name, kind in spec.items()}
-    bad = F.array_compact(F.array(*[
+    faults = [
         F.when(F.col(name).isNotNull() & cast[name].isNull(), F.lit(name))
         for name, kind in spec.items() if kind != "string"
-    ]))
+    ]
+    if BROKEN in raw.columns:
+        faults.append(F.when(F.col(BROKEN).isNotNull(), F.lit("field count")))
+    bad = F.array_compact(F.array(*faults))
     return raw.select(*[value.alias(name) for name, value in cast.items()], bad.alias("_rejected"),
                       F.struct(*spec).alias("_raw"))
 
