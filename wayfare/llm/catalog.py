@@ -2,11 +2,13 @@
 
 from wayfare.llm.licenses import op7_license_scan
 from wayfare.llm.mixing import OP1_SQL, op1_mix_sources
+from wayfare.llm.packing import op2_best_fit_packing
 from wayfare.llm.pii import op10_pii
 from wayfare.llm.quality import op9_quality_rules
+from wayfare.llm.token_files import op6_token_files
 from wayfare.llm.urls import op8_url_filter
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op7_license_scan, op8_url_filter, op9_quality_rules, op10_pii,
+    op1_mix_sources, op2_best_fit_packing, op6_token_files, op7_license_scan, op8_url_filter, op9_quality_rules, op10_pii,
 )}
 ORACLES = {"op1_mix_sources": OP1_SQL}
