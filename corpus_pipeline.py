@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfare.llm import common, mixing, pii, quality
+from wayfare.llm import common, minhash, mixing, packing, pii, quality
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -14,6 +14,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep(docs, quality.fit(docs, common.table(spark, sf_dir, "labels")))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near-duplicates."""
+    return minhash.deduplicate(docs)
+
+
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data in the texts by the kind's name in brackets."""
     return pii.mask(docs)
@@ -24,10 +29,17 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return mixing.mix(docs)
 
 
+def packing_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts the documents' token ids into pieces and packs them; one row per piece."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
     ("personal_data", personal_data),
     ("mixing", mixing_sources),
+    ("packing", packing_sequences),
 ]
 
 #: Boosted trees, MinHash and token ids have no SQL; tests hold the pipeline against a brute-force version.

@@ -67,7 +67,7 @@ def plan(
     docs: DataFrame, weights: Sequence[int] = WEIGHTS, ceiling: int = CEILING, seed: str = SEED,
 ) -> DataFrame:
     """Every document with its size, its source's size and target, its copies and the words they hold."""
-    kept = [c for c in docs.columns if c not in ADDED]
+    kept = [c for c in docs.columns if c.lower() not in ADDED]
     goal = targets(docs, weights, ceiling).withColumnRenamed("source", "__source")
     sized = docs.select(*kept, words(F.col("text")).alias("size"), coin(docs, seed).alias("__coin"))
     met = sized.join(goal, F.col("source").eqNullSafe(F.col("__source")), "left")
@@ -81,11 +81,11 @@ def plan(
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed rows themselves, in the columns of ``docs``: each document as often as planned."""
-    names = [c for c in docs.columns]
-    shelved = docs.withColumnsRenamed({c: f"__in_{c}" for c in names if c in ADDED})
+    names = docs.columns
+    shelved = docs.withColumnsRenamed({c: f"__in_{c}" for c in names if c.lower() in ADDED})
     planned = plan(shelved, **options)
     rows = planned.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return rows.select(*(F.col(f"__in_{c}" if c in ADDED else c).alias(c) for c in names))
+    return rows.select(*(F.col(f"__in_{c}" if c.lower() in ADDED else c).alias(c) for c in names))
 
 
 def op1_mix_sources(spark, sf_dir: str) -> DataFrame:
