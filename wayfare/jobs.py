@@ -27,15 +27,25 @@ def load_reviews(spark: SparkSession, source: str, target: str, family: str) ->
     """Nested review documents into a typed table with rejects kept; returns the good rows."""
     flatten, subratings = REVIEW_FAMILIES[family]
     spec = schemas.review_spec(subratings)
-    writers.load_table(flatten(readers.read_reviews(spark, source)), spec, target)
+    writers.load_table(flatten(readers.read_reviews(spark, source, keep_broken=True)), spec, target, broken="record")
     return writers.loaded_rows(spark, target, spec)
 
 
 def load_places(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Place documents into one audited table, a folder per family, in one pass."""
-    tagged = writers.with_audit(ingest.tagged_places(readers.read_places(spark, source)))
-    tagged.write.mode("append").partitionBy("category").parquet(target)
-    return spark.read.parquet(target)
+    """Place documents into one audited table, a folder per family, in one pass; returns the good rows.
+
+    Lines that are no documents and rows with values that do not fit their type
+    land in the folder ``rejected`` with their text (see ``rejected_places``).
+    """
+    checked = ingest.tagged_places(readers.read_places(spark, source, keep_broken=True))
+    folder = F.when(F.size("_rejected") > 0, writers.REJECTED).otherwise(F.col("category"))
+    writers.with_audit(checked).withColumn("category", folder).write.mode("append").partitionBy("category").parquet(target)
+    return spark.read.parquet(target).filter(F.col("category") != writers.REJECTED).drop("_rejected", "_raw")
+
+
+def rejected_places(spark: SparkSession, target: str) -> DataFrame:
+    """(_raw, _rejected) of the rows that ``load_places`` did not take."""
+    return spark.read.parquet(target).filter(F.col("category") == writers.REJECTED).select("_raw", "_rejected")
 
 
 def embedding_rows(place: DataFrame, review: DataFrame, place_order: Sequence[str], review_order: Sequence[str], namespace: str) -> DataFrame:

@@ -32,6 +32,8 @@ RELATED_ABOVE = 0.3
 NOISE = -1
 
 PARALLEL_FITS = 4
+# Values that may be ranked in one task; more are fenced further first.
+RANKED_VALUES = 100_000
 
 
 def candidate_counts(n: int) -> list[int]:
@@ -82,7 +84,7 @@ def bisecting_grid(df: DataFrame, counts: Sequence[int], max_iter: int = 20):
     return _grid(df, make, counts, [SEED])
 
 
-def exact_median(df: DataFrame, column: str, error: float = 1e-3, few: int = 100_000) -> float:
+def exact_median(df: DataFrame, column: str, error: float = 1e-3, few: int = RANKED_VALUES) -> float:
     """Median without bringing the column together.
 
     Approximate quantiles fence the middle again and again until few rows are
@@ -118,6 +120,11 @@ def median_split(df: DataFrame) -> DataFrame:
 
 # -- density clustering -----------------------------------------------------------
 
+def id_type(df: DataFrame) -> str:
+    """Type of the id column, for schemas of results that carry it."""
+    return dict(df.dtypes)["id"]
+
+
 def widest_axes(df: DataFrame, n: int = 2) -> list[int]:
     """Coordinates with the largest variance."""
     variance = df.agg(Summarizer.variance(array_to_vector("vector")).alias("v")).first().v.toArray()
@@ -152,7 +159,7 @@ def neighbour_counts(df: DataFrame, eps: float, axes: Sequence[int]) -> DataFram
         return pd.DataFrame({"id": l["id"], "n": near.sum(axis=1)})
 
     other = df.select(F.col("id").alias("other"), "vector")
-    parts = near_join(df.select("id", "vector"), other, axes, eps, ("id", "other"), count, "id long, n long")
+    parts = near_join(df.select("id", "vector"), other, axes, eps, ("id", "other"), count, f"id {id_type(df)}, n long")
     return parts.groupBy("id").agg(F.sum("n").alias("n_neighbours"))
 
 
@@ -211,26 +218,28 @@ def dbscan(df: DataFrame, eps: float = EPS, min_points: int = MIN_POINTS) -> Dat
         rows, cols = spanning_edges(near)
         return pd.DataFrame({"a": l["id"].to_numpy()[rows], "b": r["other"].to_numpy()[cols]})
 
-    edges = near_join(core, others, axes, eps, ("id", "other"), links, "a long, b long")
+    edges = near_join(core, others, axes, eps, ("id", "other"), links, f"a {id_type(df)}, b {id_type(df)}")
     grouped = components(edges)
     labelled = core.select("id").join(grouped, "id", "left").select("id", F.coalesce("component", "id").alias("label"))
 
     def border(_, l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         near = distances(matrix(l["vector"]), matrix(r["vector"])) <= eps
-        labels = np.where(near, r["label"].to_numpy()[None, :], np.iinfo(np.int64).max).min(axis=1)
-        found = near.any(axis=1)
-        return pd.DataFrame({"id": l["id"].to_numpy()[found], "label": labels[found]})
+        found, labels = near.any(axis=1), r["label"].to_numpy()
+        return pd.DataFrame({"id": l["id"].to_numpy()[found], "label": [min(labels[row]) for row in near[found]]})
 
     rest = counted.filter(F.col("n_neighbours") < min_points).select("id", "vector")
     core_labels = others.join(labelled.withColumnRenamed("id", "other"), "other")
-    edge_points = near_join(rest, core_labels, axes, eps, ("id", "other"), border, "id long, label long")
+    edge_points = near_join(rest, core_labels, axes, eps, ("id", "other"), border, f"id {id_type(df)}, label {id_type(df)}")
     edge_points = edge_points.groupBy("id").agg(F.min("label").alias("label"))
     known = labelled.unionByName(edge_points)
     return counted.select("id", "n_neighbours").join(known, "id", "left").select(
-        "id", "n_neighbours", F.coalesce("label", F.lit(NOISE)).alias("label"))
+        "id", "n_neighbours", F.coalesce("label", F.lit(NOISE).cast(id_type(df))).alias("label"))
 
 
 # -- scores (per method; df has id, method, label, vector) ---------------------------
+#
+# One rule for rows with the noise label: like every other label they count as a cluster in all scores. Callers who
+# want them left out filter them first. A method with one cluster has silhouette 0 and no other score.
 
 def with_groupings(df: DataFrame, groupings: dict[str, str]) -> DataFrame:
     """Several clusterings of the same rows in long form: method -> label expression, from one scan."""
@@ -240,8 +249,13 @@ def with_groupings(df: DataFrame, groupings: dict[str, str]) -> DataFrame:
 
 
 def centroids(df: DataFrame) -> DataFrame:
-    kept = df.filter(F.col("label") >= 0)
-    return mean_vector(kept, ["method", "label"], "vector", "centroid")
+    """Mean vector per cluster proper; noise is none."""
+    return cluster_means(df.filter(F.col("label") >= 0))
+
+
+def cluster_means(df: DataFrame) -> DataFrame:
+    """Mean vector per label."""
+    return mean_vector(df, ["method", "label"], "vector", "centroid")
 
 
 def calinski_harabasz(df: DataFrame) -> DataFrame:
@@ -262,8 +276,8 @@ def calinski_harabasz(df: DataFrame) -> DataFrame:
 
 
 def davies_bouldin(df: DataFrame) -> DataFrame:
-    """Mean over clusters of the worst (spread + spread) / centre distance."""
-    centre = centroids(df)
+    """Mean over clusters of the worst (spread + spread) / centre distance; the small table of centres is computed once."""
+    centre = cut_lineage(cluster_means(df))
     spread = (
         df.join(centre, ["method", "label"])
         .withColumn("_d", F.zip_with("vector", "centroid", lambda a, b: a - b))
@@ -281,7 +295,7 @@ def davies_bouldin(df: DataFrame) -> DataFrame:
 
     ratios = block_join(clusters, others, ["method"], ("label", "other"), worst, "method string, label long, ratio double")
     return ratios.groupBy("method", "label").agg(F.max("ratio").alias("ratio")).groupBy("method").agg(
-        F.avg("ratio").alias("davies_bouldin"))
+        F.when(F.count("*") > 1, F.avg("ratio")).alias("davies_bouldin"))
 
 
 def silhouette(df: DataFrame) -> DataFrame:
@@ -306,7 +320,7 @@ def silhouette(df: DataFrame) -> DataFrame:
         })
 
     parts = block_join(points, others, ["method"], ("id", "other"), sums,
-                       "method string, id long, label long, other_label long, total double, n long")
+                       f"method string, id {id_type(df)}, label long, other_label long, total double, n long")
     summed = parts.groupBy("method", "id", "label", "other_label").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     own = F.col("other_label") == F.col("label")
     per_point = summed.groupBy("method", "id").agg(
@@ -340,9 +354,9 @@ def silhouette_squared(df: DataFrame) -> DataFrame:
         a = np.where(has_own, np.nanmax(np.where(np.isnan(inside), -np.inf, inside), axis=1), np.nan)
         return pd.DataFrame({"method": key[0], "id": l["id"], "a": a, "b": outside})
 
-    split = block_join(points, clusters, ["method"], ("id", "other"), parts, "method string, id long, a double, b double")
+    split = block_join(points, clusters, ["method"], ("id", "other"), parts, f"method string, id {id_type(df)}, a double, b double")
     per_point = split.groupBy("method", "id").agg(F.max(F.nanvl("a", F.lit(None).cast("double"))).alias("a"), F.min("b").alias("b"))
-    value = F.when(F.col("a").isNull(), F.lit(0.0)).otherwise(
+    value = F.when(F.col("a").isNull() | (F.col("b") == float("inf")), F.lit(0.0)).otherwise(
         F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
     return per_point.groupBy("method").agg(F.avg(value).alias("silhouette_squared"))
 
@@ -359,7 +373,7 @@ def best_method(metrics: DataFrame, score: str) -> DataFrame:
 
 def related(df: DataFrame, above: float = RELATED_ABOVE) -> DataFrame:
     """Pairs of clusters of one method whose centroids have cosine similarity above the cut."""
-    centre = centroids(df).select("method", F.col("label").cast("long").alias("label"), "centroid")
+    centre = cut_lineage(centroids(df).select("method", F.col("label").cast("long").alias("label"), "centroid"))
     others = centre.select("method", F.col("label").alias("other"), "centroid")
 
     def similar(key, l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:

@@ -22,8 +22,6 @@ CATEGORICAL = {
     "category": ("primary_category",), "location": ("city", "state", "country"), "sentiment": ("sentiment",),
     "tiers": ("rating_tier", "popularity_tier"),
 }
-# Above this width the covariance matrix no longer belongs on the driver.
-WIDEST_PCA = 2048
 
 
 def mean_vector(df: DataFrame, keys: Sequence[str], vector: str, out: str) -> DataFrame:
@@ -50,7 +48,12 @@ def standardized(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def project(df: DataFrame, vector: str, dim: int, width: int, seed: int = 42) -> DataFrame:
-    """Gaussian random projection to ``width`` numbers; the matrix is drawn from the seed in each task."""
+    """Gaussian random projection to ``width`` numbers; the matrix is drawn from the seed in each task.
+
+    A step of its own for callers whose vectors are so wide that the covariance
+    matrix of ``reduce_vectors`` (width squared numbers, on the driver) is too
+    much; it changes the numbers, so nothing here takes it unasked.
+    """
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def projected(vectors: pd.Series) -> pd.Series:
         basis = np.random.default_rng(seed).standard_normal((dim, width)) / np.sqrt(width)
@@ -60,9 +63,7 @@ def project(df: DataFrame, vector: str, dim: int, width: int, seed: int = 42) ->
 
 
 def reduce_vectors(df: DataFrame, vector: str, dim: int, width: int, out: str = "reduced") -> DataFrame:
-    """Standardised, length-normalised vectors reduced to ``width`` principal components."""
-    if dim > WIDEST_PCA:
-        df, dim = project(df, vector, dim, WIDEST_PCA), WIDEST_PCA
+    """Standardised, length-normalised vectors reduced to ``width`` principal components; the same way at every width."""
     stages = [
         StandardScaler(inputCol="_in", outputCol="_scaled", withMean=True, withStd=True),
         Normalizer(inputCol="_scaled", outputCol="_unit", p=2.0),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wayfare import schemas
 from wayfare.functions import casts
 from wayfare.operators.reviews import cap_per_group
+from wayfare.sources.readers import BROKEN
 
 # Fixed values of the ingest service and the review platform.
 PLATFORM = "Tripadvisor"
@@ -48,7 +49,8 @@ def flatten_reviews(raw: DataFrame, subratings: int, keep_trip_type: bool, platf
     flat["TRAVELDATE"] = F.date_format(casts.month_start(F.col("travelDate")), "yyyy-MM-dd")
     pairs = dict(zip([c for c in schemas.review_spec(subratings) if c.startswith("SUBRATING")],
                      pair_columns("subratings", subratings)))
-    return raw.select(*[{**flat, **pairs}[name].alias(name) for name in schemas.review_spec(subratings)])
+    return raw.select(*[{**flat, **pairs}[name].alias(name) for name in schemas.review_spec(subratings)],
+                      *[c for c in raw.columns if c == BROKEN])
 
 
 def hotel_reviews(raw: DataFrame) -> DataFrame:
@@ -96,7 +98,12 @@ def route_places(raw: DataFrame) -> dict[str, DataFrame]:
 
 
 def tagged_places(raw: DataFrame) -> DataFrame:
-    """All three families in one pass, tagged with their table; columns of other families are null."""
+    """All three families in one pass, tagged with their table; columns of other families are null.
+
+    Where the reader kept broken lines, ``_rejected`` names what is wrong with a
+    row (columns whose text does not fit their type, or the whole record) and
+    ``_raw`` holds its text; broken lines have no family.
+    """
     tests = {table: F.col("type") == kind for kind, (table, _) in schemas.PLACE_FAMILIES.items()}
     table = F.coalesce(*[F.when(test, F.lit(name)) for name, test in tests.items()])
     columns = [casts.CASTS[of](F.col(field)).alias(name) for field, (name, of) in schemas.PLACE_BASE.items()]
@@ -104,7 +111,17 @@ def tagged_places(raw: DataFrame) -> DataFrame:
         for field, (name, of) in fields.items():
             value = joined_list(F.col(field)) if of == "list" else casts.CASTS[of](F.col(field))
             columns.append(F.when(tests[owner], value).alias(name))
-    return raw.filter(F.col("type").isin(*schemas.PLACE_FAMILIES)).select(*columns, table.alias("category"))
+    wanted = F.col("type").isin(*schemas.PLACE_FAMILIES)
+    if BROKEN not in raw.columns:
+        return raw.filter(wanted).select(*columns, table.alias("category"))
+    faults = [
+        F.when(F.col(BROKEN).isNull() & F.col(field).isNotNull() & casts.CASTS[of](F.col(field)).isNull(), F.lit(name))
+        for family in (schemas.PLACE_BASE, *(fields for _, fields in schemas.PLACE_FAMILIES.values()))
+        for field, (name, of) in family.items() if of not in ("string", "list")]
+    rejected = F.array_compact(F.array(*faults, F.when(F.col(BROKEN).isNotNull(), F.lit("record"))))
+    text = F.coalesce(BROKEN, F.to_json(F.struct(*[c for c in raw.columns if c != BROKEN])))
+    return raw.filter(F.coalesce(wanted, F.lit(False)) | F.col(BROKEN).isNotNull()).select(
+        *columns, table.alias("category"), rejected.alias("_rejected"), F.when(F.size(rejected) > 0, text).alias("_raw"))
 
 
 def ingest_options(df: DataFrame, language: str, location: str, order: Sequence[Column],

@@ -16,16 +16,21 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """Rows, nulls, distinct values, smallest and largest value of every column.
 
-    Columns open into (column, value) rows and shrink to value counts first, so
-    exact distinct counts of all columns come from one pass over the table.
+    Smallest and largest are found in the column's own type, all columns in one
+    aggregate, and written as text only then. Exact distinct counts come from
+    one pass in which columns open into (column, value) rows and shrink to value
+    counts first; otherwise they are estimated in the same aggregate.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in df.columns])
-    long = df.select(F.explode(pairs).alias("p")).select("p.*")
+    def one(c: str):
+        fields = [
+            F.lit(c).alias("column_name"), F.count("*").alias("n_rows"), F.count_if(F.col(c).isNull()).alias("n_null"),
+            F.min(c).cast("string").alias("min_value"), F.max(c).cast("string").alias("max_value")]
+        return F.struct(*fields, *([] if exact else [F.approx_count_distinct(c).alias("n_distinct")]))
+
+    described = df.agg(F.array(*[one(c) for c in df.columns]).alias("p")).select(F.explode("p").alias("p")).select("p.*")
     if exact:
-        counted = long.groupBy("column_name", "value").agg(F.count("*").alias("n"))
-        return counted.groupBy("column_name").agg(
-            F.sum("n").alias("n_rows"), F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_null"),
-            F.count_if(F.col("value").isNotNull()).alias("n_distinct"), F.min("value").alias("min_value"), F.max("value").alias("max_value"))
-    return long.groupBy("column_name").agg(
-        F.count("*").alias("n_rows"), F.count_if(F.col("value").isNull()).alias("n_null"),
-        F.approx_count_distinct("value").alias("n_distinct"), F.min("value").alias("min_value"), F.max("value").alias("max_value"))
+        pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in df.columns])
+        values = df.select(F.explode(pairs).alias("p")).select("p.*").distinct()
+        distinct = values.groupBy("column_name").agg(F.count_if(F.col("value").isNotNull()).alias("n_distinct"))
+        described = described.join(distinct, "column_name", "left").withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
+    return described.select("column_name", "n_rows", "n_null", "n_distinct", "min_value", "max_value")

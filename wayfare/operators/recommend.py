@@ -26,13 +26,16 @@ def ranked_places(place: DataFrame, most: int) -> DataFrame:
     return cap_per_group(place, ["city", "type"], order, most, rank="place_rank")
 
 
-def day_plan(trips: DataFrame, ranked: DataFrame) -> DataFrame:
+def day_plan(trips: DataFrame, place: DataFrame) -> DataFrame:
     """Two hotels per trip and one attraction and one restaurant per day.
 
-    ``trips(request_id, city, n_days)``; day d takes the place ranked d in the
-    trip's city, starting over when the city has fewer places than the trip has
-    days. All joins are on (city, type, rank).
+    ``trips(request_id, city, n_days)``, ``place(city, type, place_id, name, price, rating)``;
+    day d takes the place ranked d in the trip's city, starting over when the
+    city has fewer places than the trip has days. Ranks beyond the longest trip
+    are never asked for, so no more are kept. All joins are on (city, type, rank).
     """
+    longest = trips.agg(F.max("n_days")).first()[0] or 0
+    ranked = ranked_places(place, max(longest, HOTELS))
     available = ranked.groupBy("city", "type").agg(F.max("place_rank").alias("n_places"))
     slots = trips.select("request_id", "city", F.explode(F.concat(
         F.transform(F.sequence(F.lit(1), F.lit(HOTELS)), lambda i: F.struct(F.lit("HOTEL").alias("type"), F.lit(0).alias("day"), i.alias("slot"))),

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from wayfare.functions import rules
 
-# From this rank on a hot group is ranked in salted parts before it meets in one task.
-SALT_FROM = 100
-SALTS = 64
-
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the smallest by ``order``.
@@ -35,15 +31,9 @@ def cap_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
     """The first ``n`` rows of each group in ``order``, exactly.
 
     Spark drops rows ranked above ``n`` in each task before shuffling, so a hot
-    group sends at most ``n`` rows per task. For a large ``n`` that is still
-    much for the one task that ranks the group, so the group is ranked in
-    salted parts first and ``n`` rows of each part go on.
+    group sends at most ``n`` rows per task.
     """
     name = rank or "_rank"
-    if n >= SALT_FROM:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
-        part = Window.partitionBy(*keys, "_salt").orderBy(*order)
-        df = salted.withColumn("_part", F.row_number().over(part)).filter(F.col("_part") <= n).drop("_part", "_salt")
     ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     kept = ranked.filter(F.col(name) <= n)
     return kept if rank else kept.drop(name)
@@ -167,14 +157,16 @@ def reviews_between(review: DataFrame, start, end) -> DataFrame:
 def reviews_in_trip(trips: DataFrame, review: DataFrame, place: DataFrame) -> DataFrame:
     """Reviews of a trip's city on the trip's days: count and mean rating per trip.
 
-    Reviews shrink to one row per city and day before the trips join; a trip
-    opens into its own days, so the range test becomes an equality join.
+    Reviews shrink to one row per place and day before they meet the places, and
+    to one per city and day before the trips; a trip opens into its own days, so
+    the range test becomes an equality join. A trip that ends before it starts
+    has no days.
     """
-    daily = (
-        review.select("place_id", "published", "rating").join(place.select("place_id", "city"), "place_id")
-        .groupBy("city", F.col("published").alias("date")).agg(F.count("*").alias("n"), F.sum("rating").alias("rating_sum"))
-    )
-    days = trips.select("request_id", "city", F.explode(F.sequence("start_date", "end_date")).alias("date"))
+    per_place = review.groupBy("place_id", F.col("published").alias("date")).agg(
+        F.count("*").alias("n"), F.sum("rating").alias("rating_sum"))
+    daily = per_place.join(place.select("place_id", "city"), "place_id").groupBy("city", "date").agg(
+        F.sum("n").alias("n"), F.sum("rating_sum").alias("rating_sum"))
+    days = trips.filter(F.col("start_date") <= F.col("end_date")).select("request_id", "city", F.explode(F.sequence("start_date", "end_date")).alias("date"))
     return (
         days.join(daily, ["city", "date"])
         .groupBy("request_id").agg(F.sum("n").alias("n_reviews"), F.sum("rating_sum").alias("rating_sum"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -19,13 +20,13 @@ from wayfare.session import cut_lineage
 
 TOP_K = 5
 SCORE_DIGITS = 6
-# A query set up to this size goes to every executor.
-FEW_QUERIES = 1000
-FEW_BYTES = 64 << 20
 # Scores are rounded before they are ranked; a bound this close still counts.
 SLACK = 2e-6
-MOST_CELLS = 1024
-_FOUND = "query_id long, id long, score double"
+
+
+def cell_count(n: int) -> int:
+    """Cells for a corpus of ``n`` rows: about the square root, so centres and rows per cell grow alike."""
+    return max(2, math.isqrt(n))
 
 
 def _best_in_block(k: int):
@@ -43,59 +44,19 @@ def _best_in_block(k: int):
     return best
 
 
-def _scan_for(queries: DataFrame, filters: Sequence[str], k: int):
-    """Partition function scoring corpus rows against a broadcast query set, keeping a running best ``k``."""
-    groups: dict = {}
-    for row in queries.toPandas().itertuples(index=False):
-        groups.setdefault(tuple(row[2:]), []).append((row[0], row[1]))
-    packed = {
-        key: (np.array([q for q, _ in rows]), unit_rows(np.stack([v for _, v in rows]).astype(np.float64)))
-        for key, rows in groups.items()
-    }
-    shared = queries.sparkSession.sparkContext.broadcast(packed)
-
-    def scan(batches):
-        best: dict = {}
-        for batch in batches:
-            parts = batch.groupby(list(filters), sort=False) if filters else [((), batch)]
-            for key, part in parts:
-                known = shared.value.get(tuple(key))
-                if known is None:
-                    continue
-                scores = np.round(known[1] @ unit_rows(matrix(part["vector"])).T, SCORE_DIGITS)
-                ids = np.broadcast_to(part["id"].to_numpy(), scores.shape)
-                if key in best:
-                    scores, ids = np.hstack([best[key][0], scores]), np.hstack([best[key][1], ids])
-                order = np.lexsort((ids, -scores), axis=1)[:, :k]
-                best[key] = (np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1))
-        for key, (scores, ids) in best.items():
-            yield pd.DataFrame({
-                "query_id": np.repeat(shared.value[tuple(key)][0], scores.shape[1]), "id": ids.ravel(), "score": scores.ravel()})
-
-    return scan
-
-
-def few_queries(queries: DataFrame, limit: int = FEW_QUERIES, most_bytes: int = FEW_BYTES) -> bool:
-    """Is the query set small enough to be sent to every executor?"""
-    n, width = queries.agg(F.count("*"), F.coalesce(F.max(F.size("query_vector")), F.lit(0))).first()
-    return 0 < n <= limit and n * width * 8 <= most_bytes
-
-
-def top_k(queries: DataFrame, corpus: DataFrame, filters: Sequence[str], k: int = TOP_K, rows: int | None = None,
-          few: int = FEW_QUERIES) -> DataFrame:
+def top_k(queries: DataFrame, corpus: DataFrame, filters: Sequence[str], k: int = TOP_K, rows: int | None = None) -> DataFrame:
     """The ``k`` most similar corpus rows per query among those with equal filter values (cosine, exact).
 
-    ``queries(query_id, query_vector, filters...)``, ``corpus(id, vector, filters...)``.
-    The filter values cut the corpus before any scoring. A counted, small query
-    set is broadcast and the corpus scanned in place; a larger one meets the
-    corpus in blocks. Equal scores go to the smaller id.
+    ``queries(query_id, query_vector, filters...)``, ``corpus(id, vector, filters...)``;
+    ids are of any type that Spark can order. The filter values cut the corpus
+    before any scoring; what is left meets block by block. Equal scores go to
+    the smaller id.
     """
     asked = queries.select("query_id", "query_vector", *filters)
     stored = corpus.select("id", "vector", *filters)
-    if few_queries(asked, few):
-        partial = stored.mapInPandas(_scan_for(asked, filters, k), _FOUND)
-    else:
-        partial = block_join(asked, stored, filters, ("query_id", "id"), _best_in_block(k), _FOUND, rows)
+    kinds = dict(asked.dtypes), dict(stored.dtypes)
+    schema = f"query_id {kinds[0]['query_id']}, id {kinds[1]['id']}, score double"
+    partial = block_join(asked, stored, filters, ("query_id", "id"), _best_in_block(k), schema, rows)
     return cap_per_group(partial, ["query_id"], [F.col("score").desc(), F.col("id")], k, rank="match_rank")
 
 

@@ -189,7 +189,7 @@ def _counts(rows):
 @query("kmeans_fit")
 def kmeans_fit(t):
     rows = combined_points(t)
-    labelled, _ = C.kmeans_grid(rows, _counts(rows), starts=1)
+    labelled, _ = C.kmeans_grid(rows, _counts(rows))
     return labelled.groupBy("label").agg(F.count("*").alias("size"))
 
 

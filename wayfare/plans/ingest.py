@@ -246,7 +246,7 @@ def extract_page_records(t):
            CASE WHEN source <> 'src3' THEN concat('Title ', i) ELSE 'N/A' END AS review_title,
            CASE WHEN source <> 'src4' THEN 'May 2024' ELSE 'N/A' END AS review_date,
            concat('name', doc_id) AS username, concat('/Profile/', doc_id) AS username_link,
-           {_visible("split_part(text, '</div>', 1)")} AS review_body,
+           {_visible("concat(text, ' (', i, ')')")} AS review_body,
            CASE WHEN source <> 'src3' THEN concat(doc_id, i) ELSE 'N/A' END AS review_id
     FROM documents, (VALUES (0), (1)) AS v(i)""")
 def extract_review_cards(t):
@@ -258,8 +258,9 @@ def extract_review_cards(t):
         when = F.when(F.col("source") != "src4", '<div class="RpeCd"> May 2024 • Couples</div>').otherwise("")
         user = F.concat(F.lit('<span class="biGQs _P fiohW fOtGX"><a class="u" href="/Profile/'), F.col("doc_id").cast("string"),
                         F.lit('">name'), F.col("doc_id").cast("string"), F.lit("</a></span>"))
-        body = F.concat(F.lit('<div class="JguWG"><span>'), F.col("text"), F.lit("</span></div>"))
-        return F.concat(F.lit('<div class="_c" data-x="1">'), link, when, user, body, F.lit("</div>"))
+        body = F.concat(F.lit('<div class="JguWG"><div><span>'), F.col("text"), F.lit(f'</span></div><div class="n"> ({i})</div></div><div>Helpful?</div>'))
+        start = '<div class="_c" data-x="1">' if i == 0 else '<div id="r" class="_c last">'
+        return F.concat(F.lit(start), link, when, user, body, F.lit("</div>"))
 
     pages = t.table("documents").select(F.col("doc_id").alias("page_id"),
                                         F.concat(F.lit('<main><div class="LbPSX">'), card(0), card(1), F.lit("</div></main>")).alias("html"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
 from wayfare.functions import vector as V
@@ -51,7 +49,7 @@ def vector_topk_filtered(t):
 def vector_topk_cells(t):
     """Search without a filter through coarse cells, about the square root of the corpus of them."""
     rows = corpus(t)
-    centres = search.fit_cells(rows, max(2, min(search.MOST_CELLS, math.isqrt(rows.count()))))
+    centres = search.fit_cells(rows, search.cell_count(rows.count()))
     stored = cut_lineage(search.with_cell(rows, centres))
     return search.top_k_by_cells(asked(t), stored, centres).drop("match_rank")
 
@@ -119,7 +117,7 @@ def candidates_union(t):
 
 _PLAN = """
     WITH ranked AS (SELECT city, type, p.place_id, name, price, row_number() OVER (PARTITION BY city, type ORDER BY mean_rating DESC, p.place_id) AS r
-                    FROM place p JOIN place_stats s ON p.place_id = s.place_id WHERE type <> 'VACATION_RENTAL' QUALIFY r <= 10),
+                    FROM place p JOIN place_stats s ON p.place_id = s.place_id WHERE type <> 'VACATION_RENTAL'),
          available AS (SELECT city, type, max(r) AS m FROM ranked GROUP BY city, type),
          trip AS (SELECT o_orderkey AS request_id, n_name AS city, 2 + o_orderkey % 9 AS n_days
                   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
@@ -135,7 +133,7 @@ _PLAN = """
 def _plan(t):
     places = t.place.filter(F.col("type") != "VACATION_RENTAL").join(
         t.place_stats.select("place_id", F.col("mean_rating").alias("rating")), "place_id")
-    return recommend.day_plan(t.trip.select("request_id", "city", "n_days"), recommend.ranked_places(places, 10))
+    return recommend.day_plan(t.trip.select("request_id", "city", "n_days"), places)
 
 
 @query("day_plan", _PLAN + " SELECT * FROM planned", ("place", "place_stats"))

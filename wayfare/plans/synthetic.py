@@ -115,13 +115,17 @@ def dup_keys(t):
     return quality.duplicate_keys(t.review, ["review_id"])
 
 
-_PROFILED = ("place_id", "name", "type", "city", "brand_or_null")
+_PROFILED = ("place_id", "name", "type", "city", "brand_or_null", "size", "noted")
 
 
 @query("profile_table", " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS n_distinct, "
-    f"min({c}) AS min_value, max({c}) AS max_value "
-    f"FROM (SELECT *, CASE WHEN type <> 'HOTEL' THEN brand END AS brand_or_null FROM place)" for c in _PROFILED), ("place",))
+    f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value "
+    f"FROM (SELECT *, CASE WHEN type <> 'HOTEL' THEN brand END AS brand_or_null, CAST(place_id AS BIGINT) * 7 AS size, "
+    f"DATE '2024-01-01' + CAST(place_id AS INTEGER) % 400 AS noted FROM place)" for c in _PROFILED), ("place",))
 def profile_table(t):
-    rows = t.place.withColumn("brand_or_null", F.when(F.col("type") != "HOTEL", F.col("brand")))
+    """Text, number and date columns; smallest and largest by the column's own order."""
+    rows = t.place.withColumns({
+        "brand_or_null": F.when(F.col("type") != "HOTEL", F.col("brand")), "size": F.col("place_id").cast("long") * 7,
+        "noted": F.date_add(F.lit("2024-01-01").cast("date"), (F.col("place_id").cast("int") % 400))})
     return quality.profile(rows.select(*_PROFILED))

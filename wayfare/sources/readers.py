@@ -12,17 +12,25 @@ from wayfare import schemas
 from wayfare.functions import casts
 
 
-# Holds the text of a row whose number of fields is wrong.
+# Holds the text of a row whose number of fields is wrong, or that is no JSON of the expected shape.
 BROKEN = "_broken"
 
 
-def read_reviews(spark: SparkSession, path: str) -> DataFrame:
+def read_json(spark: SparkSession, path: str, schema: T.StructType, keep_broken: bool = False) -> DataFrame:
+    """One JSON object per line; ``keep_broken`` adds a column with the text of lines that do not parse, for a load to reject."""
+    if not keep_broken:
+        return spark.read.schema(schema).json(path)
+    kept = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
+    return spark.read.schema(kept).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BROKEN).json(path)
+
+
+def read_reviews(spark: SparkSession, path: str, keep_broken: bool = False) -> DataFrame:
     """Nested review documents, one JSON object per line."""
-    return spark.read.schema(schemas.REVIEW_RAW).json(path)
+    return read_json(spark, path, schemas.REVIEW_RAW, keep_broken)
 
 
-def read_places(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.PLACE_RAW).json(path)
+def read_places(spark: SparkSession, path: str, keep_broken: bool = False) -> DataFrame:
+    return read_json(spark, path, schemas.PLACE_RAW, keep_broken)
 
 
 def read_envelope(spark: SparkSession, path: str, row: T.StructType, multi_line: bool = False) -> DataFrame:

@@ -79,19 +79,19 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     writer.parquet(path)
 
 
-def split_rejects(raw: DataFrame, spec: dict[str, str]) -> DataFrame:
+def split_rejects(raw: DataFrame, spec: dict[str, str], broken: str = "field count") -> DataFrame:
     """Cast text columns by ``spec``; ``_rejected`` lists the columns whose text does not fit its type,
-    or names the row's field count where the reader kept broken rows."""
+    or says ``broken`` where the reader kept the text of a row it could not take apart (then also in ``_raw``)."""
     cast = {name: casts.CASTS[kind](F.col(name)) for name, kind in spec.items()}
     faults = [
         F.when(F.col(name).isNotNull() & cast[name].isNull(), F.lit(name))
         for name, kind in spec.items() if kind != "string"
     ]
     if BROKEN in raw.columns:
-        faults.append(F.when(F.col(BROKEN).isNotNull(), F.lit("field count")))
+        faults.append(F.when(F.col(BROKEN).isNotNull(), F.lit(broken)))
     bad = F.array_compact(F.array(*faults))
     return raw.select(*[value.alias(name) for name, value in cast.items()], bad.alias("_rejected"),
-                      F.struct(*spec).alias("_raw"))
+                      F.struct(*spec, *[c for c in raw.columns if c == BROKEN]).alias("_raw"))
 
 
 def good_rows(checked: DataFrame) -> DataFrame:
@@ -102,13 +102,13 @@ def rejected_rows(checked: DataFrame) -> DataFrame:
     return checked.filter(F.size("_rejected") > 0).select("_raw.*", "_rejected")
 
 
-def load_table(raw: DataFrame, spec: dict[str, str], path: str, mode: str = "append") -> None:
+def load_table(raw: DataFrame, spec: dict[str, str], path: str, mode: str = "append", broken: str = "field count") -> None:
     """Tolerant bulk load in one pass over the source.
 
     Rows that fit their types and rows that do not land in two folders of one
     table; a rejected row keeps its text and the names of the columns at fault.
     """
-    checked = split_rejects(raw, spec)
+    checked = split_rejects(raw, spec, broken)
     status = F.when(F.size("_rejected") > 0, REJECTED).otherwise(GOOD)
     kept_text = F.when(F.size("_rejected") > 0, F.col("_raw"))
     checked.withColumn("_raw", kept_text).withColumn("load_status", status).write.mode(mode).partitionBy("load_status").parquet(path)
