@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import arrow_map, components, saved, table
+from wayfare.llm.common import arrow_map, components, in_blocks, runs, saved, table
 from wayfare.llm.filters import code_words, decode, height
 
 COSINE = 0.93
@@ -67,33 +67,18 @@ def compare(reps, many, vectors, lists, at, sides, cosine):
 
 
 def _compared(batches, cosine):
-    """Rows sorted by (bucket, left, right): each run of equal ones is compared; a run may go over several batches."""
-    held, key = [], None
-
-    def flush():
-        reps, many = (np.array([r[c] for r in held], np.int64) for c in ("rep", "many"))
-        left, right, at = held[0]["left"], held[0]["right"], held[0]["bucket"]
-        sides = None if left == right else np.array([r["block"] for r in held])
-        links, linked, label = compare(reps, many, [r["vector"] for r in held], [r["buckets"] for r in held], at, sides, cosine)
-        return reps[linked], label, links[linked]
-
+    """Compares each pair of blocks, given as rows sorted by (bucket, left, right)."""
     out: list[tuple] = []
     size = 0
-    for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            for row in batch.slice(at, 512).to_pylist():
-                mark = (row["bucket"], row["left"], row["right"])
-                if mark != key and held:
-                    out.append(flush())
-                    size += len(out[-1][0])
-                    held = []
-                key = mark
-                held.append(row)
-            if size > 20_000:
-                yield _rows(out)
-                out, size = [], 0
-    if held:
-        out.append(flush())
+    for held in runs(batches, ("bucket", "left", "right")):
+        reps, many = np.array(held["rep"], np.int64), np.array(held["many"], np.int64)
+        sides = None if held["left"][0] == held["right"][0] else np.array(held["block"])
+        links, linked, label = compare(reps, many, held["vector"], held["buckets"], held["bucket"][0], sides, cosine)
+        out.append((reps[linked], label, links[linked]))
+        size += len(linked)
+        if size > 20_000:
+            yield _rows(out)
+            out, size = [], 0
     yield _rows(out)
 
 
@@ -143,13 +128,7 @@ def groups(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> Da
     lists = met.groupBy("rep").agg(F.sort_array(F.collect_set("bucket")).alias("buckets"))  # as many as a vector has filters
 
     wide = met.join(classes.select("rep", "many", F.col("embedding").cast("array<double>").alias("vector")), "rep").join(lists, "rep")
-    parts = F.ceil(F.col("size") / block)
-    wide = wide.withColumn("parts", parts.cast("int")).withColumn(
-        "block", F.pmod(F.xxhash64("rep", "bucket"), F.col("parts")).cast("int"))
-    wide = wide.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    wide = wide.withColumns({"left": F.least("block", "other"), "right": F.greatest("block", "other")})
-    wide = wide.select("bucket", "left", "right", "block", "rep", "many", "vector", "buckets")
-    wide = wide.repartition("bucket", "left", "right").sortWithinPartitions("bucket", "left", "right", "rep")
+    wide = in_blocks(wide, "bucket", "size", "rep", block)
     found = saved(wide.mapInArrow(lambda batches: _compared(batches, cosine), "rep long, low long, links long"), "links")
 
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))

@@ -100,6 +100,38 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionByName(links.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
 
 
-def starts_of(lengths: np.ndarray) -> np.ndarray:
-    """Exclusive running sum."""
-    return np.cumsum(lengths) - lengths
+def runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str], rows: int = 512) -> Iterator[dict[str, list]]:
+    """Columns of each run of rows that are equal in ``keys``, of rows sorted by them; a run may go over batches."""
+    held: dict[str, list] | None = None
+    mark = None
+    for part in slices(batches, rows):
+        columns = part.to_pydict()
+        marks = list(zip(*(columns[k] for k in keys)))
+        at = 0
+        while at < len(marks):
+            end = at
+            while end < len(marks) and marks[end] == marks[at]:
+                end += 1
+            if marks[at] != mark:
+                if held is not None:
+                    yield held
+                held, mark = {name: [] for name in columns}, marks[at]
+            for name, values in columns.items():
+                held[name] += values[at:end]
+            at = end
+    if held is not None:
+        yield held
+
+
+def in_blocks(members: DataFrame, bucket: str, size: str, node: str, block: int) -> DataFrame:
+    """Members of buckets dealt to pairs of blocks (columns block, left, right), sorted for ``runs``.
+
+    A bucket of ``size`` members has a block for every ``block`` of them, and a
+    member goes to each pair its block is in, so a task holds two blocks at most
+    and a large bucket is met by many tasks.
+    """
+    dealt = members.withColumn("parts", F.ceil(F.col(size) / block).cast("int"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64(node, bucket), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.withColumns({"left": F.least("block", "other"), "right": F.greatest("block", "other")})
+    return dealt.drop("parts", "other").repartition(bucket, "left", "right").sortWithinPartitions(bucket, "left", "right", node)

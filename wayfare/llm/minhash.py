@@ -1,11 +1,17 @@
 """MinHash near-duplicates: circulant signatures, bands, exact Jaccard on full shingle sets, components.
 
 Documents with one shingle set are one class from the start. Classes that share
-a band key are compared exactly, in three steps that together lose no link
-between members of different components: each bucket's members with its
-smallest class; then, where a bucket still spans components, with its largest;
-then what is left, members of different components with each other. Groups of
-copies so cost a star, not all pairs.
+a band key are candidates, and links are confirmed on the full sets, in three
+steps that together lose no link between members of different components:
+
+1. the members of each bucket with its smallest one (a star, not all pairs);
+2. where a bucket still spans components, the pairs that a sketch says are
+   most alike and would join two of them (a forest, not all pairs);
+3. all pairs of what is left that stand in different components, share no
+   earlier bucket, and are not ruled out by size or sketch.
+
+Steps 2 and 3 look at buckets in blocks inside tasks, so the pairs of a large
+group are looked at where they are and only those worth a check are written.
 
 Results in odd cases: a null or blank text has an empty set and links with
 nothing; rows that share a doc_id are one document; a row without doc_id is its
@@ -15,28 +21,41 @@ Extra columns are not looked at (``groups``) or kept (``deduplicate``).
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import arrow_map, components, saved, table
-from wayfare.llm.shingles import alike, band_keys, digest, shingle_set, signatures
+from wayfare.llm.common import arrow_map, components, in_blocks, runs, saved, table
+from wayfare.llm.shingles import BANDS, MARGIN, alike, band_keys, digest, estimates, shingle_set, signatures
 
 PERCENT = 75
+#: Members of one block of a bucket, about; a task holds two blocks at a time.
+BLOCK = 512
 
 
 def prints(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, digest, keys): size and digest of each document's set, and its band keys."""
+    """Per document: size and digest of its set, its band keys, and what steps 2 and 3 look at.
+
+    ``marks`` are 4 bytes of each band key, ``sketch`` one byte of each coordinate.
+    """
 
     def run(ids, texts):
         sets = [shingle_set(t) for t in texts]
         full = [s for s in sets if len(s)]
-        keys = iter(band_keys(signatures(full)))
+        signed = signatures(full)
+        keys = band_keys(signed)
+        marks, sketch = keys.astype(np.uint32), signed.astype(np.uint8)
+        at = iter(range(len(full)))
+        place = [next(at) if len(s) else None for s in sets]
         return {"doc_id": ids, "n_shingles": [len(s) for s in sets],
-                "digest": [digest(s) if len(s) else None for s in sets],
-                "keys": [next(keys) if len(s) else None for s in sets]}
+                "digest": [None if p is None else digest(s) for p, s in zip(place, sets)],
+                "keys": [None if p is None else keys[p] for p in place],
+                "marks": [None if p is None else marks[p].tobytes() for p in place],
+                "sketch": [None if p is None else sketch[p].tobytes() for p in place]}
 
     return arrow_map(docs.select("doc_id", "text"), run, {
-        "doc_id": "long", "n_shingles": "long", "digest": "binary", "keys": "array<long>"})
+        "doc_id": "long", "n_shingles": "long", "digest": "binary", "keys": "array<long>", "marks": "binary", "sketch": "binary"})
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -70,11 +89,62 @@ def relabelled(pairs: DataFrame, labels: DataFrame, column: str) -> DataFrame:
     return pairs.join(named, column, "left").withColumn(column, F.coalesce("__comp", column)).drop("__comp")
 
 
-def unresolved(live: DataFrame, labels: DataFrame, name: str) -> DataFrame:
-    """Members of buckets that still span several components, with their component."""
+def unresolved(live: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets that still span several components, with their component and the bucket's size."""
     placed = live.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    open_buckets = placed.groupBy("key").agg(F.min("comp").alias("__l"), F.max("comp").alias("__h")).where("__l < __h")
-    return saved(placed.join(open_buckets.select("key"), "key", "left_semi"), name)
+    spans = placed.groupBy("key").agg(F.min("comp").alias("__l"), F.max("comp").alias("__h"), F.count("*").alias("size"))
+    return placed.join(spans.where("__l < __h").select("key", "size"), "key")
+
+
+def forest(a, b, comps, alike_by):
+    """Of the pairs (a, b), the most alike ones that join two components each; a spanning forest of the components."""
+    root: dict[int, int] = {}
+
+    def find(n):
+        while root.get(n, n) != n:
+            root[n] = root.get(root[n], root[n])
+            n = root[n]
+        return n
+
+    kept = []
+    for i in np.argsort(-alike_by, kind="stable").tolist():
+        x, y = find(int(comps[a[i]])), find(int(comps[b[i]]))
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            kept.append(i)
+    return np.array(kept, np.int64)
+
+
+def _candidates(batches, percent: int, spanning: bool):
+    """(a, b) of rows sorted by (key, left, right): pairs of members in different components that may be alike."""
+    for held in runs(batches, ("key", "left", "right")):
+        reps, comps, n = (np.array(held[c], np.int64) for c in ("rep", "comp", "n"))
+        marks = np.frombuffer(b"".join(held["marks"]), np.uint32).reshape(-1, BANDS)
+        sketches = np.frombuffer(b"".join(held["sketch"]), np.uint8).reshape(len(reps), -1)
+        open_pairs = np.triu(comps[:, None] != comps[None, :], 1)
+        if held["left"][0] != held["right"][0]:
+            side = np.array(held["block"])
+            open_pairs &= side[:, None] != side[None, :]
+        open_pairs &= 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
+        if not spanning:
+            for earlier in range(held["band"][0]):
+                open_pairs &= marks[:, None, earlier] != marks[None, :, earlier]
+        a, b = np.nonzero(open_pairs)
+        alike_by = estimates(sketches, a, b)
+        near = np.flatnonzero(alike_by >= (percent / 100 + 0.02 if spanning else percent / 100 - MARGIN))
+        a, b = a[near], b[near]
+        if spanning and len(near):
+            kept = forest(a, b, comps, alike_by[near])
+            a, b = a[kept], b[kept]
+        if len(a):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(reps[a], reps[b])), pa.array(np.maximum(reps[a], reps[b]))], names=["a", "b"])
+
+
+def candidates(live: DataFrame, labels: DataFrame, looks: DataFrame, percent: int, spanning: bool) -> DataFrame:
+    left = unresolved(live, labels).join(looks, "rep")
+    dealt = in_blocks(left, "key", "size", "rep", BLOCK)
+    return dealt.mapInArrow(lambda batches: _candidates(batches, percent, spanning), "a long, b long").distinct()
 
 
 def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -87,35 +157,25 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # Rows that share a doc_id are one document: the smallest class of the id stands for all its classes.
     apart = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "b")
 
-    bands = named.join(classes.select(F.col("rep").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi").select(
-        F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
+    first = named.join(classes.select(F.col("rep").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi").select(
+        F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "keys", "marks", "sketch")
+    first = saved(first.dropDuplicates(["rep", "n", "marks"]), "firsts")
+    bands = first.select("rep", "n", F.posexplode("keys").alias("band", "key"))
     buckets = bands.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).where("hub < top")
-    live = saved(bands.join(buckets, "key"), "buckets")
+    live = saved(bands.join(buckets.select("key", "hub"), "key"), "buckets")
     involved = live.select(F.col("rep").alias("doc_id")).distinct()
 
     def run(ids, texts):
         return {"rep": ids, "members": [shingle_set(t).tobytes() for t in texts]}
 
     sets = saved(arrow_map(docs.join(involved, "doc_id", "left_semi"), run, {"rep": "long", "members": "binary"}), "sets")
+    looks = first.select("rep", "marks", "sketch")
 
     stars = live.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     labels = merged(None, verified(stars, sets, percent).unionByName(apart))
-    left = unresolved(live, labels, "open")
-    stars = left.where("rep <> top AND rep <> hub").join(
-        labels.select(F.col("rep").alias("top"), F.col("comp").alias("top_comp")), "top", "left")
-    stars = stars.where(F.coalesce("top_comp", "top") != F.col("comp"))
-    stars = stars.select(F.col("rep").alias("a"), F.col("top").alias("b")).distinct()
-    labels = merged(labels, verified(stars, sets, percent))
-
-    left = unresolved(left.drop("comp"), labels, "open").where("rep <> hub AND rep <> top")
-    each = left.groupBy("key", "comp").agg(F.count("*").alias("many"))
-    most = each.groupBy("key").agg(F.max_by("comp", "many").alias("main"))
-    minor = left.join(most, "key").where("comp <> main").select(
-        "key", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"))
-    rest = minor.join(left.select("key", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b")), "key")
-    rest = rest.where((F.col("comp_a") != F.col("comp_b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    labels = merged(labels, verified(rest, sets, percent))
+    live = live.drop("hub")
+    for spanning in (True, False):
+        labels = merged(labels, verified(candidates(live, labels, looks, percent, spanning), sets, percent))
 
     placed = member.join(labels, "rep", "left").select(
         "doc_id", "n_shingles", F.coalesce("comp", "rep").alias("component_id"))

@@ -10,6 +10,10 @@ import xxhash
 #: Bands of rows: at a similarity of 0.75 a pair misses all bands with chance (1 - 0.75**4)**32 = 5e-6.
 BANDS = 32
 ROWS = 4
+#: Coordinates of which the lowest byte is kept to estimate a similarity; the bands use the first BANDS * ROWS of them.
+SKETCH = 512
+#: Estimates have a deviation of 0.019 at 0.75; a pair this far below the threshold is out (chance of an error: 3e-6).
+MARGIN = 0.087
 WORDS = 5
 _CHUNK = 1 << 15
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -59,7 +63,7 @@ def digest(found: np.ndarray) -> bytes:
     return md5(found.tobytes()).digest()
 
 
-def signatures(sets: list[np.ndarray], coordinates: int = BANDS * ROWS) -> np.ndarray:
+def signatures(sets: list[np.ndarray], coordinates: int = SKETCH) -> np.ndarray:
     """Circulant MinHash of non-empty sets, one row each.
 
     The universe are the 32-bit numbers. The first permutation (sigma) places an
@@ -96,13 +100,22 @@ def signatures(sets: list[np.ndarray], coordinates: int = BANDS * ROWS) -> np.nd
 
 def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """One 64-bit key per band; keys of different bands never meet but by chance."""
-    parts = signature.reshape(len(signature), bands, rows).astype(np.uint64)
+    parts = signature[:, :bands * rows].reshape(len(signature), bands, rows).astype(np.uint64)
     value = np.zeros((len(signature), bands), np.uint64)
     for j in range(rows):
         value = mixed(value * _MULTIPLY + parts[:, :, j] + np.uint64(1))
     return mixed(value + np.arange(bands, dtype=np.uint64)[None, :] * _MULTIPLY).view(np.int64)
 
 
+def estimates(sketches: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Estimated similarity of the pairs (a, b) of sketch rows; unequal values share their lowest byte 1 time in 256."""
+    out = np.zeros(len(a))
+    for at in range(0, len(a), 4096):
+        same = (sketches[a[at:at + 4096]] == sketches[b[at:at + 4096]]).mean(axis=1)
+        out[at:at + 4096] = (same - 1 / 256) / (1 - 1 / 256)
+    return out
+
+
 def alike(a: bytes, b: bytes, percent: int = 75) -> bool:
     """Whether 100 * intersection >= percent * union, of two sets as bytes."""
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
