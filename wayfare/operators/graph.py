@@ -35,6 +35,8 @@ PLACE_PROPERTIES = {
     "Restaurant": ("restaurant_id", "name", "rating", "review_count", "price_category", "ranking", "phone", "website",
                    "email", "cuisines", "latitude", "longitude"),
 }
+# The property list of a review node.
+REVIEW_PROPERTIES = ("review_id", "rating", "text", "title", "travel_date", "trip_type", "user_name", "user_id")
 WHOLE_NUMBERS = ("review_count", "ranking", "number_of_rooms")
 DECIMALS = ("rating", "latitude", "longitude", "hotel_class")
 
@@ -73,6 +75,19 @@ def place_nodes(raw: DataFrame, label: str, version: Sequence[str]) -> DataFrame
     return newest.select(*columns)
 
 
+def review_nodes(review: DataFrame, version: Sequence[str]) -> DataFrame:
+    """Review nodes of a review table: one row per id (newest version); missing texts are '' and ratings 0."""
+    newest = last_per_key(review.withColumn("review_id", F.col("review_id").cast("string")), ["review_id"], version)
+    return newest.select(*[
+        (casts.double_or_zero(F.col(name)) if name in DECIMALS else F.coalesce(F.col(name).cast("string"), F.lit(""))).alias(name)
+        for name in REVIEW_PROPERTIES])
+
+
+def as_nodes(reviews: DataFrame) -> DataFrame:
+    """Review nodes in the columns of the node table."""
+    return _shape(reviews, F.lit("Review"), id=F.col("review_id"), name=F.col("title"), rating=F.col("rating"))
+
+
 def _shape(df: DataFrame, label, **columns) -> DataFrame:
     given = {"label": label, **columns}
     return df.select(*[

@@ -30,6 +30,50 @@ def nodes_place(t):
     return G.place_nodes(older.unionByName(text), "Attraction", ["version"])
 
 
+@query("nodes_hotel", """
+    SELECT place_id AS hotel_id, name, price AS rating, CAST(size_no AS INTEGER) AS review_count, brand AS price_range, 0 AS ranking, '' AS phone,
+           concat(city, ', ', state) AS address, '' AS website, '' AS email, CASE WHEN country = 'EAST' THEN 3.5 ELSE 0 END::DOUBLE AS hotel_class,
+           CAST(size_no * 2 AS INTEGER) AS number_of_rooms, 0.0::DOUBLE AS latitude, 1.5::DOUBLE AS longitude FROM place WHERE type = 'HOTEL'""", ("place",))
+def nodes_hotel(t):
+    text = t.place.filter(F.col("type") == "HOTEL").select(
+        F.col("place_id").alias("hotel_id"), "name", F.col("price").cast("string").alias("rating"), F.col("size_no").cast("string").alias("review_count"),
+        F.col("brand").alias("price_range"), *[F.lit(None).cast("string").alias(c) for c in ("ranking", "phone", "website", "email", "latitude")],
+        F.concat_ws(", ", "city", "state").alias("address"), F.when(F.col("country") == "EAST", "3.5").alias("hotel_class"),
+        (F.col("size_no") * 2).cast("string").alias("number_of_rooms"), F.lit("1.5").alias("longitude"), F.lit(1).alias("version"))
+    return G.place_nodes(text.unionByName(text), "Hotel", ["version"])
+
+
+@query("nodes_restaurant", """
+    SELECT place_id AS restaurant_id, name, price AS rating, 0 AS review_count, CASE WHEN price > 1000 THEN '$$' ELSE '' END AS price_category,
+           CAST(size_no AS INTEGER) AS ranking, '' AS phone, concat('http://r/', place_id) AS website, '' AS email, brand AS cuisines,
+           2.25::DOUBLE AS latitude, 0.0::DOUBLE AS longitude FROM place WHERE type = 'RESTAURANT'""", ("place",))
+def nodes_restaurant(t):
+    text = t.place.filter(F.col("type") == "RESTAURANT").select(
+        F.col("place_id").alias("restaurant_id"), "name", F.col("price").cast("string").alias("rating"), F.lit("many").alias("review_count"),
+        F.when(F.col("price") > 1000, "$$").alias("price_category"), F.col("size_no").cast("string").alias("ranking"),
+        *[F.lit(None).cast("string").alias(c) for c in ("phone", "email", "longitude")], F.concat(F.lit("http://r/"), "place_id").alias("website"),
+        F.col("brand").alias("cuisines"), F.lit("2.25").alias("latitude"), F.lit(2).alias("version"))
+    older = text.withColumns({"version": F.lit(1), "name": F.lit("old")})
+    return G.place_nodes(older.unionByName(text), "Restaurant", ["version"])
+
+
+def review_nodes(t):
+    texts = t.review.select(
+        "review_id", "rating", F.concat(F.lit("stay of "), F.col("trip_type")).alias("text"), F.when(F.col("line_no") > 2, F.col("status")).alias("title"),
+        F.date_format("published", "yyyy-MM").alias("travel_date"), "trip_type", F.concat(F.lit("user"), F.col("user_id")).alias("user_name"), "user_id")
+    return G.review_nodes(texts, ["travel_date", "user_id", "rating", "trip_type", "title"])
+
+
+@query("nodes_review", """
+    SELECT review_id, CAST(rating AS DOUBLE) AS rating, concat('stay of ', trip_type) AS text, CASE WHEN line_no > 2 THEN status ELSE '' END AS title,
+           strftime(published, '%Y-%m') AS travel_date, trip_type, concat('user', user_id) AS user_name, user_id FROM review
+    QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY strftime(published, '%Y-%m') DESC, user_id DESC, rating DESC, trip_type DESC,
+                               CASE WHEN line_no > 2 THEN status END DESC NULLS LAST) = 1""", ("review",))
+def nodes_review(t):
+    """One node per review id: of several rows the one that is last by its own values."""
+    return review_nodes(t)
+
+
 @query("nodes_city", "SELECT DISTINCT concat_ws('|', city, state) AS id, city AS name, state FROM place WHERE type <> 'VACATION_RENTAL'", ("place",))
 def nodes_city(t):
     return t.node.filter(F.col("label") == "City").select("id", "name", "state")
@@ -115,9 +159,23 @@ def related_clusters(t):
     return C.related(vectors, above=0.05).withColumn("similarity", F.round("similarity", 6))
 
 
-@query("node_counts", "SELECT label, count(*) AS n FROM node GROUP BY label", ("node",))
+@query("related_above_cut", """
+    WITH v AS (SELECT label, unnest(CAST(embedding AS DOUBLE[])) + CASE WHEN label % 3 = 0 THEN 0.3 ELSE 0 END AS x,
+                      unnest(range(len(embedding))) AS i FROM embeddings),
+         c AS (SELECT label, list(m ORDER BY i) AS centroid FROM (SELECT label, i, avg(x) AS m FROM v GROUP BY label, i) GROUP BY label),
+         p AS (SELECT CAST(a.label AS BIGINT) AS label, CAST(b.label AS BIGINT) AS other, round(list_cosine_similarity(a.centroid, b.centroid), 6) AS similarity
+               FROM c a JOIN c b ON a.label < b.label)
+    SELECT 'given' AS method, * FROM p WHERE similarity > 0.3""")
+def related_above_cut(t):
+    """The strict cut of 0.3 on clusters of which every third is moved the same way."""
+    moved = t.table("embeddings").select(
+        "label", F.transform(F.col("embedding").cast("array<double>"), lambda x: x + F.when(F.col("label") % 3 == 0, 0.3).otherwise(0.0)).alias("vector"))
+    return C.related(C.with_groupings(moved, {"given": "label"})).withColumn("similarity", F.round("similarity", 6))
+
+
+@query("node_counts", "SELECT label, count(*) AS n FROM node GROUP BY label UNION ALL SELECT 'Review', count(DISTINCT review_id) FROM review", ("node", "review"))
 def node_counts(t):
-    return G.node_counts(t.node)
+    return G.node_counts(t.node.unionByName(G.as_nodes(review_nodes(t))))
 
 
 @query("graph_schema", "SELECT src_label, rel, dst_label, count(*) AS n FROM edge GROUP BY ALL", ("edge",))

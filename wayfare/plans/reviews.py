@@ -207,6 +207,23 @@ def top_values(t):
     return capped.withColumn("value_rank", F.col("value_rank").cast("long"))
 
 
+# Facet -> how many of its values a cluster shows.
+TOP_FACETS = {"city": 10, "state": 10, "country": 5, "place_name": 10, "primary_category": 10}
+
+
+@query("top_facets", " UNION ALL ".join(f"""
+    SELECT '{c}' AS facet, * FROM (SELECT label, CAST({c} AS VARCHAR) AS value, count(*) AS n,
+        row_number() OVER (PARTITION BY label ORDER BY count(*) DESC, {c}) AS value_rank FROM clustered GROUP BY label, {c}) WHERE value_rank <= {k}"""
+    for c, k in TOP_FACETS.items()), ("clustered",))
+def top_facets(t):
+    """Most frequent places, cities, states, countries and categories of each cluster, all counted in one pass."""
+    facets = F.array(*[F.struct(F.lit(c).alias("facet"), F.col(c).cast("string").alias("value"), F.lit(k).alias("most")) for c, k in TOP_FACETS.items()])
+    opened = R.without_noise(t.clustered).select("label", F.explode(facets).alias("f")).select("label", "f.*")
+    counts = opened.groupBy("label", "facet", "most", "value").agg(F.count("*").alias("n"))
+    ranked = R.cap_per_group(counts, ["label", "facet"], [F.col("n").desc(), F.col("value")], max(TOP_FACETS.values()), rank="value_rank")
+    return ranked.filter(F.col("value_rank") <= F.col("most")).select("facet", "label", "value", "n", F.col("value_rank").cast("long").alias("value_rank"))
+
+
 @query("dominant_value", """
     WITH counts AS (SELECT place_id, trip_type, count(*) AS n FROM review GROUP BY place_id, trip_type)
     SELECT place_id, trip_type AS dominant, n FROM counts

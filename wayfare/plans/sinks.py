@@ -41,8 +41,10 @@ def sink_partitioned(t):
 
 @query("sink_append", _ROWS, ("review",))
 def sink_append(t):
+    """Two batches, the second appended to the first; a missing rating is in the second."""
     path = scratch_path(t.spark, "append")
-    batches = [rows(t).filter(F.col("rating") == r) for r in range(1, 6)]
+    low = F.coalesce(F.col("rating") <= 2, F.lit(False))
+    batches = [rows(t).filter(low), rows(t).filter(~low)]
     writers.append_batches(batches, path)
     return casts.typed(readers.read_delimited(t.spark, path, list(ROW_SPEC), multi_line=False), ROW_SPEC)
 
