@@ -14,9 +14,6 @@ MISSING = "N/A"
 BULLET = "•"
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 
-# Stands for a protected apostrophe while quotes are swapped.
-SENTINEL = "￿"
-
 
 def strip(text: Column) -> Column:
     """Without white space at both ends, line breaks included."""
@@ -67,9 +64,7 @@ def repair_json(reply: Column) -> Column:
     Apostrophes inside words stay; every other single quote becomes a double quote.
     """
     text = F.replace(reply, F.lit('"'), F.lit("'"))
-    text = F.regexp_replace(text, r"([\p{L}\p{N}_])'([a-zA-Z]+)([^\p{L}\p{N}_]|$)", f"$1{SENTINEL}$2$3")
-    text = F.replace(text, F.lit("'"), F.lit('"'))
-    text = F.replace(text, F.lit(SENTINEL), F.lit("'"))
+    text = F.regexp_replace(text, r"(?<![\p{L}\p{N}_])'|'(?![a-zA-Z]+(?:[^\p{L}\p{N}_]|$))", '"')
     for python, json in (("True", "true"), ("False", "false"), ("None", "null")):
         text = F.replace(text, F.lit(python), F.lit(json))
     return text
