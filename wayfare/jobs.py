@@ -17,6 +17,9 @@ from wayfare.operators import reviews as R
 from wayfare.operators.reviews import cap_per_group, first_per_key, suffix_join
 from wayfare.sources import readers, writers
 
+# Metadata of an embedding row beyond name, place, review and rating.
+EXTRA_METADATA = {"price_category": "string", "latitude": "double", "longitude": "double", "restaurant_tier": "string",
+                  "review_title": "string", "dietary_restrictions": "string"}
 REVIEW_FAMILIES = {
     "hotel": (ingest.hotel_reviews, schemas.HOTEL_SUBRATINGS),
     "restaurant": (ingest.restaurant_reviews, schemas.RESTAURANT_SUBRATINGS),
@@ -52,14 +55,17 @@ def embedding_rows(place: DataFrame, review: DataFrame, place_order: Sequence[st
     """Rows for the vector index: first row per place and per review, joined, with text and metadata.
 
     ``place(place_id, name, cuisines, city, state, rating)``,
-    ``review(review_id, place_id, city, state, rating, review_text, review_date, trip_type)``.
+    ``review(review_id, place_id, city, state, rating, review_text, review_date, trip_type)``;
+    the other metadata (price category, coordinates, tier, dietary restrictions, review title) is null where
+    neither table has it.
     """
     places = first_per_key(place.withColumn("place_id", F.col("place_id").cast("string")), ["place_id"], place_order)
     reviews = first_per_key(review.withColumn("place_id", F.col("place_id").cast("string")), ["review_id"], review_order)
     joined = suffix_join(places, reviews, "place_id")
     metadata = F.struct(
         F.col("name"), F.col("city_y").alias("city"), F.col("state_x").alias("state"), F.col("rating_x").alias("rating"),
-        F.col("cuisines"), F.col("review_date"), F.col("review_text"), F.col("trip_type"))
+        F.col("cuisines"), F.col("review_date"), F.col("review_text"), F.col("trip_type"),
+        *[(F.col(c) if c in joined.columns else F.lit(None).cast(kind)).alias(c) for c, kind in EXTRA_METADATA.items()])
     return joined.select(
         F.concat_ws("_", "place_id", "review_id").alias("id"), F.lit(namespace).alias("namespace"),
         ingest.embed_text(F.col("name"), F.col("cuisines"), F.col("review_text")).alias("text"), metadata.alias("metadata"))

@@ -8,7 +8,8 @@ from wayfare.functions import rules
 from wayfare.operators import cluster as C
 from wayfare.operators import graph as G
 from wayfare.operators import reviews as R
-from wayfare.registry import query
+from wayfare.plans import reviews  # noqa: F401 - registers the profile whose SQL the cluster nodes share
+from wayfare.registry import ORACLES, query
 
 _ATTRACTIONS = """
     SELECT place_id AS attraction_id, name, price AS rating, CAST(size_no AS INTEGER) AS review_count,
@@ -136,13 +137,21 @@ def edges_in_cluster(t):
         F.count("*").alias("n_reviews"))
 
 
-@query("nodes_cluster", """
-    SELECT concat_ws('_', method, label) AS cluster_id, method, count(*) AS size, round(avg(rating), 6) AS avg_rating,
-           count(DISTINCT primary_category) AS n_categories, count(DISTINCT sentiment) AS n_sentiments FROM clustered GROUP BY method, label""", ("clustered",))
+@query("nodes_cluster", f"""
+    SELECT concat_ws('_', p.method, p.label) AS cluster_id, p.method, p.size, p.mean_rating AS avg_rating, p.weighted_avg, p.dominant_category,
+           p.dominant_sentiment, p.dominant_tier, p.top_city, p.top_state, p.top_country, p.n_attraction AS n_attractions, p.n_city AS n_cities,
+           c.n_categories, c.n_sentiments
+    FROM ({ORACLES['cluster_profile']}) p JOIN (
+        SELECT method, label, count(DISTINCT primary_category) AS n_categories, count(DISTINCT sentiment) AS n_sentiments FROM clustered
+        GROUP BY method, label) c ON p.method = c.method AND p.label = c.label""", ("clustered",))
 def nodes_cluster(t):
-    return R.cluster_profile(t.clustered).select(
+    """Cluster nodes with size, ratings, categories, sentiments, popularity, locations and attractions."""
+    profile = R.cluster_profile(t.clustered)
+    return profile.select(
         F.concat_ws("_", "method", F.col("label").cast("string")).alias("cluster_id"), "method", "size",
-        F.round("mean_rating", 6).alias("avg_rating"), F.col("n_category").alias("n_categories"), F.col("n_sentiment").alias("n_sentiments"))
+        F.round("mean_rating", 6).alias("avg_rating"), F.round("weighted_avg", 6).alias("weighted_avg"), "dominant_category", "dominant_sentiment",
+        "dominant_tier", "top_city", "top_state", "top_country", F.col("n_attraction").alias("n_attractions"), F.col("n_city").alias("n_cities"),
+        F.col("n_category").alias("n_categories"), F.col("n_sentiment").alias("n_sentiments"))
 
 
 _CENTROID_PAIRS = """
