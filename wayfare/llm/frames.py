@@ -17,6 +17,7 @@ import struct
 
 import numpy as np
 
+#: A multiple of eight.
 BLOCK = 1024
 PERCENTILE = 90
 MAGIC = b"TPF1"
@@ -25,18 +26,26 @@ BLOCK_HEAD = struct.Struct("<IBBH")
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
-    """Rows of values below 2**width as rows of bytes."""
-    wide = values.astype("<u2" if width <= 16 else "<u4")
-    bits = np.unpackbits(wide.view(np.uint8).reshape(*values.shape, -1), axis=2, bitorder="little")[:, :, :width]
-    return np.packbits(bits.reshape(len(values), -1), axis=1, bitorder="little")
+    """Rows of values below 2**width as rows of bytes: each eight values fill ``width`` bytes, lowest bits first."""
+    rows, block = values.shape
+    eights = values.astype(np.uint64).reshape(rows, block // 8, 8)
+    out = np.zeros((rows, block // 8, width + 8), np.uint8)
+    for lane in range(8):
+        at, shift = divmod(lane * width, 8)
+        moved = eights[:, :, lane] << np.uint64(shift)
+        for k in range((shift + width + 7) // 8):
+            out[:, :, at + k] |= ((moved >> np.uint64(8 * k)) & np.uint64(255)).astype(np.uint8)
+    return out[:, :, :width].reshape(rows, -1)
 
 
 def _unpack(data: np.ndarray, width: int, block: int) -> np.ndarray:
-    bits = np.unpackbits(data, axis=1, count=block * width, bitorder="little").reshape(len(data), block, width)
-    size = 16 if width <= 16 else 32
-    wide = np.zeros((len(data), block, size), np.uint8)
-    wide[:, :, :width] = bits
-    return np.packbits(wide, axis=2, bitorder="little").view("<u2" if size == 16 else "<u4")[:, :, 0].astype(np.uint32)
+    """The values again: eight bytes are read from where each value begins, then shifted and masked."""
+    padded = np.zeros((len(data), data.shape[1] + 8), np.uint8)
+    padded[:, :data.shape[1]] = data
+    words = np.ndarray((len(data), data.shape[1] + 1), "<u8", padded, strides=(padded.shape[1], 1))
+    first = np.arange(block) * width
+    values = (words[:, first >> 3] >> (first & 7).astype(np.uint64)) & np.uint64((1 << width) - 1)
+    return values.astype(np.uint32)
 
 
 def encode_blocks(ids: np.ndarray, block: int = BLOCK, percentile: int = PERCENTILE) -> list[bytes]:

@@ -18,7 +18,7 @@ import numpy as np
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
 #: Pieces kept per worker; beyond it the cache starts anew (memory bound, no effect on the result).
-CACHE_PIECES = 300_000
+CACHE_PIECES = 800_000
 _MARK = "\x00"
 #: A blank or line break, Latin letters, then ASCII signs other than the apostrophe: the pre-tokenizer cuts such a
 #: piece into exactly these parts (the blank stays with the letters).
@@ -32,6 +32,19 @@ def default_tokenizer() -> str:
     return public_tokenizers.path(TOKENIZER_FILE)
 
 
+class Pieces(dict):
+    """piece -> number; a new piece gets the next number and is noted."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        self.new.append(piece)
+        return number
+
+
 class Encoder:
     """Encodes texts with the file at ``path``; special token strings count as ordinary text."""
 
@@ -49,26 +62,28 @@ class Encoder:
             shown = self._tokenizer.pre_tokenizer.pre_tokenize_str("x" + chr(b) + "x")
             joined = "".join(part for part, _ in shown)
             self._byte_letters[lead], self._byte_letters[last] = joined[1], joined[2]
+        self._blank = self._byte_letters[32]
+        self._signs: dict[str, list[int]] = {}
         self._reset()
 
     def _reset(self) -> None:
-        self._index: dict[str, int] = {}
+        self._index = Pieces()
         self._starts = np.zeros(1 << 16, np.int64)
         self._sizes = np.zeros(1 << 16, np.int64)
         self._ids = np.zeros(1 << 18, np.int32)
-        self._used = 0
+        self._used = self._learnt = 0
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self._tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, np.int32) for e in found]
 
     def _learn(self, pieces: list[str]) -> None:
-        """Put pieces that the cache lacks into it."""
+        """Find the ids of new pieces, numbered in this order."""
         for at in range(0, len(pieces), 4096):
             part = pieces[at:at + 4096]
             found = self._new_ids(part)
             sizes = np.fromiter(map(len, found), np.int64, len(found))
-            new, n = int(sizes.sum()), len(self._index)
+            new, n = int(sizes.sum()), self._learnt
             while n + len(part) > len(self._starts):
                 self._starts, self._sizes = (np.concatenate([a, np.zeros_like(a)]) for a in (self._starts, self._sizes))
             while self._used + new > len(self._ids):
@@ -76,24 +91,53 @@ class Encoder:
             self._ids[self._used:self._used + new] = list(chain.from_iterable(found))
             self._sizes[n:n + len(part)] = sizes
             self._starts[n:n + len(part)] = self._used + np.cumsum(sizes) - sizes
-            self._index.update(zip(part, range(n, n + len(part))))
+            self._learnt += len(part)
             self._used += new
 
     def _new_ids(self, pieces: list[str]) -> list[list[int]]:
         """Ids of each piece: simple ones straight through the library's BPE model, the others through all of it."""
-        model, letters = self._model.tokenize, self._byte_letters
         found: list[list[int] | None] = []
+        words: dict[str, list[int]] = {}
         for piece in pieces:
             simple = _SIMPLE.fullmatch(piece)
-            found.append([
-                token.id for part in simple.groups() if part
-                for token in model(part.encode().decode("latin-1").translate(letters))
-            ] if simple else None)
+            if not simple:
+                found.append(None)
+                continue
+            line, word, signs = simple.groups()
+            ids = words.get(word)
+            if ids is None:
+                known = self._index.get(word)
+                if known is None or known >= self._learnt:
+                    ids = self._part(word)
+                else:
+                    start = self._starts[known]
+                    ids = self._ids[start:start + self._sizes[known]].tolist()
+                words[word] = ids
+            if line:
+                ids = self._common(line) + ids
+            found.append(ids + self._common(signs) if signs else ids)
         rest = [i for i, ids in enumerate(found) if ids is None]
         for i, ids in zip(rest, self._whole([pieces[i] for i in rest]) if rest else ()):
             found[i] = ids.tolist()
         return found
 
+    def _part(self, part: str) -> list[int]:
+        """Ids of what the pre-tokenizer leaves whole."""
+        if part.isascii():  # in the model's alphabet, visible ASCII stands for itself
+            shown = part.replace(" ", self._blank)
+        else:
+            shown = part.encode().decode("latin-1").translate(self._byte_letters)
+        return [token.id for token in self._model.tokenize(shown)]
+
+    def _common(self, part: str) -> list[int]:
+        """Line breaks and signs: few and frequent, so remembered."""
+        ids = self._signs.get(part)
+        if ids is None:
+            if len(self._signs) > 10_000:
+                self._signs.clear()
+            ids = self._signs[part] = [token.id for token in self._model.tokenize(part.translate(self._byte_letters))]
+        return ids
+
     @staticmethod
     def _pieces(text: str) -> list[str] | None:
         if _MARK in text or len(text.split()) != text.count(" ") + text.count("\n") + 1:
@@ -107,18 +151,14 @@ class Encoder:
         out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(texts)
         for i, ids in zip(whole, self._whole([texts[i] for i in whole]) if whole else ()):
             out[i] = ids
-        index = self._index
-        lacking = list(dict.fromkeys(p for c in cut if c for p in c if p not in index))
-        if len(index) + len(lacking) > CACHE_PIECES and index:
+        if len(self._index) > CACHE_PIECES:
             self._reset()
-            index = self._index
-            lacking = list(dict.fromkeys(p for c in cut if c for p in c))
-        if lacking:
-            self._learn(lacking)
-        look = index.__getitem__
-        for i, c in enumerate(cut):
-            if c:
-                at = np.fromiter(map(look, c), np.int64, len(c))
+        look = self._index.__getitem__
+        numbers = [np.fromiter(map(look, c), np.int64, len(c)) if c else None for c in cut]
+        self._learn(self._index.new)
+        self._index.new = []
+        for i, at in enumerate(numbers):
+            if at is not None:
                 sizes = self._sizes[at]
                 ends = np.cumsum(sizes)
                 out[i] = self._ids[np.repeat(self._starts[at] - ends + sizes, sizes) + np.arange(ends[-1])]
