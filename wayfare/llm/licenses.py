@@ -26,40 +26,40 @@ from wayfare.llm.common import arrow_map, table
 # The phrases of the given task and their labels.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
-# License families: label, names as they are written (patterns over words), versions, keyword.
+# License families: label, names as they are written (patterns over words), versions.
 FAMILIES = (
-    ("apache", ("apache", "apache software"), ("1 0", "1 1", "2 0"), "apache"),
-    ("mit", ("mit", "expat"), (), "mit"),
-    ("bsd", ("bsd", "bsd [234] clause", "[234] clause bsd", "simplified bsd", "modified bsd", "new bsd"), (), "bsd"),
-    ("gpl", ("gpl", "gnu gpl", "gnu general public", "general public"), ("1", "2", "2 0", "3", "3 0"), "g"),
+    ("apache", ("apache", "apache software"), ("1 0", "1 1", "2 0")),
+    ("mit", ("mit", "expat"), ()),
+    ("bsd", ("bsd", "bsd [234] clause", "[234] clause bsd", "simplified bsd", "modified bsd", "new bsd"), ()),
+    ("gpl", ("gpl", "gnu gpl", "gnu general public", "general public"), ("1", "2", "2 0", "3", "3 0")),
     ("lgpl", ("lgpl", "gnu lgpl", "gnu lesser general public", "lesser general public", "library general public"),
-     ("2", "2 0", "2 1", "3", "3 0"), "l"),
-    ("agpl", ("agpl", "gnu agpl", "affero general public", "gnu affero general public"), ("1", "3", "3 0"), "a"),
-    ("mpl", ("mpl", "mozilla public"), ("1 0", "1 1", "2 0"), "m"),
-    ("epl", ("epl", "eclipse public"), ("1 0", "2 0"), "e"),
-    ("cddl", ("cddl", "common development and distribution"), ("1 0", "1 1"), "c"),
-    ("eupl", ("eupl", "european union public"), ("1 0", "1 1", "1 2"), "e"),
-    ("artistic", ("artistic", "perl artistic"), ("1 0", "2 0"), "artistic"),
-    ("isc", ("isc",), (), "isc"),
-    ("zlib", ("zlib", "zlib libpng"), (), "zlib"),
-    ("boost", ("boost", "boost software", "bsl"), ("1 0",), "b"),
-    ("unlicense", ("unlicense", "the unlicense"), (), "unlicense"),
-    ("wtfpl", ("wtfpl", "do what the fuck you want to public"), ("1", "2"), "w"),
-    ("ofl", ("ofl", "sil open font", "open font"), ("1 0", "1 1"), "o"),
-    ("psf", ("psf", "python software foundation"), ("2",), "p"),
-    ("php", ("php",), ("3 0", "3 01"), "php"),
-    ("ms-pl", ("ms pl", "microsoft public"), (), "m"),
-    ("cc0", ("cc0", "creative commons zero"), ("1 0",), "c"),
-    ("cc-by", ("cc by", "creative commons attribution"), ("1 0", "2 0", "2 5", "3 0", "4 0"), "c"),
+     ("2", "2 0", "2 1", "3", "3 0")),
+    ("agpl", ("agpl", "gnu agpl", "affero general public", "gnu affero general public"), ("1", "3", "3 0")),
+    ("mpl", ("mpl", "mozilla public"), ("1 0", "1 1", "2 0")),
+    ("epl", ("epl", "eclipse public"), ("1 0", "2 0")),
+    ("cddl", ("cddl", "common development and distribution"), ("1 0", "1 1")),
+    ("eupl", ("eupl", "european union public"), ("1 0", "1 1", "1 2")),
+    ("artistic", ("artistic", "perl artistic"), ("1 0", "2 0")),
+    ("isc", ("isc",), ()),
+    ("zlib", ("zlib", "zlib libpng"), ()),
+    ("boost", ("boost", "boost software", "bsl"), ("1 0",)),
+    ("unlicense", ("unlicense", "the unlicense"), ()),
+    ("wtfpl", ("wtfpl", "do what the fuck you want to public"), ("1", "2")),
+    ("ofl", ("ofl", "sil open font", "open font"), ("1 0", "1 1")),
+    ("psf", ("psf", "python software foundation"), ("2",)),
+    ("php", ("php",), ("3 0", "3 01")),
+    ("ms-pl", ("ms pl", "microsoft public"), ()),
+    ("cc0", ("cc0", "creative commons zero"), ("1 0",)),
+    ("cc-by", ("cc by", "creative commons attribution"), ("1 0", "2 0", "2 5", "3 0", "4 0")),
     ("cc-by-sa", ("cc by sa", "creative commons attribution sharealike", "creative commons attribution share alike"),
-     ("1 0", "2 0", "2 5", "3 0", "4 0"), "c"),
+     ("1 0", "2 0", "2 5", "3 0", "4 0")),
     ("cc-by-nc", ("cc by nc", "creative commons attribution noncommercial", "creative commons attribution non commercial"),
-     ("1 0", "2 0", "2 5", "3 0", "4 0"), "c"),
+     ("1 0", "2 0", "2 5", "3 0", "4 0")),
     ("cc-by-nd", ("cc by nd", "creative commons attribution noderivs", "creative commons attribution no derivatives"),
-     ("1 0", "2 0", "2 5", "3 0", "4 0"), "c"),
-    ("cc-by-nc-sa", ("cc by nc sa", "creative commons attribution noncommercial sharealike"), ("2 0", "3 0", "4 0"), "c"),
-    ("cc-by-nc-nd", ("cc by nc nd", "creative commons attribution noncommercial noderivs"), ("2 0", "3 0", "4 0"), "c"),
-    ("odbl", ("odbl", "open database"), ("1 0",), "o"),
+     ("1 0", "2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nc-sa", ("cc by nc sa", "creative commons attribution noncommercial sharealike"), ("2 0", "3 0", "4 0")),
+    ("cc-by-nc-nd", ("cc by nc nd", "creative commons attribution noncommercial noderivs"), ("2 0", "3 0", "4 0")),
+    ("odbl", ("odbl", "open database"), ("1 0",)),
 )
 # Ways a notice is worded; {n} is the name. Each has a confidence; the order is the rules' priority.
 NOTICES = (
@@ -102,7 +102,7 @@ def rules() -> tuple[Rule, ...]:
     """All rules by priority: wording first, then the longest name, with a version before without."""
     made = []
     for text, confidence in NOTICES:
-        for label, names, versions, _ in sorted(FAMILIES, key=lambda f: -max(map(len, f[1]))):
+        for label, names, versions in sorted(FAMILIES, key=lambda f: -max(map(len, f[1]))):
             for name in sorted(names, key=len, reverse=True):
                 keyword = max(re.sub(r"\[.*?\]", "|", name).split("|"), key=len).strip()
                 for version in (*sorted(versions, key=len, reverse=True), None):
