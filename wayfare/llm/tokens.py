@@ -20,6 +20,8 @@ TOKENIZER_FILE = "byte_bpe_50k.json"
 #: Pieces kept per worker; beyond it the cache starts anew (memory bound, no effect on the result).
 CACHE_PIECES = 800_000
 _MARK = "\x00"
+#: The mark, and all white space but blanks and line breaks.
+_ODD = _MARK + "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 #: A blank or line break, Latin letters, then ASCII signs other than the apostrophe: the pre-tokenizer cuts such a
 #: piece into exactly these parts (the blank stays with the letters).
@@ -141,7 +143,8 @@ class Encoder:
 
     @staticmethod
     def _pieces(text: str) -> list[str]:
-        if _MARK in text or len(text.split()) != text.count(" ") + text.count("\n") + 1:
+        blanks = text.replace("\n", " ")
+        if blanks[0] == " " or blanks[-1] == " " or "  " in blanks or any(map(blanks.__contains__, _ODD)):
             return _CUT.split(text)  # white space that is not single blanks and line breaks only
         return text.replace(" ", _MARK + " ").replace("\n", _MARK + "\n").split(_MARK)
 
