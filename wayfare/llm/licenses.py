@@ -131,6 +131,8 @@ def _automaton():
 #: Each rule needs one of these; texts without any are done after counting their words.
 GATES = (b"licen", b"copyright", b"public domain", b"proprietary", b"may not be", b"permission", b"commercial",
          b"rights reserved", b"redistribution", b" under ", b"cc by", b"general public", b"governed by", b"covered by")
+#: First word of each gate: texts without any hold no gate, whatever stands between their words.
+FIRST_WORDS = tuple(gate.split()[0] for gate in GATES)
 
 
 def detections(words: bytes) -> list[tuple[int, int, Rule]]:
@@ -152,8 +154,7 @@ def scan(text: str | None) -> tuple:
     kept = _WORD_BYTE[np.frombuffer(data, np.uint8)]
     n_words = int(kept[:1].sum() + (kept[1:] & ~kept[:-1]).sum())
     lowered = data.translate(_TO_WORDS)
-    if not any(gate in lowered for gate in (b"licen", b"cc", b"general", b"rights", b"copyright", b"public", b"under",
-                                            b"proprietary", b"may", b"permission", b"commercial", b"redistribution")):
+    if not any(word in lowered for word in FIRST_WORDS):
         return n_words, 0, None, None, "", "", 0.0, []
     words = b" ".join(lowered.split())
     starts, base, confidence = [], set(), 0.0
