@@ -14,6 +14,7 @@ first of them.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from hashlib import sha256
 
@@ -31,8 +32,16 @@ EMAIL_AFTER = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-# The method's own kinds.
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+# The method's own kinds. An account is proposed at every place it can begin, as long as it can be.
+IBAN = re.compile(
+    r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)(?![A-Za-z0-9]))")
+#: Characters of an account by country, blanks aside.
+IBAN_LENGTHS = {country: length for length, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}.items() for country in countries.split()}
 SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 
 # Words whose nearness raises a kind's score, and words that lower it.
@@ -61,6 +70,30 @@ def mod97(code: str) -> bool:
     return 15 <= len(compact) <= 34 and int("".join(str(int(c, 36)) for c in compact[4:] + compact[:4])) % 97 == 1
 
 
+def accounts(text: str) -> list[tuple[int, int]]:
+    """Spans that mod 97 confirms, not overlapping: first those of their country's length, leftmost first; then others, as
+    proposed or, where the country is not listed, the longest that ends at a blank (a word after an account may look like
+    a part of it)."""
+    sure, others = [], []
+    for found in IBAN.finditer(text):
+        start, end = found.span(1)
+        ends = [end, *(e for e in range(end - 1, start, -1) if text[e] == " ")]
+        length = IBAN_LENGTHS.get(text[start:start + 2])
+        exact = [e for e in ends if e - start - text.count(" ", start, e) == length]
+        if exact and mod97(text[start:exact[0]]):
+            if not sure or start >= sure[-1][1]:
+                sure.append((start, exact[0]))
+        else:
+            others += [(start, e) for e in (ends[:1] if length else ends) if mod97(text[start:e])][:1]
+    kept, done = list(sure), 0
+    for start, end in others:
+        at = bisect_left(sure, (start,))
+        if start >= max(done, sure[at - 1][1] if at else 0) and (at == len(sure) or end <= sure[at][0]):
+            kept.append((start, end))
+            done = end
+    return sorted(kept)
+
+
 def emails(text: str):
     """Leftmost matches, not overlapping: the run of name characters before an "@" and the domain after it."""
     done, at = 0, text.find("@")
@@ -93,9 +126,8 @@ def proposals(text: str):
         for found in PHONE.finditer(text):
             if 9 <= sum(c.isdigit() for c in found[0]) <= 15:
                 yield "phone", *found.span()
-    for found in IBAN.finditer(text):
-        if mod97(found[0]):
-            yield "iban", *found.span()
+    for start, end in accounts(text):
+        yield "iban", start, end
     for found in SSN.finditer(text):
         yield "ssn", *found.span()
 
