@@ -1,12 +1,13 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped so that each block of a page is a line; the lengths of the
-lines are summed over a sliding window; text begins where the sums surge and
-ends where they dive, and what lies between is kept. Markup gives the lengths
-their weight: lines of menus, headers, footers, sidebars, notices, adverts,
-forms and comments weigh nothing (so they make the sums dive), lines that are
-mostly links weigh nothing, and inside an article element every line weighs
-enough to stand on its own.
+Markup is stripped so that each block of a page is a line. Lines of menus,
+headers, footers, sidebars, notices, adverts, forms and comments are left out.
+An article element is kept whole. On pages without one the lengths of the other
+lines are summed over a sliding window, in which lines that are mostly links
+weigh nothing; text begins where the sums surge and ends where they dive. The
+heaviest stretches tell which part of the page is the main text: all of the
+container they stand in is kept from the first surge to the last line that
+weighs, short blocks and links between text with it.
 
 Results in odd cases: a null or empty page, or one without any text that
 weighs, has the text ""; unclosed elements end with the page, but an unclosed
@@ -20,16 +21,17 @@ from __future__ import annotations
 import re
 from collections import Counter
 from html import unescape
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame
 
 from wayfare.llm.common import arrow_map, table
 
-#: Lines of one window, and the sum over it at which text surges; a line in an article weighs at least that much.
+#: Lines of one window, and the sum over it at which text surges.
 WINDOW = 3
 SURGE = 80
-#: Where the page has no article element: share of the heaviest stretch's weight that another stretch needs to be kept.
+#: Where the page has no article element: share of the heaviest stretch's weight from which another stretch counts as heavy.
 STRETCH_SHARE = 0.2
 
 # Elements by their role.
@@ -41,6 +43,7 @@ BLOCKS = frozenset((
     "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hr", "html",
     "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot",
     "th", "thead", "title", "tr", "ul"))
+CONTAINERS = frozenset(("div", "section", "td", "center"))
 VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"))
 NAMES_LEFT_OUT = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|banner|sponsor|sponsored|promo|cookie|cookies|consent|notice|popup|"
@@ -71,9 +74,67 @@ def left_out(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def lines(html: str) -> list[tuple[str, bool, bool, int]]:
-    """(text, left out, in an article, characters in links) of each block of the page, in page order."""
-    out: list[tuple[str, bool, bool, int]] = []
+class Line(NamedTuple):
+    """One block of a page; ``linked`` counts its characters in links, ``box`` is the container it stands in."""
+
+    text: str
+    gone: bool
+    inside: bool  # an article
+    linked: int
+    box: int
+
+
+class Boxes:
+    """Containers of a page in the order they open; number 0 is the page itself."""
+
+    def __init__(self):
+        self.above, self.last = [0], [0]  # the container around each, and the last one inside it
+        self._open: list[tuple[str, int]] = []
+        self._names: Counter[str] = Counter()
+
+    @property
+    def now(self) -> int:
+        return self._open[-1][1] if self._open else 0
+
+    def open(self, name: str) -> None:
+        self.above.append(self.now)
+        self.last.append(len(self.last))
+        self._open.append((name, len(self.last) - 1))
+        self._names[name] += 1
+
+    def close(self, name: str | None = None) -> None:
+        """The innermost open one of that name and all inside it; without a name, all."""
+        if name is not None and not self._names[name]:
+            return
+        while self._open:
+            found, box = self._open.pop()
+            self._names[found] -= 1
+            self.last[box] = len(self.last) - 1
+            if found == name:
+                return
+        self.last[0] = len(self.last) - 1
+
+    def holds(self, outer: int, inner: int) -> bool:
+        return outer <= inner <= self.last[outer]
+
+    def around(self, boxes: list[int]) -> int:
+        """The innermost container of all of ``boxes``."""
+        at = boxes[0]
+        for box in boxes:
+            while not self.holds(at, box):
+                at = self.above[at]
+        return at
+
+    def outermost(self, box: int) -> int:
+        while box and self.above[box]:
+            box = self.above[box]
+        return box
+
+
+def lines(html: str) -> tuple[list[Line], Boxes]:
+    """The blocks of the page in page order, and the containers they stand in."""
+    out: list[Line] = []
+    boxes = Boxes()
     text: list[str] = []
     links = [0]
     open_names: list[tuple[str, bool | None]] = []  # left out (True), article (False), or only of such an element's name
@@ -89,7 +150,7 @@ def lines(html: str) -> list[tuple[str, bool, bool, int]]:
 
     def line() -> None:
         joined = " ".join(unescape("".join(text)).split())
-        out.append((joined, depth[True] > 0, depth[False] > 0, links[0]))
+        out.append(Line(joined, depth[True] > 0, depth[False] > 0, links[0], boxes.now))
         text.clear()
         links[0] = 0
 
@@ -104,6 +165,11 @@ def lines(html: str) -> list[tuple[str, bool, bool, int]]:
             line()
         elif name == "a":
             anchors = 0 if token["end"] else 1
+        if name in CONTAINERS:
+            if token["end"]:
+                boxes.close(name)
+            elif not token["attributes"].endswith("/"):
+                boxes.open(name)
         if token["end"]:
             if opened[name]:
                 if name not in BLOCKS:
@@ -130,21 +196,13 @@ def lines(html: str) -> list[tuple[str, bool, bool, int]]:
                     depth[kind] += 1
     put(html[at:] if not re.match(r"<[a-zA-Z/!?]", html[at:]) else "")
     line()
-    return out
+    boxes.close()
+    return out, boxes
 
 
-def weights(found: list[tuple[str, bool, bool, int]]) -> np.ndarray:
-    """Length of each line as the distribution counts it."""
-    has_article = any(inside and not gone and text for text, gone, inside, _ in found)
-    out = np.zeros(len(found))
-    for i, (text, gone, inside, linked) in enumerate(found):
-        if gone or not text or (has_article and not inside):
-            continue
-        if inside:
-            out[i] = max(len(text), SURGE)
-        elif linked * 2 <= len(text):
-            out[i] = len(text)
-    return out
+def weights(found: list[Line]) -> np.ndarray:
+    """Length of each line as the distribution counts it; lines that are mostly links weigh nothing."""
+    return np.array([0 if line.linked * 2 > len(line.text) else len(line.text) for line in found], float)
 
 
 def stretches(weight: np.ndarray) -> list[tuple[int, int]]:
@@ -166,21 +224,32 @@ def stretches(weight: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def kept(found: list[Line], boxes: Boxes) -> list[Line]:
+    """Lines of the outermost container below the body that holds the heavy stretches, from the first surge to the last line
+    that weighs. A container of the heavy stretches alone is kept from its first line that weighs."""
+    weight = weights(found)
+    each = stretches(weight)
+    if not each:
+        return []
+    total = [weight[a:b].sum() for a, b in each]
+    heavy = [i for (a, b), t in zip(each, total) if t >= STRETCH_SHARE * max(total) for i in range(a, b) if weight[i]]
+    inner = boxes.around([found[i].box for i in heavy])
+    outer = boxes.outermost(inner)
+    inside = [i for i, line in enumerate(found) if weight[i] and boxes.holds(outer, line.box)]
+    first = next(a for a, _ in each if boxes.holds(outer, found[a].box))
+    if inner:
+        first = min(first, next(i for i in inside if boxes.holds(inner, found[i].box)))
+    return [line for line in found[first:inside[-1] + 1] if boxes.holds(outer, line.box)]
+
+
 def extract(html: str | None) -> str:
     """The main text of one page: its blocks in page order, joined by one blank."""
     if not html:
         return ""
-    found = lines(html)
-    filled = [f for f in found if f[0] or f[1]]
-    weight = weights(filled)
-    each = stretches(weight)
-    total = [weight[a:b].sum() for a, b in each]
-    in_article = any(f[2] and not f[1] and f[0] for f in filled)
-    keep = [s for s, t in zip(each, total) if in_article or t >= STRETCH_SHARE * max(total)]
-    parts = [
-        filled[i][0] for a, b in keep for i in range(a, b)
-        if filled[i][0] and not filled[i][1] and (not in_article or filled[i][2]) and weight[i] > 0]
-    return " ".join(parts)
+    found, boxes = lines(html)
+    found = [line for line in found if line.text and not line.gone]
+    in_article = [line for line in found if line.inside]
+    return " ".join(line.text for line in in_article or kept(found, boxes))
 
 
 def read(pages: DataFrame) -> DataFrame:
