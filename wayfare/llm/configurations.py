@@ -1,13 +1,18 @@
 """Configuration linear program of bin packing over a histogram of lengths.
 
 A configuration is a multiset of lengths that fits one bin. The program covers
-every length's count with as few configurations as it can; multiplicative
+every length's count with as few configurations as it can. Multiplicative
 weights set a price per length, a knapsack table finds the dearest
 configuration at these prices, and each round of prices moves a step towards a
-fractional cover. Covers are rounded down, what is left over is priced anew,
-and the last few pieces, fewer than there are lengths, are fitted best first.
-Work depends on the number of distinct lengths and the capacity, not on the
-number of pieces.
+cover; one cover is made, at prices that fall little. Where its bins lie above
+the dual bound of prices by length (lengths that stand close together), the
+program is solved by pivots: prices now are those at which each configuration
+of the cover costs one, the table's dearest configuration enters the cover, and
+this ends when the cover comes near the dual bound of its prices. Covers are
+rounded down, what is left over is priced anew, and the last few pieces, fewer
+than there are lengths, are fitted best first. The plan with fewer bins is
+taken. Work depends on the number of distinct lengths and the capacity, not on
+the number of pieces.
 """
 
 from __future__ import annotations
@@ -23,23 +28,29 @@ BEND = 1.05
 #: How fast a covered length's price falls.
 FALL = 0.5
 ROUNDS = 1500
+#: Share above the dual bound at which a cover is near enough, and the most work spent on pivots: numbers looked at.
+NEAR = 0.001
+WORK = 1.5e9
 
 
 def dearest(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> np.ndarray:
     """How often each length stands in the configuration of the highest price; a knapsack table over the capacity."""
-    best = np.zeros(capacity + 1)
+    shortest = int(lengths[0])
+    best = np.zeros(2 * capacity + 1)  # the first ``capacity`` entries are of rooms below 0
+    best[:capacity] = -np.inf
     pick = np.full(capacity + 1, -1)
-    upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for room in range(int(lengths[0]), capacity + 1):
-        value = prices[:upto[room]] + best[room - lengths[:upto[room]]]
-        k = int(value.argmax())
-        if value[k] > best[room - 1] + 1e-15:
-            best[room], pick[room] = value[k], k
-        else:
-            best[room] = best[room - 1]
+    for room in range(shortest, capacity + 1, shortest):  # rooms of one block look only at blocks before
+        rooms = np.arange(room, min(room + shortest, capacity + 1))
+        fits = np.searchsorted(lengths, rooms[-1], side="right")
+        value = best[(rooms + capacity)[:, None] - lengths[:fits]] + prices[:fits]
+        k = value.argmax(axis=1)
+        dear = value[np.arange(len(rooms)), k]
+        so_far = np.maximum.accumulate(np.append(best[capacity + room - 1], dear))
+        best[capacity + rooms] = so_far[1:]
+        pick[rooms] = np.where(dear > so_far[:-1] + 1e-15, k, -1)
     taken = np.zeros(len(lengths), np.int64)
     room = capacity
-    while room >= lengths[0]:
+    while room >= shortest:
         if pick[room] < 0:
             room -= 1
         else:
@@ -70,6 +81,37 @@ def cover(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int =
     return [(taken, amount) for taken, amount in found.values()]
 
 
+def pivots(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[list[tuple[np.ndarray, float]], float]:
+    """A fractional cover as (configuration, amount), by column generation, and the dual bound of its prices.
+
+    The cover has as many configurations as there are lengths. Each round prices
+    lengths so that every configuration of the cover costs one; the dearest one
+    at these prices enters and the one that it empties first leaves.
+    """
+    # A breath more of each length, so that no two configurations of the cover run out at once.
+    count = demand * (1 + 1e-6 * np.random.default_rng(0).random(len(demand)))
+    often = capacity // lengths
+    held, inverse, amounts, bound = np.diag(often), np.diag(1.0 / often), count / often, 0.0
+    for pivot in range(int(WORK / (len(lengths) * (capacity + len(lengths))))):
+        prices = np.maximum(inverse.sum(axis=0), 0.0)
+        taken = dearest(lengths, prices, capacity)
+        bound = max(bound, float(prices @ demand / (prices @ taken)))
+        if amounts.sum() <= bound * (1 + NEAR) or prices @ taken <= 1 + 1e-9:
+            break
+        change = inverse @ taken
+        ratio = np.where(change > 1e-9, amounts / np.where(change > 1e-9, change, 1.0), np.inf)
+        out = int(ratio.argmin())
+        amounts = np.maximum(amounts - ratio[out] * change, 0.0)
+        amounts[out], held[out] = ratio[out], taken
+        row = inverse[out] / change[out]
+        inverse -= np.outer(change, row)
+        inverse[out] = row
+        if pivot % 200 == 199:  # rounding errors do not add up
+            inverse = np.linalg.inv(held.T.astype(float))
+            amounts = np.maximum(inverse @ count, 0.0)
+    return list(zip(held, amounts)), bound
+
+
 def best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> dict[Configuration, int]:
     """Remaining pieces, longest first, each bin filled with what leaves the least room."""
     out: dict[Configuration, int] = {}
@@ -107,18 +149,15 @@ def best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> dict[Confi
     return out
 
 
-def solve(counts: dict[int, int], capacity: int) -> list[tuple[Configuration, int]]:
-    """Configurations with whole numbers of bins that hold exactly ``counts`` pieces of each length."""
+def _whole(lengths: np.ndarray, left: np.ndarray, capacity: int, first: list | None = None) -> dict[Configuration, int]:
+    """Whole numbers of configurations that hold exactly ``left``: covers rounded down (``first`` before others), the rest by
+    best fit."""
     out: dict[Configuration, int] = {}
-    full = counts.get(capacity, 0)
-    if full:
-        out[((capacity, 1),)] = full
-    lengths = np.array(sorted(n for n, c in counts.items() if 0 < n < capacity and c > 0), np.int64)
-    left = np.array([counts[n] for n in lengths], np.int64)
+    left = left.copy()
     while len(lengths) and left.any():
-        open_lengths = np.flatnonzero(left)
+        open_lengths = np.flatnonzero(left) if first is None else np.arange(len(lengths))
         gained = False
-        for taken, amount in cover(lengths[open_lengths], left[open_lengths], capacity):
+        for taken, amount in first or cover(lengths[open_lengths], left[open_lengths], capacity):
             used = np.flatnonzero(taken)
             times = min(int(amount + 1e-9), int((left[open_lengths][used] // taken[used]).min()))
             if times > 0:
@@ -126,8 +165,23 @@ def solve(counts: dict[int, int], capacity: int) -> list[tuple[Configuration, in
                 left[open_lengths] -= times * taken
                 key = tuple((int(lengths[open_lengths][k]), int(taken[k])) for k in used[::-1])
                 out[key] = out.get(key, 0) + times
-        if not gained or left.sum() <= len(lengths):
+        if not (gained or first) or left.sum() <= len(lengths):
             break
+        first = None
     for key, times in best_fit(lengths, left, capacity).items() if left.any() else ():
         out[key] = out.get(key, 0) + times
+    return out
+
+
+def solve(counts: dict[int, int], capacity: int) -> list[tuple[Configuration, int]]:
+    """Configurations with whole numbers of bins that hold exactly ``counts`` pieces of each length."""
+    lengths = np.array(sorted(n for n, c in counts.items() if 0 < n < capacity and c > 0), np.int64)
+    demand = np.array([counts[n] for n in lengths], np.int64)
+    out = _whole(lengths, demand, capacity)
+    if sum(out.values()) > np.ceil(lengths @ demand / capacity) * (1 + NEAR) + 1:
+        other = _whole(lengths, demand, capacity, pivots(lengths, demand, capacity)[0])
+        out = min(out, other, key=lambda plan: sum(plan.values()))
+    full = counts.get(capacity, 0)
+    if full:
+        out[((capacity, 1),)] = full
     return sorted(out.items(), key=lambda c: (-c[1], c[0]))
