@@ -27,18 +27,35 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 # The labelled table is spelled out from these words: unwanted and wanted names of sites and sections.
-UNWANTED = (
-    "casino", "poker", "bets", "free-bets", "jackpot", "slots", "lottery-win", "cheap-pills", "pills", "viagra",
-    "pharma-deals", "spam", "spam-farm", "link-farm", "ads", "ads-track", "adserver", "tracker", "click-track",
-    "popups", "porn", "xxx", "escort", "payday-loans", "fast-cash", "warez", "torrent-free", "crack-keys",
-    "replica-watches", "seo-links",
-)
-WANTED = (
-    "news", "journal", "library", "university", "museum", "weather", "travel", "recipes", "garden", "history",
-    "science", "health", "school", "books", "music", "sport", "city", "letters", "essays", "thoughts", "notes",
-    "herald", "tribune", "archive", "wiki", "docs", "research", "nature", "theatre", "cinema",
-    "therin", "thanes", "onthe", "erthand", "inghan", "tionre", "eshere", "oranst", "heredou", "ndanea",
-)
+UNWANTED = tuple((
+    "casino poker bets free-bets jackpot slots lottery-win cheap-pills pills viagra pharma-deals spam spam-farm link-farm ads "
+    "ads-track adserver tracker click-track popups porn xxx escort payday-loans fast-cash warez torrent-free crack-keys "
+    "replica-watches seo-links "
+    "online-casino betting sportsbet roulette blackjack bingo-win gambling vegas-slots lotto cialis weight-loss diet-pills "
+    "cheap-meds adult adultchat sexcams hot-girls nude webcam-sex hookup loans quick-loans easy-money get-rich bitcoin-profit "
+    "forex-bonus moneymaker free-iphone prizes winner-gift giveaway-win torrents cracked keygen serials free-download-full "
+    "pirated streams-free replica-bags fake-watches backlinks buy-followers traffic-boost adclick popunder banner-ads "
+    "trackpixel spyware phish-login verify-account malware").split())
+WANTED = tuple((
+    "news journal library university museum weather travel recipes garden history science health school books music sport "
+    "city letters essays thoughts notes herald tribune archive wiki docs research nature theatre cinema "
+    "times gazette chronicle observer courier daily-post review magazine radio television opera orchestra gallery arts design "
+    "architecture photography painting poetry novels stories writers reading language dictionary grammar translation lessons "
+    "college academy institute faculty students teachers laboratory physics chemistry biology mathematics geology astronomy "
+    "ocean forest river mountain island village county region council parliament government justice hospital clinic medicine "
+    "nursing family children parents kitchen cooking baking bread cheese coffee farm flowers birds animals horses fishing "
+    "hiking cycling football cricket tennis rowing sailing railway airport harbour bridge museum-shop church cathedral castle "
+    "heritage folklore economics finance industry engineering software developers opensource blog diary calendar events "
+    "festival concert dance community society foundation charity volunteers housing energy climate environment "
+    # Names of places and families, as hosts of shops, schools and people have them.
+    "london paris berlin madrid vienna lisbon dublin oslo helsinki warsaw prague geneva hamburg munich leipzig dresden "
+    "heidelberg tuebingen lyon bordeaux toulouse marseille sevilla valencia granada toledo bristol oxford cambridge norwich "
+    "lincoln durham exeter plymouth preston bradford sheffield leicester richmond hamilton wellington auckland melbourne "
+    "adelaide toronto ottawa boston chicago denver seattle portland austin houston memphis arlington springfield greenwood "
+    "fairview riverside lakewood oakland cedarhill westfield northfield easton weston sutton newton milton clifton ashford "
+    "johnson williams miller davis wilson anderson thompson robinson walker wright mitchell campbell parker edwards collins "
+    "stewart morris murphy cooper richardson howard peterson jenkins sanders russell griffin hayes fischer schneider weber "
+    "wagner becker hoffmann martin bernard dubois moreau laurent garcia fernandez lopez sanchez romero navarro").split())
 SECTIONS = ("/en/12", "/fr/340.html", "/de/77/", "/es/905#top", "/en/613?page=2", "/", "/about", "/articles/2020/05")
 ENDINGS = ("example.org", "example.net", "example.com", "test.org", "site.net", "web.com")
 BUCKETS = 1 << 14
