@@ -148,7 +148,9 @@ def candidates(live: DataFrame, labels: DataFrame, looks: DataFrame, percent: in
 
 
 def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) per document."""
+    """(doc_id, n_shingles, component_id, kept) per document; bands and sketch margin are made for ``PERCENT`` and above."""
+    if not PERCENT <= percent <= 100:
+        raise ValueError(f"percent is {percent}: below {PERCENT} the bands would miss pairs, above 100 there are none")
     docs = docs.select("doc_id", "text")
     marks = saved(prints(docs), "prints")
     named = marks.where("doc_id IS NOT NULL AND digest IS NOT NULL")
