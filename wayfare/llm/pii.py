@@ -115,7 +115,7 @@ def proposals(text: str):
         for start, end in emails(text):
             yield "email", start, end
     for found in IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in found[0].split(".")):
+        if all(len(part.lstrip("0")) <= 3 and int(part.lstrip("0") or 0) <= 255 for part in found[0].split(".")):
             yield "ip", *found.span()
     for found in CARD.finditer(text):
         if found.end() - found.start() >= 13:
