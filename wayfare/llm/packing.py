@@ -41,8 +41,8 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, toke
 
     def run(doc_ids, texts):
         out = {c: [] for c in (*PIECE, "ids")}
-        for doc_id, ids in zip(doc_ids, encoder(tokenizer).encode(texts)):
-            ids = np.append(ids, np.int32(end_id)).astype("<u4")
+        for doc_id, ids in zip(doc_ids, encoder(tokenizer).encode(texts, end_id)):
+            ids = ids.astype("<u4")
             for i, (start, length) in enumerate(cuts(len(ids), capacity)):
                 part = ids[start:start + length]
                 for column, value in zip(out, (doc_id, i, start, length, crc32(part.tobytes()), part.tolist() if with_ids else None)):
@@ -50,7 +50,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, toke
         return out
 
     schema = PIECE | ({"ids": "array<int>"} if with_ids else {})
-    return arrow_map(docs.select("doc_id", "text"), run, schema, rows=64)
+    return arrow_map(docs.select("doc_id", "text"), run, schema, rows=1024)
 
 
 def _slots(plan: list[tuple[Configuration, int]]) -> dict[int, tuple[np.ndarray, ...]]:

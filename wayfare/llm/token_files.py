@@ -62,14 +62,14 @@ def write(docs: DataFrame, folder: str, end_id: int = END_ID, tokenizer: str | N
             return pa.RecordBatch.from_pydict(
                 {"part": [part], "number": [number], "file": [name], "n_docs": [len(each)], "n_ids": [held]}, schema=schema)
 
-        for batch in slices(batches, 64):
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder(tokenizer).encode(batch.column(1).to_pylist())):
-                if held and held + len(ids) + 1 > file_ids:
+        for batch in slices(batches, 1024):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder(tokenizer).encode(batch.column(1).to_pylist(), end_id)):
+                if held and held + len(ids) > file_ids:
                     yield close()
                     number, names, each, held = number + 1, [], [], 0
                 names.append(doc_id)
-                each.append(np.append(ids, np.int32(end_id)))
-                held += len(ids) + 1
+                each.append(ids)
+                held += len(ids)
         if held:
             yield close()
 
