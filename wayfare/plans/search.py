@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions import vector as V
 from wayfare.operators import cluster as C
-from wayfare.operators import recommend, search
+from wayfare.operators import inverted, recommend, search
 from wayfare.operators.reviews import cap_per_group
 from wayfare.registry import query
 from wayfare.session import cut_lineage
@@ -42,6 +42,27 @@ def vector_topk_filtered(t):
     return search.top_k(asked(t), corpus(t), ["lang", "source"]).drop("match_rank")
 
 
+def approximate(t, filters):
+    """Search through inverted lists of codes, with as many lists as measured to be needed."""
+    rows = cut_lineage(corpus(t).select("id", "vector", *filters))
+    index = inverted.build(rows, filters)
+    return inverted.search(index, asked(t).select("query_id", "query_vector", *filters), rows, probes=inverted.calibrate(index, rows))
+
+
+@query("vector_topk_approx")
+def vector_topk_approx(t):
+    return approximate(t, ["lang"]).drop("match_rank")
+
+
+@query("vector_approx_recall", f"""
+    SELECT count(DISTINCT query_id) AS n_queries, count(*) AS n_true, true AS recall_reached FROM ({_top('lang')})""", ("review_vector",))
+def vector_approx_recall(t):
+    """Share of the exact results that the approximate search finds, against its aim of 0.95."""
+    exact = search.top_k(asked(t), corpus(t), ["lang"])
+    counted = inverted.recall(approximate(t, ["lang"]), exact)
+    return counted.select("n_queries", "n_true", (F.col("n_found") >= 0.95 * F.col("n_true")).alias("recall_reached"))
+
+
 @query("vector_topk_cells", """
     SELECT q.vec_id AS query_id, c.vec_id AS id, round(list_cosine_similarity(q.vector, c.vector), 6) AS score
     FROM review_vector q, review_vector c
