@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from wayfare.functions import vector as V
 from wayfare.operators.blocks import block_join, distances, matrix, spanning_edges, unit_rows
 from wayfare.operators.features import mean_vector
+from wayfare.operators.shells import Shells, near_join
+from wayfare.operators.shells import build as build_shells
 from wayfare.session import cut_lineage
 
 # Fixed values of the clustering step.
@@ -125,48 +127,24 @@ def id_type(df: DataFrame) -> str:
     return dict(df.dtypes)["id"]
 
 
-def widest_axes(df: DataFrame, n: int = 2) -> list[int]:
-    """Coordinates with the largest variance."""
-    variance = df.agg(Summarizer.variance(array_to_vector("vector")).alias("v")).first().v.toArray()
-    return [int(i) for i in np.argsort(-variance, kind="stable")[:n]]
-
-
-def _grid_cells(df: DataFrame, axes: Sequence[int], eps: float, neighbours: bool) -> DataFrame:
-    """Grid cell of side eps on the chosen axes; with ``neighbours`` a row also goes to the cells around it."""
-    for axis in axes:
-        cell = F.floor(F.get("vector", F.lit(axis)) / eps)
-        if neighbours:
-            df = df.withColumn(f"_g{axis}", F.explode(F.array(cell - 1, cell, cell + 1)))
-        else:
-            df = df.withColumn(f"_g{axis}", cell)
-    return df
-
-
-def near_join(left: DataFrame, right: DataFrame, axes: Sequence[int], eps: float, ids: tuple[str, str], fn, schema: str) -> DataFrame:
-    """Blocks of rows that can lie within eps of each other. No pair is lost: rows that close differ by
-    at most one cell on every axis."""
-    keys = [f"_g{a}" for a in axes]
-    placed_left = _grid_cells(left, axes, eps, neighbours=False)
-    placed_right = _grid_cells(right, axes, eps, neighbours=True)
-    return block_join(placed_left, placed_right, keys, ids, fn, schema)
-
-
-def neighbour_counts(df: DataFrame, eps: float, axes: Sequence[int]) -> DataFrame:
+def neighbour_counts(df: DataFrame, eps: float, index: Shells | None = None) -> DataFrame:
     """Rows within eps of each row, itself included."""
     def count(_, l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         near = distances(matrix(l["vector"]), matrix(r["vector"])) <= eps
         near |= l["id"].to_numpy()[:, None] == r["other"].to_numpy()[None, :]
         return pd.DataFrame({"id": l["id"], "n": near.sum(axis=1)})
 
-    other = df.select(F.col("id").alias("other"), "vector")
-    parts = near_join(df.select("id", "vector"), other, axes, eps, ("id", "other"), count, f"id {id_type(df)}, n long")
+    points = df.select("id", "vector")
+    other = points.withColumnRenamed("id", "other")
+    parts = near_join(points, other, index or build_shells(points, eps), eps, ("id", "other"), count, f"id {id_type(df)}, n long")
     return parts.groupBy("id").agg(F.sum("n").alias("n_neighbours"))
 
 
-def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)``: (id, component = smallest id), by alternating star steps.
 
-    Each round is written out, so a lost executor costs one round at most.
+    Each round is written out, so a lost executor costs one round at most. It
+    ends when every row has one parent and a whole round has changed nothing.
     """
     def directed(e, keep):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -184,18 +162,16 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         return out.filter(F.col("a") != F.col("b")).distinct()
 
     def fingerprint(e):
-        return tuple(e.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))).first())
+        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.countDistinct("a")).first())
 
     current = cut_lineage(edges.filter(F.col("a") != F.col("b")).distinct())
-    seen = fingerprint(current)
-    for _ in range(max_rounds):
+    seen = None
+    while True:
         current = cut_lineage(star(star(current, large=True), large=False))
         now = fingerprint(current)
-        if now == seen:
+        if now == seen and now[0] == now[2]:
             break
         seen = now
-    else:
-        raise RuntimeError(f"components not settled after {max_rounds} rounds")
     leaves = current.select(F.col("a").alias("id"), F.col("b").alias("component"))
     roots = current.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return leaves.unionByName(roots)
@@ -207,9 +183,9 @@ def dbscan(df: DataFrame, eps: float = EPS, min_points: int = MIN_POINTS) -> Dat
     A block gives back a spanning forest of its links, not the links, so dense
     regions do not blow up; the forests joined have the same components.
     """
-    axes = widest_axes(df)
     points = df.select("id", "vector")
-    counted = cut_lineage(points.join(neighbour_counts(points, eps, axes), "id"))
+    index = build_shells(points, eps)
+    counted = cut_lineage(points.join(neighbour_counts(points, eps, index), "id"))
     core = counted.filter(F.col("n_neighbours") >= min_points).select("id", "vector")
     others = core.select(F.col("id").alias("other"), "vector")
 
@@ -218,7 +194,7 @@ def dbscan(df: DataFrame, eps: float = EPS, min_points: int = MIN_POINTS) -> Dat
         rows, cols = spanning_edges(near)
         return pd.DataFrame({"a": l["id"].to_numpy()[rows], "b": r["other"].to_numpy()[cols]})
 
-    edges = near_join(core, others, axes, eps, ("id", "other"), links, f"a {id_type(df)}, b {id_type(df)}")
+    edges = near_join(core, others, index, eps, ("id", "other"), links, f"a {id_type(df)}, b {id_type(df)}")
     grouped = components(edges)
     labelled = core.select("id").join(grouped, "id", "left").select("id", F.coalesce("component", "id").alias("label"))
 
@@ -229,7 +205,7 @@ def dbscan(df: DataFrame, eps: float = EPS, min_points: int = MIN_POINTS) -> Dat
 
     rest = counted.filter(F.col("n_neighbours") < min_points).select("id", "vector")
     core_labels = others.join(labelled.withColumnRenamed("id", "other"), "other")
-    edge_points = near_join(rest, core_labels, axes, eps, ("id", "other"), border, f"id {id_type(df)}, label {id_type(df)}")
+    edge_points = near_join(rest, core_labels, index, eps, ("id", "other"), border, f"id {id_type(df)}, label {id_type(df)}")
     edge_points = edge_points.groupBy("id").agg(F.min("label").alias("label"))
     known = labelled.unionByName(edge_points)
     return counted.select("id", "n_neighbours").join(known, "id", "left").select(

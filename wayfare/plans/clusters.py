@@ -103,7 +103,7 @@ _NEAR = f"""
     WITH {_POINTS}, {_NEAR} SELECT id, n AS n_neighbours, n >= {DBSCAN_POINTS} AS is_core FROM counted""")
 def dbscan_core(t):
     rows = points(t).select("id", "vector")
-    counts = C.neighbour_counts(rows, DBSCAN_EPS, C.widest_axes(rows))
+    counts = C.neighbour_counts(rows, DBSCAN_EPS)
     return counts.withColumn("is_core", F.col("n_neighbours") >= DBSCAN_POINTS)
 
 
