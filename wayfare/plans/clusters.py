@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from wayfare.operators import cluster as C
 from wayfare.operators import features as X
+from wayfare.operators import ward as W
 from wayfare.registry import query
 from wayfare.session import cut_lineage
 
@@ -200,6 +201,23 @@ def bisecting_fit(t):
     return labelled.groupBy("label").agg(F.count("*").alias("size"))
 
 
+@query("ward_merges", """
+    WITH d AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings),
+         v AS (SELECT i, sum(x * x) - sum(x) * sum(x) / count(*) AS squares FROM d GROUP BY i)
+    SELECT n - 1 AS n_merges, n AS largest, round((SELECT sum(squares) FROM v), 6) AS total_increase, true AS grows
+    FROM (SELECT count(*) AS n FROM embeddings)""")
+def ward_merges(t):
+    """Joins of Ward's tree over all vectors; what they add comes to the sum of squares about the mean, and a part's join never adds
+    more than that of the whole."""
+    tree = W.merges(W.row_features(points(t).drop("label")))
+    later = tree.select(F.col("id").alias("whole"), F.col("n").alias("size"), F.col("increase").alias("above"), F.col("round").alias("at"))
+    # A cluster goes by its smallest id: the next join under the same id holds it as a part.
+    steps = tree.join(later, (F.col("id") == F.col("whole")) & (F.col("at") > F.col("round")))
+    shrinks = steps.where(F.col("above") < F.col("increase") * (1 - 1e-9)).agg(F.count("*").alias("bad"))
+    return tree.agg(F.count("*").alias("n_merges"), F.max("n").alias("largest"), F.round(F.sum("increase"), 6).alias("total_increase")).withColumn(
+        "grows", F.lit(0) == shrinks.scalar())
+
+
 @query("median_split", """
     SELECT 0 AS label, n - n // 2 AS size FROM (SELECT count(*) AS n FROM embeddings)
     UNION ALL SELECT 1, n // 2 FROM (SELECT count(*) AS n FROM embeddings)""")
