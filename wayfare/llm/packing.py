@@ -24,6 +24,8 @@ from wayfare.llm.tokens import encoder
 
 CAPACITY = 1024
 END_ID = 2
+#: Pieces of texts that a worker's encoder keeps; workers of the pipeline hold memory of the stages before as well.
+KEPT_PIECES = 600_000
 PIECE = {"doc_id": "long", "piece": "int", "start": "long", "length": "long", "ids_crc32": "long"}
 
 
@@ -41,7 +43,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, toke
 
     def run(doc_ids, texts):
         out = {c: [] for c in (*PIECE, "ids")}
-        for doc_id, ids in zip(doc_ids, encoder(tokenizer).encode(texts, end_id)):
+        for doc_id, ids in zip(doc_ids, encoder(tokenizer, KEPT_PIECES).encode(texts, end_id)):
             ids = ids.astype("<u4")
             for i, (start, length) in enumerate(cuts(len(ids), capacity)):
                 part = ids[start:start + length]
