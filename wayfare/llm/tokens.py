@@ -56,7 +56,7 @@ class Pieces(dict):
 class Encoder:
     """Encodes texts with the file at ``path``, as the library's plain call without added ids does."""
 
-    def __init__(self, path: str | None = None, kept: int = CACHE_PIECES):
+    def __init__(self, path: str | None = None, kept: int | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -85,7 +85,7 @@ class Encoder:
 
     def _trim(self) -> None:
         """Forget pieces met once since the last time, and the rarest of the others beyond half of the bound."""
-        times, half, least = self._times[:self._learnt], self._kept // 2, 2
+        times, half, least = self._times[:self._learnt], (self._kept or CACHE_PIECES) // 2, 2
         if len(times) > half:
             least = max(least, int(np.partition(times, -half)[-half]) + 1)
         kept = np.flatnonzero(times >= least)
@@ -190,7 +190,7 @@ class Encoder:
         return out
 
     def _group(self, texts: list[str | None], end_id: int | None) -> list[np.ndarray]:
-        if len(self._index) > self._kept:
+        if len(self._index) > (self._kept or CACHE_PIECES):
             self._trim()
         sorts = [self._sort(t) if t else "none" for t in texts]
         plain = pa.array([t for t, sort in zip(texts, sorts) if sort == "plain"], pa.string())
@@ -231,6 +231,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str | None = None, kept: int = CACHE_PIECES) -> Encoder:
+def encoder(path: str | None = None, kept: int | None = None) -> Encoder:
     """One encoder per worker process, file and bound of its pieces."""
     return Encoder(path, kept)
