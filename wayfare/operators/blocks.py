@@ -3,37 +3,104 @@
 Some results need every row of one group met with every row of another:
 nearest neighbours under a filter, distance sums, links above a threshold.
 Joining the rows would put all pairs into a shuffle. Here both groups are cut
-into blocks of bounded size, each pair of blocks is one task-sized matrix
-product, and only the reduced result (k best, sums, a spanning forest) leaves
+into blocks of bounded size, a pair of blocks is one task's work, done in tiles
+of matrix products, and only the reduced result (k best, sums, a forest) leaves
 the task. A group that holds a third of all rows just has more blocks.
+
+A row is shuffled once per block of the other side, so blocks are as many as
+keep some tasks busy and no more, until their bytes ask for more: what is
+shuffled grows with the rows, not with their square.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Rows of a tile on each side; a block of fewer rows is not cut for the sake of more tasks.
 BLOCK_ROWS = 2048
+#: Most bytes of a block, as its columns count in memory.
+BLOCK_BYTES = 64 << 20
+#: Pairs of blocks aimed at where the rows allow it.
+PAIRS = 64
+#: Lists are dealt to so many groups; a row is shuffled once per group that it visits a list of.
+GROUPS = 24
 _RIGHT = "_right_"
 
 
 def block_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ids: tuple[str, str],
                fn: Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str,
-               rows: int | None = None) -> DataFrame:
-    """``fn(key values, left block, right block)`` for every pair of blocks with equal ``keys``."""
-    rows = rows or BLOCK_ROWS
+               rows: int | None = None, fold: Callable[[pd.DataFrame], pd.DataFrame] | None = None, pairs: int = PAIRS) -> DataFrame:
+    """``fn(key values, left tile, right tile)`` for every pair of tiles of rows with equal ``keys``.
+
+    ``fold`` shrinks the results of a pair of blocks put together, before they
+    leave the task. ``rows``: cut to blocks of so many rows, whatever their bytes.
+    """
+    def by_tiles(key, l: pd.DataFrame, r: pd.DataFrame) -> list[pd.DataFrame]:
+        return [fn(key, a, b) for a in _tiles(l) for b in _tiles(r)]
+
+    return _joined(left, right, keys, ids, by_tiles, schema, rows, fold, pairs)
+
+
+def listed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ids: tuple[str, str],
+                fn: Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str,
+                fold: Callable[[pd.DataFrame], pd.DataFrame] | None = None) -> DataFrame:
+    """``fn((*key values, list), left tile, right tile)`` for the rows of each list and the rows that visit it.
+
+    A left row's ``_visits`` is made by ``in_groups``; a right row's list is ``_list``.
+    """
+    def by_lists(key, l: pd.DataFrame, r: pd.DataFrame) -> list[pd.DataFrame]:
+        lists, at = np.unique(r["_list"].to_numpy(), return_inverse=True)
+        lengths = l["_lists"].map(len).to_numpy()
+        wanted = np.concatenate(l["_lists"].to_numpy())
+        place = np.minimum(np.searchsorted(lists, wanted), len(lists) - 1)
+        there = lists[place] == wanted
+        visitors = pd.Series(np.repeat(np.arange(len(l)), lengths)[there]).groupby(place[there]).indices
+        rows = np.repeat(np.arange(len(l)), lengths)[there]
+        order = np.argsort(at, kind="stable")
+        ends = np.searchsorted(at[order], np.arange(len(lists) + 1))
+        l, r, out = l.drop(columns="_lists"), r.drop(columns="_list"), []
+        for i, which in visitors.items():
+            held = r.iloc[order[ends[i]:ends[i + 1]]]
+            out += [fn((*key[:-1], lists[i]), a, b) for a in _tiles(l.iloc[rows[which]]) for b in _tiles(held)]
+        return out
+
+    visiting = left.withColumn("_v", F.explode("_visits")).select(*[c for c in left.columns if c != "_visits"], "_v.*")
+    stored = right.withColumn("_group", F.pmod("_list", F.lit(GROUPS)).cast("int"))
+    return _joined(visiting, stored, [*keys, "_group"], ids, by_lists, schema, None, fold, 1)
+
+
+VISITS = "array<struct<_group:int,_lists:array<int>>>"
+
+
+def in_groups(rows: Iterable[np.ndarray]) -> pd.Series:
+    """The lists that each row visits, put together by their group, as values of type ``VISITS``."""
+    out = []
+    for lists in rows:
+        lists = np.asarray(lists, dtype=np.int32)
+        group = lists % GROUPS
+        order = np.argsort(group, kind="stable")
+        found, starts = np.unique(group[order], return_index=True)
+        out.append([{"_group": int(g), "_lists": part} for g, part in zip(found, np.split(lists[order], starts[1:]))])
+    return pd.Series(out, dtype=object)
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], ids: tuple[str, str], one, schema: str,
+            rows: int | None, fold, pairs: int) -> DataFrame:
     keys = list(keys)
     n_keys = len(keys)
     if keys:
-        sizes = _blocks(left, keys, "_nl", rows).join(_blocks(right, keys, "_nr", rows), keys)
+        sizes = left.groupBy(*keys).agg(_size(left).alias("_l")).join(right.groupBy(*keys).agg(_size(right).alias("_r")), keys)
+        sizes = sizes.select(*keys, *_blocks(F.col("_l"), F.col("_r"), rows, pairs))
         left, right = left.join(sizes, keys), right.join(sizes, keys)
     else:
-        n_left, n_right = (df.agg(_n_blocks(rows)).scalar() for df in (left, right))
-        left, right = (df.withColumn("_nl", n_left).withColumn("_nr", n_right) for df in (left, right))
+        l, r = (df.agg(_size(df)).scalar() for df in (left, right))
+        left, right = (df.select("*", l.alias("_l"), r.alias("_r")).select(*df.columns, *_blocks(F.col("_l"), F.col("_r"), rows, pairs))
+                       for df in (left, right))
     number = F.lit(0).cast("long")
     placed_left = (
         left.withColumn("_lb", F.pmod(F.xxhash64(ids[0]), "_nl"))
@@ -49,19 +116,43 @@ def block_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ids: tupl
     def one_pair(key, l, r):
         if len(l) == 0 or len(r) == 0:
             return pd.DataFrame(columns=_names)
-        return fn(tuple(key[:n_keys]), l, r.rename(columns=lambda c: c.removeprefix(_RIGHT)))
+        found = one(tuple(key[:n_keys]), l, r.rename(columns=lambda c: c.removeprefix(_RIGHT)))
+        found = [f for f in found if len(f)]
+        if not found:
+            return pd.DataFrame(columns=_names)
+        found = pd.concat(found, ignore_index=True) if len(found) > 1 else found[0]
+        return fold(found) if fold else found
 
     _names = [part.split()[0] for part in schema.split(",")]
     by = [*keys, "_lb", "_rb"]
     return placed_left.groupBy(*by).cogroup(placed_right.groupBy(*[_RIGHT + c for c in by])).applyInPandas(one_pair, schema)
 
 
-def _n_blocks(rows: int):
-    return F.ceil(F.count("*") / F.lit(rows)).cast("long")
+def _tiles(df: pd.DataFrame) -> list[pd.DataFrame]:
+    return [df.iloc[i:i + BLOCK_ROWS] for i in range(0, len(df), BLOCK_ROWS)]
+
+
+def _size(df: DataFrame) -> Column:
+    """Rows and bytes of ``df``, as (n, bytes)."""
+    lists = [F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)) * 8 for c, kind in df.dtypes if kind.startswith("array<")]
+    each = sum(lists, F.lit(16 * len(df.columns)))
+    return F.struct(F.count("*").alias("n"), F.coalesce(F.sum(each.cast("long")), F.lit(0)).alias("bytes"))
+
 
+def _blocks(l: Column, r: Column, rows: int | None, pairs: int) -> tuple[Column, Column]:
+    """Numbers of blocks: by ``rows``, or by bytes and so that there are about ``pairs`` pairs of them."""
+    def least(side):
+        return F.ceil(side["n"] / F.lit(rows or BLOCK_ROWS)).cast("long")
 
-def _blocks(df: DataFrame, keys: list[str], name: str, rows: int) -> DataFrame:
-    return df.groupBy(*keys).agg(_n_blocks(rows).alias(name))
+    if rows:
+        return least(l).alias("_nl"), least(r).alias("_nr")
+    root = F.lit(round(pairs ** 0.5)).cast("long")
+
+    def number(side, other):
+        for_tasks = F.least(least(side), F.ceil(F.lit(pairs) / F.greatest(F.least(least(other), root), F.lit(1))))
+        return F.greatest(F.ceil(side["bytes"] / F.lit(BLOCK_BYTES)), for_tasks).cast("long")
+
+    return number(l, r).alias("_nl"), number(r, l).alias("_nr")
 
 
 def matrix(column: pd.Series) -> np.ndarray:
@@ -80,6 +171,23 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0.0))
 
 
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (each member, smallest member) of the components that the links ``(a, b)`` make: fewer links than members."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = at[:len(a)], at[len(a):]
+    label = np.arange(len(ids))
+    while True:
+        low = np.minimum(label[u], label[v])
+        if (label[u] == low).all() and (label[v] == low).all():
+            break
+        np.minimum.at(label, label[u], low)
+        np.minimum.at(label, label[v], low)
+        while (label[label] != label).any():
+            label = label[label]
+    linked = np.flatnonzero(label != np.arange(len(ids)))
+    return ids[linked], ids[label[linked]]
+
+
 def spanning_edges(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the two-sided graph ``near`` (rows x columns): at most rows + columns - 1 edges.
 

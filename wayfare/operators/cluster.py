@@ -11,13 +11,14 @@ from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.util import inheritable_thread_target
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfare.functions import vector as V
-from wayfare.operators.blocks import block_join, distances, matrix, spanning_edges, unit_rows
+from wayfare.operators.blocks import block_join, distances, matrix, stars, unit_rows
 from wayfare.operators.features import mean_vector
 from wayfare.operators.shells import Shells, near_join
 from wayfare.operators.shells import build as build_shells
@@ -48,8 +49,12 @@ def candidate_counts(n: int) -> list[int]:
 # -- fitting --------------------------------------------------------------------
 
 def _grid(df: DataFrame, make, counts: Sequence[int], seeds: Sequence[int]) -> tuple[DataFrame | None, list[dict]]:
-    """Best fit by silhouette over the grid, with the score of every fit; a few fits run side by side."""
-    data = df.withColumn("_f", array_to_vector("vector")).persist()
+    """Best fit by silhouette over the grid, with the score of every fit; a few fits run side by side.
+
+    ``df`` has arrays or ML vectors; sparse ones stay sparse. Only the vectors are kept in memory.
+    """
+    prepared = df.withColumn("_f", F.col("vector") if isinstance(df.schema["vector"].dataType, VectorUDT) else array_to_vector("vector"))
+    data = prepared.select("_f").persist()
     evaluator = ClusteringEvaluator(featuresCol="_f", predictionCol="label", metricName="silhouette")
 
     def fit(point):
@@ -65,7 +70,7 @@ def _grid(df: DataFrame, make, counts: Sequence[int], seeds: Sequence[int]) -> t
         if not fits:
             return None, []
         _, model, _ = max(fits, key=lambda f: f[0])
-        labelled = model.transform(df.withColumn("_f", array_to_vector("vector"))).drop("_f")
+        labelled = model.transform(prepared).drop("_f")
         return labelled, [{**point, "silhouette": score} for score, _, point in fits]
     finally:
         data.unpersist()
@@ -134,9 +139,12 @@ def neighbour_counts(df: DataFrame, eps: float, index: Shells | None = None) ->
         near |= l["id"].to_numpy()[:, None] == r["other"].to_numpy()[None, :]
         return pd.DataFrame({"id": l["id"], "n": near.sum(axis=1)})
 
+    def summed(found: pd.DataFrame) -> pd.DataFrame:
+        return found.groupby("id", as_index=False, dropna=False)["n"].sum()
+
     points = df.select("id", "vector")
     other = points.withColumnRenamed("id", "other")
-    parts = near_join(points, other, index or build_shells(points, eps), eps, ("id", "other"), count, f"id {id_type(df)}, n long")
+    parts = near_join(points, other, index or build_shells(points, eps), eps, ("id", "other"), count, f"id {id_type(df)}, n long", summed)
     return parts.groupBy("id").agg(F.sum("n").alias("n_neighbours"))
 
 
@@ -180,8 +188,9 @@ def components(edges: DataFrame) -> DataFrame:
 def dbscan(df: DataFrame, eps: float = EPS, min_points: int = MIN_POINTS) -> DataFrame:
     """Density clustering of ``df(id, vector)``: label = smallest core id of the cluster, -1 for noise.
 
-    A block gives back a spanning forest of its links, not the links, so dense
-    regions do not blow up; the forests joined have the same components.
+    A block gives back a forest with the components of its links, not the
+    links, so dense regions do not blow up; the forests joined have the same
+    components.
     """
     points = df.select("id", "vector")
     index = build_shells(points, eps)
@@ -191,10 +200,18 @@ def dbscan(df: DataFrame, eps: float = EPS, min_points: int = MIN_POINTS) -> Dat
 
     def links(_, l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         near = distances(matrix(l["vector"]), matrix(r["vector"])) <= eps
-        rows, cols = spanning_edges(near)
-        return pd.DataFrame({"a": l["id"].to_numpy()[rows], "b": r["other"].to_numpy()[cols]})
-
-    edges = near_join(core, others, index, eps, ("id", "other"), links, f"a {id_type(df)}, b {id_type(df)}")
+        rows, cols = np.nonzero(near)
+        a, b = stars(rows, cols + len(l))
+        if not len(a):
+            return pd.DataFrame({"a": l["id"][:0], "b": r["other"][:0]})
+        ids = np.concatenate([l["id"].to_numpy(), r["other"].to_numpy()])
+        return pd.DataFrame({"a": ids[a], "b": ids[b]})
+
+    def forest(found: pd.DataFrame) -> pd.DataFrame:
+        a, b = stars(found["a"].to_numpy(), found["b"].to_numpy())
+        return pd.DataFrame({"a": a, "b": b})
+
+    edges = near_join(core, others, index, eps, ("id", "other"), links, f"a {id_type(df)}, b {id_type(df)}", forest)
     grouped = components(edges)
     labelled = core.select("id").join(grouped, "id", "left").select("id", F.coalesce("component", "id").alias("label"))
 
@@ -205,7 +222,10 @@ def dbscan(df: DataFrame, eps: float = EPS, min_points: int = MIN_POINTS) -> Dat
 
     rest = counted.filter(F.col("n_neighbours") < min_points).select("id", "vector")
     core_labels = others.join(labelled.withColumnRenamed("id", "other"), "other")
-    edge_points = near_join(rest, core_labels, index, eps, ("id", "other"), border, f"id {id_type(df)}, label {id_type(df)}")
+    def lowest(found: pd.DataFrame) -> pd.DataFrame:
+        return found.groupby("id", as_index=False)["label"].min()
+
+    edge_points = near_join(rest, core_labels, index, eps, ("id", "other"), border, f"id {id_type(df)}, label {id_type(df)}", lowest)
     edge_points = edge_points.groupBy("id").agg(F.min("label").alias("label"))
     known = labelled.unionByName(edge_points)
     return counted.select("id", "n_neighbours").join(known, "id", "left").select(
@@ -295,8 +315,11 @@ def silhouette(df: DataFrame) -> DataFrame:
             "total": (apart @ member).ravel(), "n": np.tile(member.sum(axis=0).astype(np.int64), len(l)),
         })
 
+    def summed_up(found: pd.DataFrame) -> pd.DataFrame:
+        return found.groupby(["method", "id", "label", "other_label"], as_index=False, dropna=False)[["total", "n"]].sum()
+
     parts = block_join(points, others, ["method"], ("id", "other"), sums,
-                       f"method string, id {id_type(df)}, label long, other_label long, total double, n long")
+                       f"method string, id {id_type(df)}, label long, other_label long, total double, n long", fold=summed_up)
     summed = parts.groupBy("method", "id", "label", "other_label").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     own = F.col("other_label") == F.col("label")
     per_point = summed.groupBy("method", "id").agg(

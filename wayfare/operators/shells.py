@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.operators.blocks import block_join, distances, matrix
+from wayfare.operators.blocks import VISITS, distances, in_groups, listed_join, matrix
 
 #: Rows per cell aimed at; more pivots than the bound are never used, cells and their blocks grow instead.
 CELL_ROWS, MAX_PIVOTS = 256, 1024
@@ -33,6 +33,8 @@ CELL_ROWS, MAX_PIVOTS = 256, 1024
 CHOICES = 8
 #: Nearest pivots of a row whose planes are tried.
 PLANES = 8
+#: Rows whose reach is found at a time.
+REACH_ROWS = 512
 #: Distances are counted as closer by this share of their size, for rounding.
 ROUNDING = 1e-7
 
@@ -85,15 +87,19 @@ def build(df: DataFrame, eps: float, n_pivots: int | None = None) -> Shells:
     return Shells(pivots, distances(pivots, pivots), width, last)
 
 
+def _list(index: Shells, cell, shell):
+    """The number of a cell's shell among the shells of all cells."""
+    return cell * (int(index.last.max()) + 1) + shell
+
+
 def _reach(index: Shells, eps: float):
+    """A UDF: the shells of all cells, by their numbers, that can hold a row within ``eps``."""
     pivots, between, width, last = index.pivots, index.between, index.width, index.last
     planes = min(PLANES, len(pivots))
+    shells = np.arange(max(int(last.max()), 0) + 1)
 
-    @F.pandas_udf("array<struct<cell:int,shell:int>>")
-    def reach(vectors: pd.Series) -> pd.Series:
-        if len(vectors) == 0:
-            return pd.Series([], dtype=object)
-        apart = distances(matrix(vectors), pivots)
+    def reach(vectors: np.ndarray) -> list[np.ndarray]:
+        apart = distances(vectors, pivots)
         slack = ROUNDING * (1 + apart.max(axis=1, keepdims=True))
         beyond = np.zeros_like(apart)  # distance to the furthest plane that parts the row from a cell
         for q in np.argsort(apart, axis=1, kind="stable")[:, :planes].T:
@@ -104,26 +110,40 @@ def _reach(index: Shells, eps: float):
         low = np.maximum(np.floor((apart - eps - slack) / width), 0).astype(int)
         high = np.minimum(np.floor((apart + eps + slack) / width).astype(int), last[None, :])
         high = np.where(beyond > eps + slack, -1, high)
-        out = []
-        for a, b in zip(low, high):
-            cells = np.flatnonzero(b >= a)
-            out.append([{"cell": int(c), "shell": s} for c in cells for s in range(int(a[c]), int(b[c]) + 1)])
-        return pd.Series(out)
+        met = (low[:, :, None] <= shells) & (shells <= high[:, :, None])
+        return [np.flatnonzero(row) for row in met]  # in the order of _list
 
-    return reach("vector")
+    @F.pandas_udf(VISITS)
+    def visits(vectors: pd.Series) -> pd.Series:
+        if len(vectors) == 0:
+            return pd.Series([], dtype=object)
+        points = matrix(vectors)
+        return in_groups(row for at in range(0, len(points), REACH_ROWS) for row in reach(points[at:at + REACH_ROWS]))
+
+    return visits("vector")
 
 
 def looking(df: DataFrame, index: Shells, eps: float) -> DataFrame:
-    """``df`` once for each cell and shell that can hold a row within ``eps``."""
-    return df.withColumn("_r", F.explode(_reach(index, eps))).select(*df.columns, F.col("_r.cell").alias("_cell"), F.col("_r.shell").alias("_shell"))
+    """``df`` with the cells and shells that can hold a row within ``eps`` of each row, for ``listed_join``."""
+    return df.withColumn("_visits", _reach(index, eps))
+
+
+def listed(df: DataFrame, index: Shells) -> DataFrame:
+    """``df`` with the number of the shell that holds each row."""
+    placed = stored(df, index.pivots, index.width)
+    return placed.withColumn("_list", _list(index, F.col("_cell"), F.col("_shell")).cast("int")).drop("_cell", "_shell")
+
 
+def near_join(left: DataFrame, right: DataFrame, index: Shells, eps: float, ids: tuple[str, str], fn, schema: str, fold=None) -> DataFrame:
+    """``fn`` over tiles of rows that can lie within ``eps`` of each other; every such pair is in exactly one.
 
-def near_join(left: DataFrame, right: DataFrame, index: Shells, eps: float, ids: tuple[str, str], fn, schema: str) -> DataFrame:
-    """``fn`` over blocks of rows that can lie within ``eps`` of each other; every such pair is in exactly one."""
-    return block_join(looking(left, index, eps), stored(right, index.pivots, index.width), ["_cell", "_shell"], ids, fn, schema)
+    A looking row is shuffled once per group of shells, not once per shell.
+    """
+    return listed_join(looking(left, index, eps), listed(right, index), [], ids, fn, schema, fold)
 
 
 def pairs_met(left: DataFrame, right: DataFrame, index: Shells, eps: float) -> int:
     """Pairs whose distance ``near_join`` computes."""
-    sizes = stored(right, index.pivots, index.width).groupBy("_cell", "_shell").agg(F.count("*").alias("n"))
-    return looking(left, index, eps).join(sizes, ["_cell", "_shell"]).agg(F.sum("n")).first()[0] or 0
+    sizes = listed(right, index).groupBy("_list").agg(F.count("*").alias("n"))
+    met = looking(left, index, eps).select(F.explode("_visits").alias("v")).select(F.explode("v._lists").alias("_list"))
+    return met.join(sizes, "_list").agg(F.sum("n")).first()[0] or 0
