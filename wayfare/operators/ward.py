@@ -7,7 +7,7 @@ result is that of joining the closest pair of all again and again, because a
 joined cluster is never nearer to a third than the nearer of its parts was. For
 the same reason only clusters that were joined, or whose nearest was, look for
 their nearest anew. Distances are computed block by block; the rounds end in one
-task when few clusters are left.
+task, which holds the clusters and not their distances, when few are left.
 
 The first round compares all clusters, so rows in large numbers are first put
 into many small cells (``micro_features``), whose features are then joined.
@@ -30,8 +30,8 @@ from wayfare.operators.cluster import SEED, components, silhouette_squared
 from wayfare.operators.features import mean_vector
 from wayfare.session import cut_lineage
 
-#: So many clusters are joined in one task: their distances are one matrix of this size squared.
-FINISH_ROWS = 2048
+#: So many clusters are joined in one task, which compares ``TILE_ROWS`` of them with all at a time.
+FINISH_ROWS, TILE_ROWS = 16_384, 256
 _MERGES = "id long, gone long, increase double, n long, round int"
 
 
@@ -64,11 +64,16 @@ def _nearest(_, l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
     return found[np.isfinite(found["increase"])]
 
 
+def _nearest_of_blocks(found: pd.DataFrame) -> pd.DataFrame:
+    order = np.lexsort((found["nearest"].to_numpy(), found["increase"].to_numpy(), found["id"].to_numpy()))
+    return found.iloc[order].drop_duplicates("id")
+
+
 def _with_nearest(live: DataFrame) -> DataFrame:
     """``live`` with the nearest cluster of those that have none noted; equal distances go to the smaller id."""
     open_ = live.where("nearest IS NULL").select("id", "n", "centre")
     others = live.select(F.col("id").alias("other"), "n", "centre")
-    found = block_join(open_, others, [], ("id", "other"), _nearest, "id long, nearest long, increase double")
+    found = block_join(open_, others, [], ("id", "other"), _nearest, "id long, nearest long, increase double", fold=_nearest_of_blocks)
     best = found.groupBy("id").agg(F.min(F.struct("increase", "nearest")).alias("b")).select("id", "b.nearest", "b.increase")
     return cut_lineage(live.where("nearest IS NOT NULL").unionByName(open_.join(best, "id")))
 
@@ -99,31 +104,33 @@ def _joined(live: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _finish(first_round: int):
-    """All joins of the clusters that are left, in the same rounds, on one matrix."""
+    """All joins of the clusters that are left, in the same rounds; only those whose nearest may have changed look anew."""
     def finish(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("id")
         ids, n, x = rows["id"].to_numpy(), rows["n"].to_numpy(float), matrix(rows["centre"])
-        cost = increases(n, x, n, x)
-        np.fill_diagonal(cost, np.inf)
         alive, out, number = np.ones(len(ids), bool), [], first_round
+        nearest, cost = np.zeros(len(ids), int), np.full(len(ids), np.inf)
+        asking = np.arange(len(ids))
         while alive.sum() > 1:
             at = np.flatnonzero(alive)
-            nearest = cost[:, at].argmin(axis=1)
-            nearest = at[nearest]
+            for tile in (asking[i:i + TILE_ROWS] for i in range(0, len(asking), TILE_ROWS)):
+                found = increases(n[tile], x[tile], n[at], x[at])
+                found[np.arange(len(tile)), np.searchsorted(at, tile)] = np.inf
+                best = found.argmin(axis=1)
+                nearest[tile], cost[tile] = at[best], found[np.arange(len(tile)), best]
             low = at[(nearest[nearest[at]] == at) & (at < nearest[at])]
             if not len(low):
-                a = at[cost[at, nearest[at]].argmin()]
+                a = at[cost[at].argmin()]
                 low = np.array([min(a, nearest[a])])
-                nearest[low] = max(a, nearest[a])
+                cost[low], nearest[low] = cost[a], max(a, nearest[a])
             high = nearest[low]
-            out += [(ids[a], ids[b], cost[a, b], int(n[a] + n[b]), number) for a, b in zip(low, high)]
+            out += [(ids[a], ids[b], cost[a], int(n[a] + n[b]), number) for a, b in zip(low, high)]
             x[low] = (x[low] * n[low, None] + x[high] * n[high, None]) / (n[low] + n[high])[:, None]
             n[low] += n[high]
             alive[high] = False
-            fresh = increases(n[low], x[low], n, x)
-            cost[low], cost[:, low] = fresh, fresh.T
-            cost[high], cost[:, high] = np.inf, np.inf
-            cost[low, low] = np.inf
+            joined = np.zeros(len(ids), bool)
+            joined[low] = joined[high] = True
+            asking = np.flatnonzero(alive & (joined | joined[nearest]))
             number += 1
         return pd.DataFrame(out, columns=[c.split()[0] for c in _MERGES.split(", ")])
 
