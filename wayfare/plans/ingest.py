@@ -31,7 +31,10 @@ def scan_projected(t):
 
 
 def raw_reviews(t):
-    """Nested review documents made of reviews, places and users; parts are missing on purpose."""
+    """Nested review documents made of reviews, places and users; parts are missing on purpose.
+
+    Reviews meet their place while they are narrow; the documents are made after.
+    """
     nothing = F.lit(None).cast("string")
     line = F.col("line_no")
     subratings = F.slice(F.transform(
@@ -39,8 +42,14 @@ def raw_reviews(t):
         lambda i: F.struct(F.concat(F.lit("aspect"), i.cast("string")).alias("name"),
                            ((F.col("rating") + i) % 5 + 1).cast("string").alias("value")),
     ), 1, 8)
-    written = t.review_spread.select(
-        F.col("review_id").alias("id"), "place_id", line,
+    place = t.place.select("place_id", "name", "price", "city", "country", "state")
+    info = F.struct(
+        "name", F.col("price").cast("string").alias("rating"), F.lit("1.5").alias("latitude"), F.lit("bad").alias("longitude"),
+        F.struct("city", "country", nothing.alias("postalcode"), "state", nothing.alias("street1"), nothing.alias("street2")).alias("addressObj"),
+    )
+    # By their columns as read, reviews look small enough to be sent to every task; they are met by their place in many tasks instead.
+    return t.review_spread.hint("merge").join(place, "place_id").select(
+        F.col("place_id").alias("locationId"), F.col("review_id").alias("id"),
         F.date_format("published", "yyyy-MM-dd").alias("publishedDate"),
         F.when(line != 2, F.date_format("published", "yyyy-MM")).alias("travelDate"),
         F.col("rating").cast("string").alias("rating"), F.lit("good, \"quiet\"\nplace").alias("text"),
@@ -50,13 +59,8 @@ def raw_reviews(t):
             nothing.alias("link"), F.lit("u").alias("name"), F.col("user_id").alias("userId"),
             F.concat(F.lit("user"), F.col("user_id")).alias("username"))).alias("user"),
         F.when(line != 1, subratings).alias("subratings"),
+        F.when(line != 3, info).alias("placeInfo"),
     )
-    info = t.place.select("place_id", F.struct(
-        "name", F.col("price").cast("string").alias("rating"), F.lit("1.5").alias("latitude"), F.lit("bad").alias("longitude"),
-        F.struct("city", "country", nothing.alias("postalcode"), "state", nothing.alias("street1"), nothing.alias("street2")).alias("addressObj"),
-    ).alias("info"))
-    return written.join(info, "place_id").withColumn("placeInfo", F.when(line != 3, F.col("info"))).withColumnRenamed(
-        "place_id", "locationId").drop("info", "line_no")
 
 
 _FLAT = """
@@ -87,7 +91,7 @@ def _flat_columns(typed, last):
 def scan_review_json(t):
     """Nested documents written as JSON lines, read with the explicit schema, flattened and typed."""
     path = scratch_path(t.spark, "review-json")
-    writers.write_json(raw_reviews(t), path)
+    writers.write_json(raw_reviews(t), path, packed=True)
     flat = ingest.restaurant_reviews(readers.read_reviews(t.spark, path))
     return _flat_columns(casts.typed(flat, schemas.review_spec(schemas.RESTAURANT_SUBRATINGS)), 4)
 

@@ -13,7 +13,7 @@ from wayfare.operators.reviews import last_per_key
 from wayfare.sources.readers import BROKEN
 
 # A text file with quoted line breaks is read in one piece, so files stay this small.
-ROWS_PER_TEXT_FILE = 500_000
+ROWS_PER_TEXT_FILE = 500_000  # a packed file of JSON lines as well
 GOOD, REJECTED = "good", "rejected"
 
 
@@ -29,8 +29,11 @@ def write_delimited(df: DataFrame, path: str, columns: Sequence[str] | None = No
     writer.csv(path)
 
 
-def write_json(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
+def write_json(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (), packed: bool = False) -> None:
+    """JSON lines; ``packed``: compressed, in files of bounded size, as such a file is read in one piece."""
     writer = df.write.mode(mode)
+    if packed:
+        writer = writer.option("compression", "gzip").option("maxRecordsPerFile", ROWS_PER_TEXT_FILE)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.json(path)
