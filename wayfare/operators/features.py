@@ -8,9 +8,10 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (
-    IDF, PCA, HashingTF, Normalizer, OneHotEncoder, StandardScaler, StringIndexer, Tokenizer, VectorAssembler,
+    IDF, PCA, ElementwiseProduct, HashingTF, Normalizer, OneHotEncoder, StandardScaler, StringIndexer, Tokenizer, VectorAssembler,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,6 +108,23 @@ def combine(df: DataFrame, weights: dict[str, float] = BLOCK_WEIGHTS) -> DataFra
     return scaled.withColumn("features", F.concat(*parts)).drop(*[f"_{b}" for b in blocks])
 
 
+def combine_sparse(df: DataFrame, weights: dict[str, float] = BLOCK_WEIGHTS) -> DataFrame:
+    """``combine`` without taking the means away, which moves no distance: ``features`` is a vector in which one-hot blocks stay sparse."""
+    blocks = ("category", "rating", "location", "sentiment")
+    n = df.count()
+    to_population = float(np.sqrt(n / (n - 1))) if n > 1 else 1.0
+    scalers = [StandardScaler(inputCol=f"{b}_block", outputCol=f"_{b}", withMean=False, withStd=True).fit(df) for b in blocks]
+    scaled = df
+    for scaler in scalers:
+        scaled = scaler.transform(scaled)
+    joined = VectorAssembler(inputCols=["reduced", *[f"_{b}" for b in blocks]], outputCol="_joined")
+    factors = [weights[b] * to_population for b, scaler in zip(blocks, scalers) for _ in range(scaler.std.size)]
+    joined = joined.transform(scaled)
+    width = joined.schema["_joined"].metadata["ml_attr"]["num_attrs"] - len(factors)
+    weighed = ElementwiseProduct(scalingVec=Vectors.dense([weights["reduced"]] * width + factors), inputCol="_joined", outputCol="features")
+    return weighed.transform(joined).drop("_joined", *[f"_{b}" for b in blocks])
+
+
 def hashed_tfidf(df: DataFrame, text: str, width: int = 1 << 16, out: str = "features") -> DataFrame:
     """Unit-length TF-IDF over hashed words: the deterministic stand-in for an embedding model."""
     stages = [

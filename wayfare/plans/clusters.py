@@ -166,21 +166,20 @@ def reduce_pca(t):
     return reduced.select("id", F.posexplode(vector_to_array("reduced")).alias("position", "value"))
 
 
-def combined(t):
-    encoded = X.encode(X.reduce_vectors(t.clustered, "vector", DIM, REDUCED))
-    return X.combine(encoded)
+def encoded(t):
+    return X.encode(X.reduce_vectors(t.clustered, "vector", DIM, REDUCED))
 
 
 @query("combine_features")
 def combine_features(t):
-    rows = combined(t)
+    rows = X.combine(encoded(t))
     return rows.select("vec_id", F.size("features").alias("width"),
                        F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x * x), 6).alias("square_length"))
 
 
 def combined_points(t):
-    """Combined features as clustering input, written once and read for every fit of the grid."""
-    return cut_lineage(combined(t).select(F.col("vec_id").alias("id"), F.col("features").alias("vector")))
+    """Combined features as clustering input, written once and read for every fit of the grid; means are left in, so that they stay sparse."""
+    return cut_lineage(X.combine_sparse(encoded(t)).select(F.col("vec_id").alias("id"), F.col("features").alias("vector")))
 
 
 def _counts(rows):
