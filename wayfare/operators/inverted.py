@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions import vector as V
-from wayfare.operators.blocks import block_join, distances, matrix, unit_rows
+from wayfare.operators.blocks import VISITS, distances, in_groups, listed_join, matrix, unit_rows
 from wayfare.operators.reviews import cap_per_group
 from wayfare.operators.search import SCORE_DIGITS, TOP_K, cell_count, fit_cells, top_k
 from wayfare.session import cut_lineage
@@ -117,11 +117,11 @@ def _with_lists(index: Index, queries: DataFrame) -> DataFrame:
         salted, [*index.filters, "_s"]).drop("_s")
 
 
-def visits(index: Index, queries: DataFrame, probes: int, least: int) -> DataFrame:
-    """A row per query and list to visit, with the list's size: the nearest lists, ``probes`` of them or more until ``least`` rows are in them."""
+def visiting(index: Index, queries: DataFrame, probes: int, least: int) -> DataFrame:
+    """Queries with the lists to visit, in groups: the nearest lists, ``probes`` of them or more until ``least`` rows are in them."""
     centres = index.centres
 
-    @F.pandas_udf("array<struct<list:int,n:bigint>>")
+    @F.pandas_udf(VISITS)
     def nearest(vectors: pd.Series, lists: pd.Series, sizes: pd.Series) -> pd.Series:
         if len(vectors) == 0:
             return pd.Series([], dtype=object)
@@ -130,12 +130,19 @@ def visits(index: Index, queries: DataFrame, probes: int, least: int) -> DataFra
         for row, at, n in zip(cosine, lists, sizes):
             order = np.lexsort((at, -row[at]))
             before = np.cumsum(n[order]) - n[order]
-            taken = order[(np.arange(len(order)) < probes) | (before < least)]
-            out.append([{"list": int(a), "n": int(c)} for a, c in zip(at[taken], n[taken])])
-        return pd.Series(out)
+            out.append(at[order[(np.arange(len(order)) < probes) | (before < least)]])
+        return in_groups(out)
+
+    return _with_lists(index, queries).select("query_id", "query_vector", *index.filters, nearest("query_vector", "lists", "sizes").alias("_visits"))
+
 
-    found = _with_lists(index, queries).withColumn("_v", F.explode(nearest("query_vector", "lists", "sizes")))
-    return found.select("query_id", "query_vector", *index.filters, "_v.*")
+def visits(index: Index, queries: DataFrame, probes: int, least: int) -> DataFrame:
+    """A row per query and list to visit, with the list's size."""
+    filters = list(index.filters)
+    found = visiting(index, queries, probes, least).withColumn("_v", F.explode("_visits")).withColumn("list", F.explode("_v._lists")).drop("_v", "_visits")
+    sizes = index.lists.select(*filters, F.explode(F.arrays_zip("lists", "sizes")).alias("l")).select(
+        *filters, F.col("l.lists").alias("list"), F.col("l.sizes").alias("n"))
+    return found.join(sizes, [*filters, "list"]).select("query_id", "query_vector", *filters, "list", "n")
 
 
 def calibrate(index: Index, corpus: DataFrame, k: int = TOP_K, recall: float = LIST_RECALL, rows: int = CALIBRATION_ROWS) -> int:
@@ -174,6 +181,7 @@ def search(index: Index, queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
     kept = k * depth
 
     def by_code(key, l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        r = r.sort_values("id")
         codes = np.frombuffer(b"".join(r["code"]), np.uint8).reshape(len(r), -1)
         near = np.concatenate([book[codes[:, i]] for i, book in enumerate(books)], axis=1)[:, :centres.shape[1]] + centres[key[-1]]
         scores = unit_rows(matrix(l["query_vector"])) @ near.T
@@ -182,10 +190,14 @@ def search(index: Index, queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
             "query_id": np.repeat(l["query_id"].to_numpy(), best.shape[1]), "id": r["id"].to_numpy()[best].ravel(),
             "by_code": np.take_along_axis(scores, best, axis=1).ravel()})
 
+    def best_by_code(found: pd.DataFrame) -> pd.DataFrame:
+        order = np.lexsort((found["id"].to_numpy(), -found["by_code"].to_numpy(), found["query_id"].to_numpy()))
+        found = found.iloc[order]
+        return found[found.groupby("query_id", sort=False).cumcount() < kept]
+
     kinds = dict(queries.dtypes)["query_id"], dict(corpus.dtypes)["id"]
-    visited = visits(index, queries, probes, kept).drop("n")
-    found = block_join(visited, index.rows, [*filters, "list"], ("query_id", "id"), by_code,
-                       f"query_id {kinds[0]}, id {kinds[1]}, by_code double")
+    found = listed_join(visiting(index, queries, probes, kept), index.rows.withColumnRenamed("list", "_list"), filters, ("query_id", "id"),
+                        by_code, f"query_id {kinds[0]}, id {kinds[1]}, by_code double", best_by_code)
     found = cap_per_group(found, ["query_id"], [F.col("by_code").desc(), F.col("id")], kept).select("query_id", "id")
     exact = found.join(corpus.select("id", "vector"), "id").join(queries.select("query_id", "query_vector"), "query_id").select(
         "query_id", "id", F.round(V.cosine(F.col("query_vector"), F.col("vector")), SCORE_DIGITS).alias("score"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.operators.blocks import block_join, matrix, unit_rows
+from wayfare.operators.blocks import VISITS, block_join, in_groups, listed_join, matrix, unit_rows
 from wayfare.operators.features import mean_vector
 from wayfare.operators.reviews import cap_per_group
 from wayfare.session import cut_lineage
@@ -44,6 +44,15 @@ def _best_in_block(k: int):
     return best
 
 
+def _best_of_blocks(k: int):
+    def best(found: pd.DataFrame) -> pd.DataFrame:
+        order = np.lexsort((found["id"].to_numpy(), -found["score"].to_numpy(), found["query_id"].to_numpy()))
+        found = found.iloc[order]
+        return found[found.groupby("query_id", sort=False).cumcount() < k]
+
+    return best
+
+
 def top_k(queries: DataFrame, corpus: DataFrame, filters: Sequence[str], k: int = TOP_K, rows: int | None = None) -> DataFrame:
     """The ``k`` most similar corpus rows per query among those with equal filter values (cosine, exact).
 
@@ -56,7 +65,7 @@ def top_k(queries: DataFrame, corpus: DataFrame, filters: Sequence[str], k: int
     stored = corpus.select("id", "vector", *filters)
     kinds = dict(asked.dtypes), dict(stored.dtypes)
     schema = f"query_id {kinds[0]['query_id']}, id {kinds[1]['id']}, score double"
-    partial = block_join(asked, stored, filters, ("query_id", "id"), _best_in_block(k), schema, rows)
+    partial = block_join(asked, stored, filters, ("query_id", "id"), _best_in_block(k), schema, rows, _best_of_blocks(k))
     return cap_per_group(partial, ["query_id"], [F.col("score").desc(), F.col("id")], k, rank="match_rank")
 
 
@@ -131,6 +140,14 @@ def cells_to_visit(centres: np.ndarray, reach: np.ndarray, probes: int, rest: bo
     return cells
 
 
+def _grouped(lists: str):
+    @F.pandas_udf(VISITS)
+    def grouped(lists: pd.Series) -> pd.Series:
+        return in_groups(lists)
+
+    return grouped(lists)
+
+
 def top_k_by_cells(queries: DataFrame, stored: DataFrame, centres: np.ndarray, filters: Sequence[str] = (),
                    k: int = TOP_K, probes: int = 4) -> DataFrame:
     """The same result as ``top_k`` with less scoring where the corpus falls into tight cells.
@@ -144,14 +161,18 @@ def top_k_by_cells(queries: DataFrame, stored: DataFrame, centres: np.ndarray, f
     for row in stored.groupBy("cell").agg(F.min("closeness").alias("c")).collect():
         reach[row.cell] = np.arccos(np.clip(row.c, -1.0, 1.0))
     asked = queries.select("query_id", "query_vector", *filters)
-    corpus = stored.select("id", "vector", "cell", *filters)
-    keys = [*filters, "cell"]
+    corpus = stored.select("id", "vector", F.col("cell").alias("_list"), *filters)
+    schema = f"query_id {dict(asked.dtypes)['query_id']}, id {dict(corpus.dtypes)['id']}, score double"
+
+    def best(visiting):
+        found = listed_join(visiting.withColumn("_visits", _grouped("_cells")).drop("_cells"), corpus, filters, ("query_id", "id"),
+                            _best_in_block(k), schema, _best_of_blocks(k))
+        return cap_per_group(found, ["query_id"], [F.col("score").desc(), F.col("id")], k)
+
     near = cells_to_visit(centres, reach, probes, rest=False)
-    first = cut_lineage(top_k(
-        asked.withColumn("cell", F.explode(near("query_vector", F.lit(None).cast("double")))), corpus, keys, k).drop("match_rank"))
+    first = cut_lineage(best(asked.withColumn("_cells", near("query_vector", F.lit(None).cast("double")))))
     floor = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("floor"))
     far = cells_to_visit(centres, reach, probes, rest=True)
-    second = top_k(
-        asked.join(floor, "query_id", "left").withColumn("cell", F.explode(far("query_vector", "floor"))), corpus, keys, k)
-    found = first.unionByName(second.drop("match_rank"))
+    second = best(asked.join(floor, "query_id", "left").withColumn("_cells", far("query_vector", "floor")).drop("floor"))
+    found = first.unionByName(second)
     return cap_per_group(found, ["query_id"], [F.col("score").desc(), F.col("id")], k, rank="match_rank")
