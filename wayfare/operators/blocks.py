@@ -27,6 +27,8 @@ BLOCK_ROWS = 2048
 BLOCK_BYTES = 64 << 20
 #: Pairs of blocks aimed at where the rows allow it.
 PAIRS = 64
+#: Results of a pair of blocks are folded when they come to so many rows, and again when those kept have doubled.
+FOLD_ROWS = 1_000_000
 #: Lists are dealt to so many groups; a row is shuffled once per group that it visits a list of.
 GROUPS = 24
 _RIGHT = "_right_"
@@ -40,8 +42,8 @@ def block_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ids: tupl
     ``fold`` shrinks the results of a pair of blocks put together, before they
     leave the task. ``rows``: cut to blocks of so many rows, whatever their bytes.
     """
-    def by_tiles(key, l: pd.DataFrame, r: pd.DataFrame) -> list[pd.DataFrame]:
-        return [fn(key, a, b) for a in _tiles(l) for b in _tiles(r)]
+    def by_tiles(key, l: pd.DataFrame, r: pd.DataFrame) -> Iterable[pd.DataFrame]:
+        return (fn(key, a, b) for a in _tiles(l) for b in _tiles(r))
 
     return _joined(left, right, keys, ids, by_tiles, schema, rows, fold, pairs)
 
@@ -53,21 +55,21 @@ def listed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ids: tup
 
     A left row's ``_visits`` is made by ``in_groups``; a right row's list is ``_list``.
     """
-    def by_lists(key, l: pd.DataFrame, r: pd.DataFrame) -> list[pd.DataFrame]:
+    def by_lists(key, l: pd.DataFrame, r: pd.DataFrame) -> Iterable[pd.DataFrame]:
         lists, at = np.unique(r["_list"].to_numpy(), return_inverse=True)
-        lengths = l["_lists"].map(len).to_numpy()
-        wanted = np.concatenate(l["_lists"].to_numpy())
-        place = np.minimum(np.searchsorted(lists, wanted), len(lists) - 1)
-        there = lists[place] == wanted
-        visitors = pd.Series(np.repeat(np.arange(len(l)), lengths)[there]).groupby(place[there]).indices
-        rows = np.repeat(np.arange(len(l)), lengths)[there]
         order = np.argsort(at, kind="stable")
         ends = np.searchsorted(at[order], np.arange(len(lists) + 1))
-        l, r, out = l.drop(columns="_lists"), r.drop(columns="_list"), []
-        for i, which in visitors.items():
-            held = r.iloc[order[ends[i]:ends[i + 1]]]
-            out += [fn((*key[:-1], lists[i]), a, b) for a in _tiles(l.iloc[rows[which]]) for b in _tiles(held)]
-        return out
+        r = r.drop(columns="_list")
+        for tile in _tiles(l):
+            rows = np.repeat(np.arange(len(tile)), tile["_lists"].map(len).to_numpy())
+            wanted = np.concatenate(tile["_lists"].to_numpy())
+            tile = tile.drop(columns="_lists")
+            place = np.minimum(np.searchsorted(lists, wanted), len(lists) - 1)
+            place[lists[place] != wanted] = -1
+            for i in np.unique(place[place >= 0]):
+                asking = tile.iloc[rows[place == i]]
+                for held in _tiles(r.iloc[order[ends[i]:ends[i + 1]]]):
+                    yield fn((*key[:-1], lists[i]), asking, held)
 
     visiting = left.withColumn("_v", F.explode("_visits")).select(*[c for c in left.columns if c != "_visits"], "_v.*")
     stored = right.withColumn("_group", F.pmod("_list", F.lit(GROUPS)).cast("int"))
@@ -116,8 +118,15 @@ def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], ids: tuple[s
     def one_pair(key, l, r):
         if len(l) == 0 or len(r) == 0:
             return pd.DataFrame(columns=_names)
-        found = one(tuple(key[:n_keys]), l, r.rename(columns=lambda c: c.removeprefix(_RIGHT)))
-        found = [f for f in found if len(f)]
+        found, n, most = [], 0, FOLD_ROWS
+        for f in one(tuple(key[:n_keys]), l, r.rename(columns=lambda c: c.removeprefix(_RIGHT))):
+            if len(f):
+                found.append(f)
+                n += len(f)
+            if fold and n > most:
+                found = [fold(pd.concat(found, ignore_index=True))]
+                n = len(found[0])
+                most = max(FOLD_ROWS, 2 * n)
         if not found:
             return pd.DataFrame(columns=_names)
         found = pd.concat(found, ignore_index=True) if len(found) > 1 else found[0]
