@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.operators.reviews import first_per_key
-
 # Words that mark a travel request.
 TRAVEL_WORDS = (
     "trip", "travel", "travelling", "traveling", "vacation", "holiday", "visit", "hotel", "flight", "itinerary",
@@ -55,39 +53,48 @@ def number(text: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")).try_cast("long")
 
 
+def day(text: Column, pattern: str) -> Column:
+    """The date found; the search finds nothing but four, two and two digits, and most texts lack one of the dates."""
+    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")).try_cast("date")
+
+
 def entities(requests: DataFrame, cities: DataFrame, key: str = "request_id") -> DataFrame:
-    """Budget, length, dates and city named in each request; what is not said stays null."""
+    """Budget, length, dates and city named in each request; what is not said stays null.
+
+    The requests are built and dealt out by key once; both sides of the join
+    read that one shuffle. No key on the right is missing on the left, so the
+    full join gives the rows of a left one; a left join would filter the null
+    keys out of one side below the shuffle, and then each side has its own.
+    The search is heavy per byte, so the session's number of tasks is kept.
+    """
+    tasks = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    requests = requests.select(key, "text").repartition(tasks, key)
     text = F.col("text")
     budget = F.coalesce(number(text, BUDGET), number(text, BUDGET_AFTER))
     days = F.coalesce(number(text, DAYS), number(text, WEEKS) * 7)
     said = requests.select(
-        key, budget.alias("budget"), days.alias("n_days"),
-        F.try_to_date(F.regexp_extract(text, START, 1), "yyyy-MM-dd").alias("start_date"),
-        F.try_to_date(F.regexp_extract(text, END, 1), "yyyy-MM-dd").alias("end_date"),
-    )
-    return said.join(named_cities(requests, cities, key), key, "left")
+        key, budget.alias("budget"), days.alias("n_days"), day(text, START).alias("start_date"), day(text, END).alias("end_date"))
+    return said.join(named_cities(requests, cities, key), key, "full")
 
 
 def named_cities(requests: DataFrame, cities: DataFrame, key: str) -> DataFrame:
-    """First city name a request mentions.
+    """First city name a request mentions, the longer one winning at one place; null keys have none.
 
-    Every run of words up to the length of the longest name is looked up by
-    equality, the longer run winning at one place, so the work follows the text
-    and not texts x cities.
+    The words are looked up by equality among the first words of the names, and
+    only where one is found are the words after it compared, so the work follows
+    the text and not texts x cities.
     """
-    names = cities.select("city").distinct().select("city", F.lower("city").alias("name_key"))
-    longest = names.agg(F.max(F.size(F.split("name_key", " ")))).scalar()
-    words = F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))
-    runs = F.transform(
-        "w", lambda word, i: F.when(F.col("longest") > 1, F.transform(
-            F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.col("longest"), F.size("w") - i))),
-            lambda n: F.array_join(F.slice("w", i + 1, n), " "),
-        )).otherwise(F.array(word)))
-    opened = requests.select(key, words.alias("w"), longest.alias("longest")).select(key, F.posexplode(runs).alias("at", "runs"))
-    opened = opened.select(key, "at", F.posexplode("runs").alias("more", "name_key"))
-    found = opened.join(names, "name_key").withColumn("shorter", -F.col("more"))
-    first = first_per_key(found.select(key, "at", "shorter", "city"), [key], ["at", "shorter", "city"])
-    return first.select(key, F.col("city").alias("location"))
+    names = cities.select("city").distinct().select("city", F.lower("city").alias("name_key")).select(
+        "city", "name_key", F.split_part("name_key", F.lit(" "), F.lit(1)).alias("word"), F.size(F.split("name_key", " ")).alias("n_words"))
+    longest = names.agg(F.max("n_words")).scalar()
+    words = F.regexp_extract_all(F.lower(F.when(F.col(key).isNotNull(), F.col("text"))), F.lit(WORD), F.lit(0))
+    opened = requests.select(key, words.alias("w"), longest.alias("longest")).select(
+        key, "w", "longest", F.posexplode_outer("w").alias("at", "word"))
+    ahead = F.array_join(F.slice("w", F.col("at") + 1, F.col("longest")), " ")
+    found = opened.select(key, "at", "word", ahead.alias("ahead")).join(names, "word")
+    whole = F.startswith(F.concat("ahead", F.lit(" ")), F.concat("name_key", F.lit(" ")))
+    place = F.when(whole, F.struct("at", (-F.col("n_words")).alias("shorter"), "city"))
+    return found.select(key, place.alias("place")).groupBy(key).agg(F.min("place")["city"].alias("location"))
 
 
 def missing_entities() -> Column:
