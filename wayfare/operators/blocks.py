@@ -18,19 +18,23 @@ from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Rows of a tile on each side; a block of fewer rows is not cut for the sake of more tasks.
 BLOCK_ROWS = 2048
 #: Most bytes of a block, as its columns count in memory.
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 48 << 20
 #: Pairs of blocks aimed at where the rows allow it.
 PAIRS = 64
 #: Results of a pair of blocks are folded when they come to so many rows, and again when those kept have doubled.
 FOLD_ROWS = 1_000_000
 #: Lists are dealt to so many groups; a row is shuffled once per group that it visits a list of.
-GROUPS = 24
+GROUPS = 8
 _RIGHT = "_right_"
 
 
@@ -48,6 +52,16 @@ def block_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ids: tupl
     return _joined(left, right, keys, ids, by_tiles, schema, rows, fold, pairs)
 
 
+def whole_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ids: tuple[str, str],
+               fn: Callable[[tuple, pa.Table, pa.Table, pa.Schema], pa.Table], schema: str,
+               rows: int | None = None, pairs: int = PAIRS // 2, by_bytes: bool = False) -> DataFrame:
+    """``fn(key values, left block, right block, schema of the result)`` once for every pair of blocks, as Arrow tables.
+
+    ``by_bytes``: the right side is cut for its bytes alone, where each of its blocks gives results for every row of the left.
+    """
+    return _joined(left, right, keys, ids, fn, schema, rows, None, pairs, arrow=True, by_bytes=by_bytes)
+
+
 def listed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ids: tuple[str, str],
                 fn: Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str,
                 fold: Callable[[pd.DataFrame], pd.DataFrame] | None = None) -> DataFrame:
@@ -61,47 +75,86 @@ def listed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ids: tup
         ends = np.searchsorted(at[order], np.arange(len(lists) + 1))
         r = r.drop(columns="_list")
         for tile in _tiles(l):
-            rows = np.repeat(np.arange(len(tile)), tile["_lists"].map(len).to_numpy())
-            wanted = np.concatenate(tile["_lists"].to_numpy())
-            tile = tile.drop(columns="_lists")
-            place = np.minimum(np.searchsorted(lists, wanted), len(lists) - 1)
-            place[lists[place] != wanted] = -1
-            for i in np.unique(place[place >= 0]):
-                asking = tile.iloc[rows[place == i]]
+            met = met_lists(b"".join(tile["_bits"]), len(tile), lists)
+            tile = tile.drop(columns="_bits")
+            for i in np.flatnonzero(met.any(axis=0)):
+                asking = tile[met[:, i]]
                 for held in _tiles(r.iloc[order[ends[i]:ends[i + 1]]]):
                     yield fn((*key[:-1], lists[i]), asking, held)
 
-    visiting = left.withColumn("_v", F.explode("_visits")).select(*[c for c in left.columns if c != "_visits"], "_v.*")
-    stored = right.withColumn("_group", F.pmod("_list", F.lit(GROUPS)).cast("int"))
-    return _joined(visiting, stored, [*keys, "_group"], ids, by_lists, schema, None, fold, 1)
+    return _joined(left, right, keys, ids, by_lists, schema, None, fold, PAIRS, listed=True)
+
+
+def listed_blocks(left: DataFrame, right: DataFrame, keys: Sequence[str], ids: tuple[str, str],
+                  fn: Callable[[tuple, pa.Table, pa.Table, pa.Schema], pa.Table], schema: str) -> DataFrame:
+    """``fn`` as for ``whole_join``, for the rows of a group of lists and the rows that visit some of them.
+
+    The left block's ``_bits`` and the right block's ``_list`` say which (``Segments``).
+    """
+    return _joined(left, right, keys, ids, fn, schema, None, None, PAIRS, arrow=True, listed=True)
+
+
+VISITS = "array<struct<_group:int,_bits:binary>>"
+
 
+def in_groups(met: np.ndarray) -> pd.Series:
+    """The lists that each row visits (rows x lists, true or false) as bits: list i is bit i // GROUPS of group i % GROUPS."""
+    full = np.zeros((len(met), GROUPS, 8 * _width(met.shape[1])), bool)
+    for group in range(GROUPS):
+        part = met[:, group::GROUPS]
+        full[:, group, :part.shape[1]] = part
+    return pd.Series([row.tobytes() for row in np.packbits(full, axis=2)], dtype=object)
 
-VISITS = "array<struct<_group:int,_lists:array<int>>>"
 
+def _width(lists: int) -> int:
+    """Bytes per group."""
+    return -(-lists // (8 * GROUPS))
 
-def in_groups(rows: Iterable[np.ndarray]) -> pd.Series:
-    """The lists that each row visits, put together by their group, as values of type ``VISITS``."""
-    out = []
-    for lists in rows:
-        lists = np.asarray(lists, dtype=np.int32)
-        group = lists % GROUPS
-        order = np.argsort(group, kind="stable")
-        found, starts = np.unique(group[order], return_index=True)
-        out.append([{"_group": int(g), "_lists": part} for g, part in zip(found, np.split(lists[order], starts[1:]))])
-    return pd.Series(out, dtype=object)
+
+def visits(bits: Column, lists: int) -> Column:
+    """What ``in_groups`` made as a value of type ``VISITS``: the groups in which a row visits a list."""
+    width = _width(lists)
+    parts = F.transform(F.sequence(F.lit(0), F.lit(GROUPS - 1)), lambda g: F.struct(
+        g.alias("_group"), F.substr(bits, g * width + 1, F.lit(width)).alias("_bits")))
+    return F.filter(parts, lambda part: part["_bits"] != F.lit(bytes(width)))
+
+
+def met_lists(bits: bytes, n: int, lists: np.ndarray) -> np.ndarray:
+    """Which of ``lists``, all of one group, each of ``n`` rows visits (rows x lists)."""
+    return np.unpackbits(np.frombuffer(bits, np.uint8).reshape(n, -1), axis=1)[:, lists // GROUPS].astype(bool)
 
 
 def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], ids: tuple[str, str], one, schema: str,
-            rows: int | None, fold, pairs: int) -> DataFrame:
+            rows: int | None, fold, pairs: int, arrow: bool = False, by_bytes: bool = False, listed: bool = False) -> DataFrame:
     keys = list(keys)
     n_keys = len(keys)
-    if keys:
+    given = left.columns
+    if listed:
+        # The sizes are known before a row is copied: the groups of lists are the blocks of the right side, cut further for their bytes.
+        right = right.withColumn("_group", F.pmod("_list", F.lit(GROUPS)).cast("int"))
+        rights = right.groupBy(*keys, "_group").agg(F.ceil(_size(right)["bytes"] / F.lit(BLOCK_BYTES)).cast("long").alias("_nr"))
+        entries = F.map_from_entries(F.collect_list(F.struct("_group", "_nr"))).alias("_nrs")
+        if keys:
+            sizes = left.groupBy(*keys).agg(_size(left).alias("_l")).join(rights.groupBy(*keys).agg(entries), keys)
+            left, right = left.join(sizes, keys), right.join(rights, [*keys, "_group"])
+            right = right.join(sizes.select(*keys, "_l"), keys)
+        else:
+            l, nrs = left.agg(_size(left)).scalar(), rights.agg(entries).scalar()
+            left, right = left.select("*", l.alias("_l"), nrs.alias("_nrs")), right.select("*", l.alias("_l"), nrs.alias("_nrs"))
+            right = right.withColumn("_nr", F.col("_nrs")[F.col("_group")]).drop("_nrs")
+        by_pairs = F.least(F.ceil(F.col("_l.n") / F.lit(BLOCK_ROWS)), F.lit(max(1, pairs // GROUPS)))
+        nl = F.greatest(F.ceil(F.col("_l.bytes") / F.lit(BLOCK_BYTES)), by_pairs).cast("long")
+        left = left.withColumn("_nl", nl).withColumn("_v", F.explode("_visits")).select(
+            *[c for c in given if c != "_visits"], "_v.*", "_nl", F.col("_nrs")[F.col("_v._group")].alias("_nr")).where("_nr IS NOT NULL")
+        right = right.withColumn("_nl", nl).drop("_l")
+        keys = [*keys, "_group"]
+    elif keys:
         sizes = left.groupBy(*keys).agg(_size(left).alias("_l")).join(right.groupBy(*keys).agg(_size(right).alias("_r")), keys)
-        sizes = sizes.select(*keys, *_blocks(F.col("_l"), F.col("_r"), rows, pairs))
+        sizes = sizes.select(*keys, *_blocks(F.col("_l"), F.col("_r"), rows, pairs, by_bytes))
         left, right = left.join(sizes, keys), right.join(sizes, keys)
     else:
         l, r = (df.agg(_size(df)).scalar() for df in (left, right))
-        left, right = (df.select("*", l.alias("_l"), r.alias("_r")).select(*df.columns, *_blocks(F.col("_l"), F.col("_r"), rows, pairs))
+        left, right = (df.select("*", l.alias("_l"), r.alias("_r")).select(*df.columns, *_blocks(F.col("_l"), F.col("_r"), rows, pairs, by_bytes))
                        for df in (left, right))
     number = F.lit(0).cast("long")
     placed_left = (
@@ -119,7 +172,7 @@ def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], ids: tuple[s
         if len(l) == 0 or len(r) == 0:
             return pd.DataFrame(columns=_names)
         found, n, most = [], 0, FOLD_ROWS
-        for f in one(tuple(key[:n_keys]), l, r.rename(columns=lambda c: c.removeprefix(_RIGHT))):
+        for f in one(tuple(key[:n_keys + listed]), l, r.rename(columns=lambda c: c.removeprefix(_RIGHT))):
             if len(f):
                 found.append(f)
                 n += len(f)
@@ -132,9 +185,18 @@ def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], ids: tuple[s
         found = pd.concat(found, ignore_index=True) if len(found) > 1 else found[0]
         return fold(found) if fold else found
 
+    def one_block(key, l, r):
+        if len(l) == 0 or len(r) == 0:
+            return kind.empty_table()
+        return one(tuple(k.as_py() for k in key[:n_keys + listed]), l, r.rename_columns([c.removeprefix(_RIGHT) for c in r.column_names]), kind)
+
     _names = [part.split()[0] for part in schema.split(",")]
     by = [*keys, "_lb", "_rb"]
-    return placed_left.groupBy(*by).cogroup(placed_right.groupBy(*[_RIGHT + c for c in by])).applyInPandas(one_pair, schema)
+    both = placed_left.groupBy(*by).cogroup(placed_right.groupBy(*[_RIGHT + c for c in by]))
+    if arrow:
+        kind = to_arrow_schema(StructType.fromDDL(schema))
+        return both.applyInArrow(one_block, schema)
+    return both.applyInPandas(one_pair, schema)
 
 
 def _tiles(df: pd.DataFrame) -> list[pd.DataFrame]:
@@ -148,7 +210,7 @@ def _size(df: DataFrame) -> Column:
     return F.struct(F.count("*").alias("n"), F.coalesce(F.sum(each.cast("long")), F.lit(0)).alias("bytes"))
 
 
-def _blocks(l: Column, r: Column, rows: int | None, pairs: int) -> tuple[Column, Column]:
+def _blocks(l: Column, r: Column, rows: int | None, pairs: int, by_bytes: bool = False) -> tuple[Column, Column]:
     """Numbers of blocks: by ``rows``, or by bytes and so that there are about ``pairs`` pairs of them."""
     def least(side):
         return F.ceil(side["n"] / F.lit(rows or BLOCK_ROWS)).cast("long")
@@ -161,9 +223,40 @@ def _blocks(l: Column, r: Column, rows: int | None, pairs: int) -> tuple[Column,
         for_tasks = F.least(least(side), F.ceil(F.lit(pairs) / F.greatest(F.least(least(other), root), F.lit(1))))
         return F.greatest(F.ceil(side["bytes"] / F.lit(BLOCK_BYTES)), for_tasks).cast("long")
 
+    if by_bytes:
+        parts = F.greatest(F.ceil(r["bytes"] / F.lit(BLOCK_BYTES)), F.lit(1)).cast("long")
+        for_tasks = F.least(least(l), F.ceil(F.lit(pairs) / parts))
+        return F.greatest(F.ceil(l["bytes"] / F.lit(BLOCK_BYTES)), for_tasks).cast("long").alias("_nl"), parts.alias("_nr")
     return number(l, r).alias("_nl"), number(r, l).alias("_nr")
 
 
+def vectors(column: pa.ChunkedArray) -> np.ndarray:
+    """Rows of an array column as a matrix, without a Python object per row."""
+    lists = column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.chunk(0)
+    sizes = np.diff(lists.offsets.to_numpy())
+    if lists.null_count or (sizes != sizes[:1]).any():
+        raise ValueError("vectors must be there and of one length")
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(lists), -1)
+
+
+def ranks(column: pa.ChunkedArray) -> np.ndarray:
+    """The place of each row in the order of its value, equal values in the order they come."""
+    order = pc.sort_indices(column, null_placement="at_start").to_numpy()
+    at = np.empty(len(order), np.int64)
+    at[order] = np.arange(len(order))
+    return at
+
+
+def equal_rows(a: pa.ChunkedArray, b: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of rows of two columns with equal values; missing values equal none."""
+    a = pa.table({"v": a, "a": pa.array(np.arange(len(a)))})
+    b = pa.table({"v": b.cast(a["v"].type), "b": pa.array(np.arange(len(b)))})
+    both = a.join(b, "v", join_type="inner")
+    return both["a"].to_numpy(), both["b"].to_numpy()
+
+
 def matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 

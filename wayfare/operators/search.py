@@ -7,14 +7,16 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.operators.blocks import VISITS, block_join, in_groups, listed_join, matrix, unit_rows
+from wayfare.operators.blocks import in_groups, listed_blocks, matrix, met_lists, ranks, unit_rows, vectors, visits, whole_join
 from wayfare.operators.features import mean_vector
+from wayfare.operators.nearest import NONE, Best, Cosines, Segments, best_rows
 from wayfare.operators.reviews import cap_per_group
 from wayfare.session import cut_lineage
 
@@ -22,6 +24,8 @@ TOP_K = 5
 SCORE_DIGITS = 6
 # Scores are rounded before they are ranked; a bound this close still counts.
 SLACK = 2e-6
+#: Rows whose cells are found at a time.
+VISIT_ROWS = 512
 
 
 def cell_count(n: int) -> int:
@@ -29,26 +33,31 @@ def cell_count(n: int) -> int:
     return max(2, math.isqrt(n))
 
 
-def _best_in_block(k: int):
-    def best(_, queries: pd.DataFrame, corpus: pd.DataFrame) -> pd.DataFrame:
-        corpus = corpus.sort_values("id")
-        scores = np.round(unit_rows(matrix(queries["query_vector"])) @ unit_rows(matrix(corpus["vector"])).T, SCORE_DIGITS)
-        kept = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-        n = kept.shape[1]
-        return pd.DataFrame({
-            "query_id": np.repeat(queries["query_id"].to_numpy(), n),
-            "id": corpus["id"].to_numpy()[kept].ravel(),
-            "score": np.take_along_axis(scores, kept, axis=1).ravel(),
-        })
+def in_order(block: pa.Table, lists: str = "_list") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of a block in the order of their lists (one, if it has none) and ids, the rank of their ids, and where lists end."""
+    by_id = ranks(block["id"])
+    at = block[lists].to_numpy() if lists in block.column_names else np.zeros(len(block), int)
+    order = np.lexsort((by_id, at))
+    return order, by_id[order], np.flatnonzero(np.diff(at[order], append=-1)) + 1
 
-    return best
 
+def found_pairs(best: Best, l: pa.Table, r: pa.Table) -> dict:
+    """The best pairs as columns."""
+    rows, entry = np.nonzero(best.at != NONE)
+    by_id = np.argsort(ranks(r["id"]), kind="stable")
+    return {"query_id": l["query_id"].take(pa.array(rows)), "id": r["id"].take(pa.array(by_id[best.at[rows, entry]])), "score": best.score[rows, entry]}
 
-def _best_of_blocks(k: int):
-    def best(found: pd.DataFrame) -> pd.DataFrame:
-        order = np.lexsort((found["id"].to_numpy(), -found["score"].to_numpy(), found["query_id"].to_numpy()))
-        found = found.iloc[order]
-        return found[found.groupby("query_id", sort=False).cumcount() < k]
+
+def _best_in_block(k: int):
+    """The best rows of a block for each query: of all, or of the lists that it visits, above ``floor`` where the queries have one."""
+    def best(_, l: pa.Table, r: pa.Table, kind: pa.Schema) -> pa.Table:
+        order, rank, ends = in_order(r)
+        scores = Cosines(unit_rows(vectors(l["query_vector"])), unit_rows(vectors(r["vector"])[order]), SCORE_DIGITS)
+        met = None
+        if "_bits" in l.column_names:
+            met = met_lists(b"".join(l["_bits"].to_pylist()), len(l), r["_list"].to_numpy()[order][ends - 1])
+        floor = l["floor"].fill_null(-np.inf).to_numpy().copy() if "floor" in l.column_names else None
+        return pa.table(found_pairs(best_rows(scores, Segments(len(l), len(r), met, ends), k, rank, floor), l, r)).cast(kind)
 
     return best
 
@@ -65,7 +74,7 @@ def top_k(queries: DataFrame, corpus: DataFrame, filters: Sequence[str], k: int
     stored = corpus.select("id", "vector", *filters)
     kinds = dict(asked.dtypes), dict(stored.dtypes)
     schema = f"query_id {kinds[0]['query_id']}, id {kinds[1]['id']}, score double"
-    partial = block_join(asked, stored, filters, ("query_id", "id"), _best_in_block(k), schema, rows, _best_of_blocks(k))
+    partial = whole_join(asked, stored, filters, ("query_id", "id"), _best_in_block(k), schema, rows, by_bytes=True)
     return cap_per_group(partial, ["query_id"], [F.col("score").desc(), F.col("id")], k, rank="match_rank")
 
 
@@ -103,8 +112,9 @@ def fit_cells(corpus: DataFrame, n_cells: int, seed: int = 42) -> np.ndarray:
 
 
 def _unit(vector):
+    """``vector`` scaled to length 1. The length is bound to a name: written out in the inner step, it would be summed up once per element."""
     length = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x * x))
-    return F.transform(vector, lambda x: F.when(length > 0, x / length).otherwise(0.0))
+    return F.get(F.transform(F.array(length), lambda n: F.transform(vector, lambda x: F.when(n > 0, x / n).otherwise(0.0))), F.lit(0))
 
 
 def with_cell(corpus: DataFrame, centres: np.ndarray) -> DataFrame:
@@ -119,6 +129,22 @@ def with_cell(corpus: DataFrame, centres: np.ndarray) -> DataFrame:
     return corpus.withColumn("_c", nearest("vector")).select(*corpus.columns, "_c.*")
 
 
+def _cells(centres: np.ndarray, reach: np.ndarray, probes: int, rest: bool):
+    """For rows and their floors, the cells from near to far and which of them to visit (rows x cells)."""
+    def cells(m: np.ndarray, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        cosine = np.clip(unit_rows(m) @ centres.T, -1.0, 1.0)
+        order = np.argsort(-cosine, axis=1, kind="stable").astype(np.int32)
+        if rest:
+            best = np.cos(np.maximum(np.arccos(cosine) - reach[None, :], 0.0))
+            met = best >= floor[:, None] - SLACK
+        else:
+            met = np.zeros(cosine.shape, bool)
+        np.put_along_axis(met, order[:, :probes], not rest, axis=1)
+        return order, met
+
+    return cells
+
+
 def cells_to_visit(centres: np.ndarray, reach: np.ndarray, probes: int, rest: bool):
     """Cells nearest to a query, or (``rest``) the further cells that may still hold a row above ``floor``.
 
@@ -129,23 +155,23 @@ def cells_to_visit(centres: np.ndarray, reach: np.ndarray, probes: int, rest: bo
     def cells(vectors: pd.Series, floor: pd.Series) -> pd.Series:
         if len(vectors) == 0:
             return pd.Series([], dtype=object)
-        cosine = np.clip(unit_rows(matrix(vectors)) @ centres.T, -1.0, 1.0)
-        order = np.argsort(-cosine, axis=1, kind="stable").astype(np.int32)
-        if not rest:
-            return pd.Series(list(order[:, :probes]))
-        best = np.cos(np.maximum(np.arccos(cosine) - reach[None, :], 0.0))
-        open_cells = best >= floor.fillna(-2.0).to_numpy()[:, None] - SLACK
-        return pd.Series([row[probes:][open_row[row[probes:]]] for row, open_row in zip(order, open_cells)])
+        order, met = _cells(centres, reach, probes, rest)(matrix(vectors), floor.fillna(-2.0).to_numpy())
+        return pd.Series([row[open_row[row]] for row, open_row in zip(order, met)])
 
     return cells
 
 
-def _grouped(lists: str):
-    @F.pandas_udf(VISITS)
-    def grouped(lists: pd.Series) -> pd.Series:
-        return in_groups(lists)
+def _visiting(queries: DataFrame, centres: np.ndarray, reach: np.ndarray, probes: int, rest: bool) -> DataFrame:
+    """``queries`` with the cells to visit, as bits: the same cells as those of ``cells_to_visit``."""
+    @F.pandas_udf("binary")
+    def cells(vectors: pd.Series, floor: pd.Series) -> pd.Series:
+        if len(vectors) == 0:
+            return pd.Series([], dtype=object)
+        m, floor = matrix(vectors), floor.fillna(-2.0).to_numpy()
+        to_visit = _cells(centres, reach, probes, rest)
+        return in_groups(np.concatenate([to_visit(m[i:i + VISIT_ROWS], floor[i:i + VISIT_ROWS])[1] for i in range(0, len(m), VISIT_ROWS)]))
 
-    return grouped(lists)
+    return queries.withColumn("_all", cells("query_vector", "floor")).withColumn("_visits", visits(F.col("_all"), len(centres))).drop("_all")
 
 
 def top_k_by_cells(queries: DataFrame, stored: DataFrame, centres: np.ndarray, filters: Sequence[str] = (),
@@ -165,14 +191,11 @@ def top_k_by_cells(queries: DataFrame, stored: DataFrame, centres: np.ndarray, f
     schema = f"query_id {dict(asked.dtypes)['query_id']}, id {dict(corpus.dtypes)['id']}, score double"
 
     def best(visiting):
-        found = listed_join(visiting.withColumn("_visits", _grouped("_cells")).drop("_cells"), corpus, filters, ("query_id", "id"),
-                            _best_in_block(k), schema, _best_of_blocks(k))
+        found = listed_blocks(visiting, corpus, filters, ("query_id", "id"), _best_in_block(k), schema)
         return cap_per_group(found, ["query_id"], [F.col("score").desc(), F.col("id")], k)
 
-    near = cells_to_visit(centres, reach, probes, rest=False)
-    first = cut_lineage(best(asked.withColumn("_cells", near("query_vector", F.lit(None).cast("double")))))
+    first = cut_lineage(best(_visiting(asked.withColumn("floor", F.lit(None).cast("double")), centres, reach, probes, rest=False)))
     floor = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("floor"))
-    far = cells_to_visit(centres, reach, probes, rest=True)
-    second = best(asked.join(floor, "query_id", "left").withColumn("_cells", far("query_vector", "floor")).drop("floor"))
+    second = best(_visiting(asked.join(floor, "query_id", "left"), centres, reach, probes, rest=True))
     found = first.unionByName(second)
     return cap_per_group(found, ["query_id"], [F.col("score").desc(), F.col("id")], k, rank="match_rank")
