@@ -20,13 +20,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.functions import vector as V
-from wayfare.operators.blocks import VISITS, distances, in_groups, listed_join, matrix, unit_rows
+from wayfare.operators.blocks import distances, equal_rows, matrix, ranks, unit_rows, vectors, whole_join
+from wayfare.operators.nearest import NONE, SETTLED, Segments, best_rows, product, products
 from wayfare.operators.reviews import cap_per_group
-from wayfare.operators.search import SCORE_DIGITS, TOP_K, cell_count, fit_cells, top_k
+from wayfare.operators.search import SCORE_DIGITS, TOP_K, VISIT_ROWS, cell_count, fit_cells, in_order, top_k
 from wayfare.session import cut_lineage
 
 #: Rows that centres are fitted to, per list; Spark keeps them.
@@ -41,6 +43,8 @@ LIST_RECALL = 0.98
 DEPTH = 10
 #: Lists of a filter value are looked up in so many salted copies, so that a frequent value is no single key.
 SALTS = 16
+#: Queries whose rows found are looked up at a time.
+LOOKED_UP = 8192
 
 
 @dataclass(frozen=True)
@@ -118,28 +122,35 @@ def _with_lists(index: Index, queries: DataFrame) -> DataFrame:
 
 
 def visiting(index: Index, queries: DataFrame, probes: int, least: int) -> DataFrame:
-    """Queries with the lists to visit, in groups: the nearest lists, ``probes`` of them or more until ``least`` rows are in them."""
+    """Queries with the lists to visit as bits (``_lists``): the nearest lists, ``probes`` of them or more until ``least`` rows are in them."""
     centres = index.centres
 
-    @F.pandas_udf(VISITS)
+    @F.pandas_udf("binary")
     def nearest(vectors: pd.Series, lists: pd.Series, sizes: pd.Series) -> pd.Series:
-        if len(vectors) == 0:
-            return pd.Series([], dtype=object)
-        cosine = unit_rows(matrix(vectors)) @ centres.T
         out = []
-        for row, at, n in zip(cosine, lists, sizes):
-            order = np.lexsort((at, -row[at]))
-            before = np.cumsum(n[order]) - n[order]
-            out.append(at[order[(np.arange(len(order)) < probes) | (before < least)]])
-        return in_groups(out)
+        for i in range(0, len(vectors), VISIT_ROWS):
+            some = slice(i, i + VISIT_ROWS)
+            cosine = unit_rows(matrix(vectors.iloc[some])) @ centres.T
+            met = np.zeros(cosine.shape, bool)
+            for row, at, n, mark in zip(cosine, lists.iloc[some], sizes.iloc[some], met):
+                order = np.lexsort((at, -row[at]))
+                before = np.cumsum(n[order]) - n[order]
+                mark[at[order[(np.arange(len(order)) < probes) | (before < least)]]] = True
+            out += [row.tobytes() for row in np.packbits(met, axis=1)]
+        return pd.Series(out, dtype=object)
 
-    return _with_lists(index, queries).select("query_id", "query_vector", *index.filters, nearest("query_vector", "lists", "sizes").alias("_visits"))
+    return _with_lists(index, queries).select("query_id", "query_vector", *index.filters, nearest("query_vector", "lists", "sizes").alias("_lists"))
 
 
 def visits(index: Index, queries: DataFrame, probes: int, least: int) -> DataFrame:
     """A row per query and list to visit, with the list's size."""
     filters = list(index.filters)
-    found = visiting(index, queries, probes, least).withColumn("_v", F.explode("_visits")).withColumn("list", F.explode("_v._lists")).drop("_v", "_visits")
+
+    @F.pandas_udf("array<int>")
+    def numbers(bits: pd.Series) -> pd.Series:
+        return pd.Series([np.flatnonzero(np.unpackbits(np.frombuffer(b, np.uint8))).astype(np.int32) for b in bits], dtype=object)
+
+    found = visiting(index, queries, probes, least).withColumn("list", F.explode(numbers("_lists"))).drop("_lists")
     sizes = index.lists.select(*filters, F.explode(F.arrays_zip("lists", "sizes")).alias("l")).select(
         *filters, F.col("l.lists").alias("list"), F.col("l.sizes").alias("n"))
     return found.join(sizes, [*filters, "list"]).select("query_id", "query_vector", *filters, "list", "n")
@@ -170,37 +181,92 @@ def calibrate(index: Index, corpus: DataFrame, k: int = TOP_K, recall: float = L
     return 1
 
 
+class Codes:
+    """Products of unit rows with the vectors that codes stand for, for ``best_rows``; codes are opened tile by tile."""
+
+    def __init__(self, a: np.ndarray, centres: np.ndarray, books: np.ndarray, lists: np.ndarray, codes: np.ndarray):
+        self.a, self.centres, self.books, self.lists, self.codes = a, centres, books, lists, codes
+        self.x, self.rough_centres, self.rough_books = (m.astype(np.float32) for m in (a, centres, books))
+        longest = np.sqrt((books ** 2).sum(axis=2).max(axis=1).sum()) + 1.0  # of a centre and the rest
+        self.slack = (centres.shape[1] + 10) * 2.0 ** -23 * longest
+
+    def _near(self, cols, centres: np.ndarray, books: np.ndarray) -> np.ndarray:
+        codes = self.codes[cols]
+        return np.concatenate([book[codes[:, i]] for i, book in enumerate(books)], axis=1)[:, :centres.shape[1]] + centres[self.lists[cols]]
+
+    def rough(self, rows, cols):
+        return product(self.x[rows], self._near(cols, self.rough_centres, self.rough_books))
+
+    def least(self, floor: np.ndarray, rows, cols) -> np.ndarray:
+        return floor - self.slack
+
+    def below(self, score: np.ndarray) -> np.ndarray:
+        return score - 1e-9
+
+    def dense(self, rows, cols) -> np.ndarray:
+        return self.a[rows] @ self._near(cols, self.centres, self.books).T
+
+    def pairs(self, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+        parts = [np.einsum("ij,ij->i", self.a[rows[i:i + SETTLED]], self._near(cols[i:i + SETTLED], self.centres, self.books))
+                 for i in range(0, len(rows), SETTLED)]
+        return np.concatenate(parts) if parts else np.zeros(0)
+
+
+def _lists_of(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], sizes.cumsum()]), pa.int32()), values)
+
+
 def search(index: Index, queries: DataFrame, corpus: DataFrame, k: int = TOP_K, probes: int = 8, depth: int = DEPTH) -> DataFrame:
     """(query_id, id, score, match_rank): the best ``k`` rows found, by their exact cosine.
 
     ``queries(query_id, query_vector, filters...)``. Scores are those of
     ``search.top_k``; what may be missing are rows in lists not visited, or with
-    more than ``k * depth`` rows better by code.
+    more than ``k * depth`` rows better by code. Codes are short, so blocks of
+    queries meet all of them in one task; vectors are met block by block, and
+    never written beside each of the rows that were found.
     """
     filters, centres, books = list(index.filters), index.centres, index.books
     kept = k * depth
-
-    def by_code(key, l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        r = r.sort_values("id")
-        codes = np.frombuffer(b"".join(r["code"]), np.uint8).reshape(len(r), -1)
-        near = np.concatenate([book[codes[:, i]] for i, book in enumerate(books)], axis=1)[:, :centres.shape[1]] + centres[key[-1]]
-        scores = unit_rows(matrix(l["query_vector"])) @ near.T
-        best = np.argsort(-scores, axis=1, kind="stable")[:, :kept]
-        return pd.DataFrame({
-            "query_id": np.repeat(l["query_id"].to_numpy(), best.shape[1]), "id": r["id"].to_numpy()[best].ravel(),
-            "by_code": np.take_along_axis(scores, best, axis=1).ravel()})
-
-    def best_by_code(found: pd.DataFrame) -> pd.DataFrame:
-        order = np.lexsort((found["id"].to_numpy(), -found["by_code"].to_numpy(), found["query_id"].to_numpy()))
-        found = found.iloc[order]
-        return found[found.groupby("query_id", sort=False).cumcount() < kept]
-
     kinds = dict(queries.dtypes)["query_id"], dict(corpus.dtypes)["id"]
-    found = listed_join(visiting(index, queries, probes, kept), index.rows.withColumnRenamed("list", "_list"), filters, ("query_id", "id"),
-                        by_code, f"query_id {kinds[0]}, id {kinds[1]}, by_code double", best_by_code)
-    found = cap_per_group(found, ["query_id"], [F.col("by_code").desc(), F.col("id")], kept).select("query_id", "id")
-    exact = found.join(corpus.select("id", "vector"), "id").join(queries.select("query_id", "query_vector"), "query_id").select(
-        "query_id", "id", F.round(V.cosine(F.col("query_vector"), F.col("vector")), SCORE_DIGITS).alias("score"))
+
+    def by_code(_, l: pa.Table, r: pa.Table, kind: pa.Schema) -> pa.Table:
+        order, rank, ends = in_order(r, "list")
+        lists = r["list"].to_numpy()[order]
+        codes = np.frombuffer(b"".join(r["code"].to_pylist()), np.uint8).reshape(len(r), -1)[order]
+        bits = np.frombuffer(b"".join(l["_lists"].to_pylist()), np.uint8).reshape(len(l), -1)
+        met = np.concatenate([np.unpackbits(bits[i:i + VISIT_ROWS], axis=1)[:, lists[ends - 1]].astype(bool) for i in range(0, len(l), VISIT_ROWS)])
+        best = best_rows(Codes(unit_rows(vectors(l["query_vector"])), centres, books, lists, codes), Segments(len(l), len(r), met, ends), kept, rank, only=True)
+        there = best.at != NONE
+        by_id = np.argsort(ranks(r["id"]), kind="stable")
+        ids, sizes = r["id"].take(pa.array(by_id[best.at[there]])).combine_chunks(), there.sum(axis=1)
+        return pa.table({"query_id": l["query_id"], "ids": _lists_of(ids, sizes), "off": _lists_of(pa.array(-best.score[there]), sizes)}).cast(kind)
+
+    found = whole_join(visiting(index, queries, probes, kept), index.rows, filters, ("query_id", "id"), by_code,
+                       f"query_id {kinds[0]}, ids array<{kinds[1]}>, off array<double>", by_bytes=True)
+    both = F.flatten(F.collect_list(F.arrays_zip("off", "ids")))
+    wanted = found.groupBy("query_id").agg(F.slice(F.sort_array(both), 1, kept)["ids"].alias("ids"))
+
+    def by_vector(_, l: pa.Table, r: pa.Table, kind: pa.Schema) -> pa.Table:
+        a, b, rank = unit_rows(vectors(l["query_vector"])), unit_rows(vectors(r["vector"])), ranks(r["id"])
+        parts = []
+        for i in range(0, len(l), LOOKED_UP):
+            ids = l["ids"].slice(i, LOOKED_UP).combine_chunks()
+            ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
+            of = i + np.repeat(np.arange(len(ids)), pc.list_value_length(ids).to_numpy())
+            at, to = equal_rows(pa.chunked_array([ids.flatten()]), r["id"])
+            rows = of[at]
+            score = np.round(products(a, b, rows, to), SCORE_DIGITS)
+            order = np.lexsort((rank[to], -score, rows))
+            rows, to, score = rows[order], to[order], score[order]
+            first = np.flatnonzero(np.diff(rows, prepend=-1))
+            best = np.arange(len(rows)) - np.repeat(first, np.diff(np.append(first, len(rows)))) < k
+            parts.append((rows[best], to[best], score[best]))
+        rows, to, score = map(np.concatenate, zip(*parts))
+        return pa.table({"query_id": l["query_id"].take(pa.array(rows)), "id": r["id"].take(pa.array(to)), "score": score}).cast(kind)
+
+    asked = queries.select("query_id", "query_vector", *filters).join(wanted, "query_id")
+    exact = whole_join(asked, corpus.select("id", "vector", *filters), filters, ("query_id", "id"), by_vector,
+                       f"query_id {kinds[0]}, id {kinds[1]}, score double", by_bytes=True)
     return cap_per_group(exact, ["query_id"], [F.col("score").desc(), F.col("id")], k, rank="match_rank")
 
 
