@@ -7,6 +7,7 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
@@ -18,9 +19,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfare.functions import vector as V
-from wayfare.operators.blocks import block_join, distances, matrix, stars, unit_rows
+from wayfare.operators.blocks import block_join, distances, equal_rows, matrix, ranks, stars, unit_rows
 from wayfare.operators.features import mean_vector
-from wayfare.operators.shells import Shells, near_join
+from wayfare.operators.nearest import NONE, Near, Segments
+from wayfare.operators.shells import Shells, near_blocks
 from wayfare.operators.shells import build as build_shells
 from wayfare.session import cut_lineage
 
@@ -134,20 +136,56 @@ def id_type(df: DataFrame) -> str:
 
 def neighbour_counts(df: DataFrame, eps: float, index: Shells | None = None) -> DataFrame:
     """Rows within eps of each row, itself included."""
-    def count(_, l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        near = distances(matrix(l["vector"]), matrix(r["vector"])) <= eps
-        near |= l["id"].to_numpy()[:, None] == r["other"].to_numpy()[None, :]
-        return pd.DataFrame({"id": l["id"], "n": near.sum(axis=1)})
-
-    def summed(found: pd.DataFrame) -> pd.DataFrame:
-        return found.groupby("id", as_index=False, dropna=False)["n"].sum()
+    def count(l: pa.Table, r: pa.Table, near: Near, tiles: Segments, kind: pa.Schema) -> pa.Table:
+        n = np.zeros(len(l), np.int64)
+        for _, _, columns in tiles:
+            for rows, cols in columns:
+                n[rows] += near.counts(rows, cols)
+        a, b = equal_rows(l["id"], r["other"])
+        np.add.at(n, a, tiles.holds(a, b) & ~near.settled(a, b))  # a row counts itself, however rounding has it
+        return pa.table({"id": l["id"], "n": n}).cast(kind)
 
     points = df.select("id", "vector")
     other = points.withColumnRenamed("id", "other")
-    parts = near_join(points, other, index or build_shells(points, eps), eps, ("id", "other"), count, f"id {id_type(df)}, n long", summed)
+    parts = near_blocks(points, other, index or build_shells(points, eps), eps, ("id", "other"), count, f"id {id_type(df)}, n long")
     return parts.groupBy("id").agg(F.sum("n").alias("n_neighbours"))
 
 
+def linked(n: int, m: int, near: Near, tiles: Segments) -> np.ndarray:
+    """A number per row of two blocks (``n``, then ``m``), the same for rows that near pairs link.
+
+    Rows of the largest component found so far need not meet each other, so
+    where most are linked soon only the few others are compared.
+    """
+    label = np.arange(n + m)
+
+    def link(a: np.ndarray, b: np.ndarray) -> None:
+        apart = label[a] != label[n + b]
+        if apart.any():
+            parts = np.unique(np.stack([label[a[apart]], label[n + b[apart]]], axis=1), axis=0)
+            member, smallest = stars(parts[:, 0], parts[:, 1])
+            to = np.arange(n + m)
+            to[member] = smallest
+            label[:] = to[label]
+
+    for _, _, columns in tiles:
+        most = np.bincount(label).argmax()
+        for rows, cols in columns:
+            at = np.arange(rows.start, rows.stop) if isinstance(rows, slice) else rows
+            to = np.arange(cols.start, cols.stop)
+            inside, within = label[at] == most, label[n + to] == most
+            if not inside.any() or not within.any():
+                link(*near.pairs(rows, cols))
+                most = np.bincount(label).argmax() if not inside.any() else most
+                continue
+            if not inside.all():
+                link(*near.pairs(at[~inside], to))
+            if not within.all():
+                link(*near.pairs(at[inside], to[~within]))
+            most = label[at[inside][0]]
+    return label
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)``: (id, component = smallest id), by alternating star steps.
 
@@ -189,8 +227,8 @@ def dbscan(df: DataFrame, eps: float = EPS, min_points: int = MIN_POINTS) -> Dat
     """Density clustering of ``df(id, vector)``: label = smallest core id of the cluster, -1 for noise.
 
     A block gives back a forest with the components of its links, not the
-    links, so dense regions do not blow up; the forests joined have the same
-    components.
+    links, so dense regions do not blow up, and rows that are linked already
+    are not compared; the forests joined have the same components.
     """
     points = df.select("id", "vector")
     index = build_shells(points, eps)
@@ -198,34 +236,37 @@ def dbscan(df: DataFrame, eps: float = EPS, min_points: int = MIN_POINTS) -> Dat
     core = counted.filter(F.col("n_neighbours") >= min_points).select("id", "vector")
     others = core.select(F.col("id").alias("other"), "vector")
 
-    def links(_, l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        near = distances(matrix(l["vector"]), matrix(r["vector"])) <= eps
-        rows, cols = np.nonzero(near)
-        a, b = stars(rows, cols + len(l))
-        if not len(a):
-            return pd.DataFrame({"a": l["id"][:0], "b": r["other"][:0]})
-        ids = np.concatenate([l["id"].to_numpy(), r["other"].to_numpy()])
-        return pd.DataFrame({"a": ids[a], "b": ids[b]})
-
-    def forest(found: pd.DataFrame) -> pd.DataFrame:
-        a, b = stars(found["a"].to_numpy(), found["b"].to_numpy())
-        return pd.DataFrame({"a": a, "b": b})
-
-    edges = near_join(core, others, index, eps, ("id", "other"), links, f"a {id_type(df)}, b {id_type(df)}", forest)
+    def links(l: pa.Table, r: pa.Table, near: Near, tiles: Segments, kind: pa.Schema) -> pa.Table:
+        label = linked(len(l), len(r), near, tiles)
+        ids = pa.concat_arrays([c for side in (l["id"], r["other"]) for c in side.chunks])
+        # Each member of a component with the smallest id in it.
+        smallest = np.full(len(label), NONE)
+        by_id = ranks(pa.chunked_array([ids]))
+        np.minimum.at(smallest, label, by_id)
+        at = np.empty(len(ids), np.int64)
+        at[by_id] = np.arange(len(ids))
+        first = at[smallest[label]]
+        members = np.flatnonzero(first != np.arange(len(ids)))
+        return pa.table({"a": ids.take(pa.array(members)), "b": ids.take(pa.array(first[members]))}).cast(kind)
+
+    edges = near_blocks(core, others, index, eps, ("id", "other"), links, f"a {id_type(df)}, b {id_type(df)}")
     grouped = components(edges)
     labelled = core.select("id").join(grouped, "id", "left").select("id", F.coalesce("component", "id").alias("label"))
 
-    def border(_, l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        near = distances(matrix(l["vector"]), matrix(r["vector"])) <= eps
-        found, labels = near.any(axis=1), r["label"].to_numpy()
-        return pd.DataFrame({"id": l["id"].to_numpy()[found], "label": [min(labels[row]) for row in near[found]]})
+    def border(l: pa.Table, r: pa.Table, near: Near, tiles: Segments, kind: pa.Schema) -> pa.Table:
+        by_label = ranks(r["label"])
+        lowest = np.full(len(l), NONE)
+        for _, _, columns in tiles:
+            for rows, cols in columns:
+                a, b = near.pairs(rows, cols)  # few: a row of the border has fewer near rows than make a core
+                np.minimum.at(lowest, a, by_label[b])
+        found = np.flatnonzero(lowest != NONE)
+        at = np.argsort(by_label, kind="stable")[lowest[found]]
+        return pa.table({"id": l["id"].take(pa.array(found)), "label": r["label"].take(pa.array(at))}).cast(kind)
 
     rest = counted.filter(F.col("n_neighbours") < min_points).select("id", "vector")
     core_labels = others.join(labelled.withColumnRenamed("id", "other"), "other")
-    def lowest(found: pd.DataFrame) -> pd.DataFrame:
-        return found.groupby("id", as_index=False)["label"].min()
-
-    edge_points = near_join(rest, core_labels, index, eps, ("id", "other"), border, f"id {id_type(df)}, label {id_type(df)}", lowest)
+    edge_points = near_blocks(rest, core_labels, index, eps, ("id", "other"), border, f"id {id_type(df)}, label {id_type(df)}")
     edge_points = edge_points.groupBy("id").agg(F.min("label").alias("label"))
     known = labelled.unionByName(edge_points)
     return counted.select("id", "n_neighbours").join(known, "id", "left").select(

@@ -22,10 +22,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.operators.blocks import VISITS, distances, in_groups, listed_join, matrix
+from wayfare.operators.blocks import GROUPS, distances, in_groups, listed_blocks, listed_join, matrix, met_lists, vectors, visits
+from wayfare.operators.nearest import Near, Segments
 
 #: Rows per cell aimed at; more pivots than the bound are never used, cells and their blocks grow instead.
 CELL_ROWS, MAX_PIVOTS = 256, 1024
@@ -33,6 +35,8 @@ CELL_ROWS, MAX_PIVOTS = 256, 1024
 CHOICES = 8
 #: Nearest pivots of a row whose planes are tried.
 PLANES = 8
+#: Shells of a cell; where the furthest row asks for more of width eps, they are wider.
+MAX_SHELLS = 16
 #: Rows whose reach is found at a time.
 REACH_ROWS = 512
 #: Distances are counted as closer by this share of their size, for rounding.
@@ -46,6 +50,11 @@ class Shells:
     width: float
     last: np.ndarray  # per pivot, the last shell that holds a row; -1 where none does
 
+    @property
+    def lists(self) -> int:
+        """Shells of all cells."""
+        return len(self.pivots) * (int(self.last.max()) + 1)
+
 
 def choose(df: DataFrame, n: int, seed: int = 42) -> np.ndarray:
     """``n`` pivots from a bounded sample: each row is the further from those chosen before the likelier it is the next."""
@@ -77,10 +86,16 @@ def stored(df: DataFrame, pivots: np.ndarray, width: float) -> DataFrame:
 
 
 def build(df: DataFrame, eps: float, n_pivots: int | None = None) -> Shells:
-    """The index for joins of ``df(id, vector)`` within ``eps``."""
+    """The index for joins of ``df(id, vector)`` within ``eps``; a cell is cut into ``MAX_SHELLS`` at most."""
     n = df.count()
     pivots = choose(df, n_pivots or min(MAX_PIVOTS, max(2, n // CELL_ROWS))) if n else np.zeros((1, 1))
-    width = eps if eps > 0 else 1.0
+
+    @F.pandas_udf("double")
+    def apart(vectors: pd.Series) -> pd.Series:
+        return pd.Series([], dtype=float) if len(vectors) == 0 else pd.Series(distances(matrix(vectors), pivots).min(axis=1))
+
+    furthest = df.select(apart("vector").alias("a")).agg(F.max("a")).first()[0] or 0.0
+    width = max(eps if eps > 0 else 1.0, furthest / MAX_SHELLS)
     last = np.full(len(pivots), -1)
     for r in stored(df, pivots, width).groupBy("_cell").agg(F.max("_shell").alias("s")).collect():  # a row per pivot
         last[r["_cell"]] = r.s
@@ -93,39 +108,40 @@ def _list(index: Shells, cell, shell):
 
 
 def _reach(index: Shells, eps: float):
-    """A UDF: the shells of all cells, by their numbers, that can hold a row within ``eps``."""
+    """A UDF: the shells of all cells that can hold a row within ``eps``, as bits in the order of ``_list``."""
     pivots, between, width, last = index.pivots, index.between, index.width, index.last
     planes = min(PLANES, len(pivots))
     shells = np.arange(max(int(last.max()), 0) + 1)
 
-    def reach(vectors: np.ndarray) -> list[np.ndarray]:
+    def reach(vectors: np.ndarray) -> np.ndarray:
         apart = distances(vectors, pivots)
         slack = ROUNDING * (1 + apart.max(axis=1, keepdims=True))
         beyond = np.zeros_like(apart)  # distance to the furthest plane that parts the row from a cell
-        for q in np.argsort(apart, axis=1, kind="stable")[:, :planes].T:
+        squares, longest = apart ** 2, 1e-3 * apart.max()
+        for q in np.argpartition(apart, planes - 1, axis=1)[:, :planes].T:
             gap = between[q]
-            own = apart[np.arange(len(q)), q][:, None]
-            far = gap > 1e-3 * apart.max()  # close pivots would blow rounding up
-            beyond = np.maximum(beyond, np.divide(apart ** 2 - own ** 2, 2 * gap, out=np.zeros_like(apart), where=far))
+            own = squares[np.arange(len(q)), q][:, None]
+            far = gap > longest  # close pivots would blow rounding up
+            beyond = np.maximum(beyond, np.divide(squares - own, 2 * gap, out=np.zeros_like(apart), where=far))
         low = np.maximum(np.floor((apart - eps - slack) / width), 0).astype(int)
         high = np.minimum(np.floor((apart + eps + slack) / width).astype(int), last[None, :])
         high = np.where(beyond > eps + slack, -1, high)
         met = (low[:, :, None] <= shells) & (shells <= high[:, :, None])
-        return [np.flatnonzero(row) for row in met]  # in the order of _list
+        return met.reshape(len(met), -1)
 
-    @F.pandas_udf(VISITS)
-    def visits(vectors: pd.Series) -> pd.Series:
+    @F.pandas_udf("binary")
+    def bits(vectors: pd.Series) -> pd.Series:
         if len(vectors) == 0:
             return pd.Series([], dtype=object)
-        points = matrix(vectors)
-        return in_groups(row for at in range(0, len(points), REACH_ROWS) for row in reach(points[at:at + REACH_ROWS]))
+        parts = [vectors.iloc[at:at + REACH_ROWS] for at in range(0, len(vectors), REACH_ROWS)]
+        return pd.concat([in_groups(reach(matrix(part))) for part in parts], ignore_index=True)
 
-    return visits("vector")
+    return bits("vector")
 
 
 def looking(df: DataFrame, index: Shells, eps: float) -> DataFrame:
     """``df`` with the cells and shells that can hold a row within ``eps`` of each row, for ``listed_join``."""
-    return df.withColumn("_visits", _reach(index, eps))
+    return df.withColumn("_all", _reach(index, eps)).withColumn("_visits", visits(F.col("_all"), index.lists)).drop("_all")
 
 
 def listed(df: DataFrame, index: Shells) -> DataFrame:
@@ -142,8 +158,32 @@ def near_join(left: DataFrame, right: DataFrame, index: Shells, eps: float, ids:
     return listed_join(looking(left, index, eps), listed(right, index), [], ids, fn, schema, fold)
 
 
+def near_blocks(left: DataFrame, right: DataFrame, index: Shells, eps: float, ids: tuple[str, str], fn, schema: str) -> DataFrame:
+    """``fn(l, r, near, tiles, schema)`` for blocks of rows that can lie within ``eps`` of each other; every such pair is in one tile.
+
+    ``l`` and ``r`` are Arrow tables, ``near`` tells which pairs are, and ``tiles`` are ``nearest.Segments``.
+    """
+    def block(_, l: pa.Table, r: pa.Table, kind: pa.Schema) -> pa.Table:
+        lists = r["_list"].to_numpy()
+        order = np.argsort(lists, kind="stable")
+        r = r.take(pa.array(order))
+        ends = np.flatnonzero(np.diff(lists[order], append=-1)) + 1
+        met = met_lists(b"".join(l["_bits"].to_pylist()), len(l), lists[order][ends - 1])
+        return fn(l, r, Near(vectors(l["vector"]), vectors(r["vector"]), eps), Segments(len(l), len(r), met, ends), kind)
+
+    return listed_blocks(looking(left, index, eps), listed(right, index), [], ids, block, schema)
+
+
 def pairs_met(left: DataFrame, right: DataFrame, index: Shells, eps: float) -> int:
     """Pairs whose distance ``near_join`` computes."""
-    sizes = listed(right, index).groupBy("_list").agg(F.count("*").alias("n"))
-    met = looking(left, index, eps).select(F.explode("_visits").alias("v")).select(F.explode("v._lists").alias("_list"))
-    return met.join(sizes, "_list").agg(F.sum("n")).first()[0] or 0
+    sizes = np.zeros(index.lists, dtype=np.int64)
+    for r in listed(right, index).groupBy("_list").agg(F.count("*").alias("n")).collect():  # a row per shell
+        sizes[r["_list"]] = r.n
+
+    @F.pandas_udf("long")
+    def met(groups: pd.Series, bits: pd.Series) -> pd.Series:
+        lists = [np.arange(g, len(sizes), GROUPS) for g in range(GROUPS)]
+        return pd.Series([int(sizes[lists[g]][met_lists(b, 1, lists[g])[0]].sum()) for g, b in zip(groups, bits)], dtype="int64")
+
+    seen = looking(left, index, eps).select(F.explode("_visits").alias("v"))
+    return seen.agg(F.sum(met("v._group", "v._bits"))).first()[0] or 0
