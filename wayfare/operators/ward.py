@@ -19,20 +19,30 @@ from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from wayfare.operators.blocks import block_join, matrix
+from wayfare.operators.blocks import ranks, vectors, whole_join
 from wayfare.operators.cluster import SEED, components, silhouette_squared
 from wayfare.operators.features import mean_vector
+from wayfare.operators.nearest import NONE, Segments, best_rows, product, products
 from wayfare.session import cut_lineage
 
-#: So many clusters are joined in one task, which compares ``TILE_ROWS`` of them with all at a time.
-FINISH_ROWS, TILE_ROWS = 16_384, 256
+#: As many pairs of clusters as so many have are compared in one task; more are compared over all tasks.
+FINISH_ROWS = 32_768
+#: Most bytes of the clusters that one task joins; more are joined by rounds over all tasks first.
+TASK_BYTES = 512 << 20
+#: Others that a cluster keeps, and clusters whose costs to them are found at a time.
+KNOWN, TILE_ROWS = 16, 4096
 _MERGES = "id long, gone long, increase double, n long, round int"
+_LEFT = "centre array<double>, near array<long>, bound double"
+_STATE = [part.split()[0] for part in f"{_MERGES}, {_LEFT}".split(", ")]
 
 
 def row_features(df: DataFrame) -> DataFrame:
@@ -55,27 +65,77 @@ def increases(n: np.ndarray, x: np.ndarray, m: np.ndarray, y: np.ndarray) -> np.
     return np.maximum(apart, 0.0) * (n[:, None] * m[None, :] / (n[:, None] + m[None, :]))
 
 
-def _nearest(_, l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-    r = r.sort_values("other")
-    cost = increases(l["n"].to_numpy(float), matrix(l["centre"]), r["n"].to_numpy(float), matrix(r["centre"]))
-    cost[l["id"].to_numpy()[:, None] == r["other"].to_numpy()[None, :]] = np.inf
-    best = cost.argmin(axis=1)
-    found = pd.DataFrame({"id": l["id"], "nearest": r["other"].to_numpy()[best], "increase": cost[np.arange(len(l)), best]})
-    return found[np.isfinite(found["increase"])]
+class Costs:
+    """What joining a cluster with another adds, for ``best_rows``: the score is the cost with its sign turned."""
 
+    def __init__(self, n: np.ndarray, x: np.ndarray, m: np.ndarray, y: np.ndarray):
+        self.n, self.x, self.m, self.y = n, x, m, y
+        self.own, self.others = ((m * m).sum(1) for m in (x, y))
+        middle = y.mean(axis=0)
+        a, b = x - middle, y - middle
+        self.squares = (a * a).sum(1)
+        longest = self.squares.max(initial=0.0), (b * b).sum(1).max(initial=0.0)
+        self.slack = (a.shape[1] + 12) * 2.0 ** -23 * (2 * np.sqrt(np.prod(longest)) + longest[1]) + 2.0 ** -20 * longest[0]
+        # |x|^2 less the squared distance, the length of y as one more dimension
+        self.left = np.concatenate([2 * a, np.full((len(a), 1), -1.0)], axis=1).astype(np.float32)
+        self.right = np.concatenate([b, (b * b).sum(1)[:, None]], axis=1).astype(np.float32)
 
-def _nearest_of_blocks(found: pd.DataFrame) -> pd.DataFrame:
-    order = np.lexsort((found["nearest"].to_numpy(), found["increase"].to_numpy(), found["id"].to_numpy()))
-    return found.iloc[order].drop_duplicates("id")
+    def rough(self, rows, cols):
+        return product(self.left[rows], self.right[cols])
+
+    def least(self, floor: np.ndarray, rows, cols) -> np.ndarray:
+        n, m = self.n[rows], self.m[cols].min()
+        return self.squares[rows] + floor * (1 + 2.0 ** -20) * (n + m) / (n * m) - self.slack
+
+    def below(self, score: np.ndarray) -> np.ndarray:
+        return score * (1 + 1e-9) - self.slack * 1e-6
+
+    def dense(self, rows, cols) -> np.ndarray:
+        return -increases(self.n[rows], self.x[rows], self.m[cols], self.y[cols])
+
+    def pairs(self, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+        apart = self.own[rows] + self.others[cols] - 2.0 * products(self.x, self.y, rows, cols)
+        return -np.maximum(apart, 0.0) * (self.n[rows] * self.m[cols] / (self.n[rows] + self.m[cols]))
+
+
+def _cost(n: np.ndarray, x: np.ndarray, m: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``increases`` of each cluster and the one (or those) beside it."""
+    apart = x - y
+    return np.einsum("...j,...j->...", apart, apart) * (n * m / (n + m))
+
+
+def _closest(n: np.ndarray, x: np.ndarray, m: np.ndarray, y: np.ndarray, rank: np.ndarray, k: int):
+    """The ``k`` clusters of least cost for each of one side, by ``rank``; equal costs go to the smaller."""
+    order = np.lexsort((rank, m))  # sizes of a tile lie close to each other
+    return best_rows(Costs(n, x, m[order], y[order]), Segments(len(n), len(m)), k, rank[order])
+
+
+def _nearest(k: int):
+    def nearest(_, l: pa.Table, r: pa.Table, kind: pa.Schema) -> pa.Table:
+        ids = r["other"].to_numpy()
+        by_id = np.argsort(ids, kind="stable")
+        best = _closest(l["n"].to_numpy().astype(float), vectors(l["centre"]), r["n"].to_numpy().astype(float), vectors(r["centre"]), ranks(r["other"]), k + 1)
+        rows, entry = np.nonzero(best.at != NONE)
+        found = pa.table({"id": l["id"].to_numpy()[rows], "nearest": ids[by_id[best.at[rows, entry]]], "increase": -best.score[rows, entry] + 0.0})
+        return found.filter(pc.not_equal(found["id"], found["nearest"])).cast(kind)
+
+    return nearest
+
+
+def _asked(live: DataFrame, k: int) -> DataFrame:
+    """(id, least): for the clusters that know no others, the ``k`` of least cost as (increase, nearest), in order."""
+    open_ = live.where("near IS NULL").select("id", "n", "centre")
+    others = live.select(F.col("id").alias("other"), "n", "centre")
+    found = whole_join(open_, others, [], ("id", "other"), _nearest(k), "id long, nearest long, increase double", by_bytes=True)
+    best = found.groupBy("id").agg(F.slice(F.sort_array(F.collect_list(F.struct("increase", "nearest"))), 1, k).alias("least"))
+    return open_.join(best, "id", "left")
 
 
 def _with_nearest(live: DataFrame) -> DataFrame:
     """``live`` with the nearest cluster of those that have none noted; equal distances go to the smaller id."""
-    open_ = live.where("nearest IS NULL").select("id", "n", "centre")
-    others = live.select(F.col("id").alias("other"), "n", "centre")
-    found = block_join(open_, others, [], ("id", "other"), _nearest, "id long, nearest long, increase double", fold=_nearest_of_blocks)
-    best = found.groupBy("id").agg(F.min(F.struct("increase", "nearest")).alias("b")).select("id", "b.nearest", "b.increase")
-    return cut_lineage(live.where("nearest IS NOT NULL").unionByName(open_.join(best, "id")))
+    asked = _asked(live.withColumn("near", F.col("nearest")), 1).select(
+        "id", "n", "centre", F.col("least")[0]["nearest"].alias("nearest"), F.col("least")[0]["increase"].alias("increase"))
+    return cut_lineage(live.where("nearest IS NOT NULL").unionByName(asked))
 
 
 def _pairs(live: DataFrame) -> DataFrame:
@@ -103,41 +163,141 @@ def _joined(live: DataFrame, pairs: DataFrame) -> DataFrame:
     return cut_lineage(kept.unionByName(made))
 
 
-def _finish(first_round: int):
-    """All joins of the clusters that are left, in the same rounds; only those whose nearest may have changed look anew."""
-    def finish(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("id")
-        ids, n, x = rows["id"].to_numpy(), rows["n"].to_numpy(float), matrix(rows["centre"])
-        alive, out, number = np.ones(len(ids), bool), [], first_round
-        nearest, cost = np.zeros(len(ids), int), np.full(len(ids), np.inf)
-        asking = np.arange(len(ids))
-        while alive.sum() > 1:
-            at = np.flatnonzero(alive)
-            for tile in (asking[i:i + TILE_ROWS] for i in range(0, len(asking), TILE_ROWS)):
-                found = increases(n[tile], x[tile], n[at], x[at])
-                found[np.arange(len(tile)), np.searchsorted(at, tile)] = np.inf
-                best = found.argmin(axis=1)
-                nearest[tile], cost[tile] = at[best], found[np.arange(len(tile)), best]
-            low = at[(nearest[nearest[at]] == at) & (at < nearest[at])]
-            if not len(low):
-                a = at[cost[at].argmin()]
-                low = np.array([min(a, nearest[a])])
-                cost[low], nearest[low] = cost[a], max(a, nearest[a])
-            high = nearest[low]
-            out += [(ids[a], ids[b], cost[a], int(n[a] + n[b]), number) for a, b in zip(low, high)]
-            x[low] = (x[low] * n[low, None] + x[high] * n[high, None]) / (n[low] + n[high])[:, None]
-            n[low] += n[high]
-            alive[high] = False
-            joined = np.zeros(len(ids), bool)
-            joined[low] = joined[high] = True
-            asking = np.flatnonzero(alive & (joined | joined[nearest]))
-            number += 1
-        return pd.DataFrame(out, columns=[c.split()[0] for c in _MERGES.split(", ")])
-
-    return finish
-
-
-def merges(features: DataFrame, finish_rows: int = FINISH_ROWS) -> DataFrame:
+class Known:
+    """Clusters and, for each, others that come first for joining; all that are not among them cost ``bound`` or more.
+
+    What a joined cluster knows is what its parts knew. Its bound follows from theirs by the rule that gives a joined
+    cluster's costs from those of its parts (Lance and Williams), at the size of the third for which it is least.
+    """
+
+    def __init__(self, ids: np.ndarray, n: np.ndarray, x: np.ndarray, others: np.ndarray, bound: np.ndarray, first_round: int):
+        """``others``: places in ``ids`` (clusters x others, -1 for none); ``ids`` ascend."""
+        self.ids, self.n, self.x, self.others, self.bound = ids, n, x, others, bound
+        self.root, self.alive = np.arange(len(ids)), np.ones(len(ids), bool)
+        self.nearest, self.cost = np.full(len(ids), -1), np.full(len(ids), np.inf)
+        self.number, self.out = first_round, []
+        self.look(np.arange(len(ids)))
+
+    def _costs(self, at: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The clusters that ``others`` have become, and the costs; none for what is not there or has become the same."""
+        now = np.where(others < 0, -1, self.root[others])
+        now[now == at[:, None]] = -1
+        cost = np.empty(now.shape)
+        for i in range(0, len(at), TILE_ROWS):
+            a, b = at[i:i + TILE_ROWS, None], now[i:i + TILE_ROWS]
+            cost[i:i + TILE_ROWS] = _cost(self.n[a], self.x[a], self.n[b], self.x[b])
+        cost[now < 0] = np.inf
+        return now, cost
+
+    def look(self, at: np.ndarray) -> None:
+        """The nearest of those known; equal costs go to the smaller id."""
+        if not len(at):
+            return
+        now, cost = self._costs(at, self.others[at])
+        self.cost[at] = least = cost.min(axis=1)
+        self.nearest[at] = np.where(cost == least[:, None], now, len(self.ids)).min(axis=1)
+
+    def sure(self) -> np.ndarray:
+        """Clusters whose nearest is known to be the nearest of all."""
+        return self.alive & (self.cost <= self.bound) & np.isfinite(self.cost)
+
+    def tell(self, at: np.ndarray, others: np.ndarray, bound: np.ndarray) -> None:
+        self.others[at], self.bound[at] = others, bound
+        self.look(at)
+
+    def join(self) -> bool:
+        """One round: all pairs that are each other's nearest; of rounding in a circle, the closest pair alone. False if too little is known."""
+        sure = self.sure()
+        at = np.flatnonzero(sure)
+        partner = self.nearest[at]
+        low = at[sure[partner] & (self.nearest[partner] == at) & (at < partner)]
+        if not len(low):
+            if not len(at) or len(at) < self.alive.sum():
+                return False
+            a = at[self.cost[at].argmin()]
+            b = self.nearest[a]
+            low, high = np.array([min(a, b)]), np.array([max(a, b)])
+            increase = self.cost[[a]]
+        else:
+            high, increase = self.nearest[low], self.cost[low]
+        n, m = self.n[low], self.n[high]
+        self.out.append((self.ids[low], self.ids[high], increase, n + m, np.full(len(low), self.number)))
+        one, two = self.bound[low], self.bound[high]
+        small, large = ((n + 1) * one + (m + 1) * two - increase) / (n + m + 1), one + two - increase
+        bound = np.minimum(small, large) * (1 - 1e-12)
+        self.x[low] = (self.x[low] * n[:, None] + self.x[high] * m[:, None]) / (n + m)[:, None]
+        self.n[low] += m
+        self.alive[high] = False
+        self.root[high] = low
+        self.root = self.root[self.root]
+        # The nearest of both parts' others, each once; what does not fit lowers the bound.
+        now, cost = self._costs(low, np.concatenate([self.others[low], self.others[high]], axis=1))
+        order = np.argsort(now, axis=1, kind="stable")
+        now, cost = np.take_along_axis(now, order, axis=1), np.take_along_axis(cost, order, axis=1)
+        twice = np.zeros(now.shape, bool)
+        twice[:, 1:] = now[:, 1:] == now[:, :-1]
+        cost[twice], now[twice] = np.inf, -1
+        order = np.argsort(cost, axis=1, kind="stable")
+        now, cost = np.take_along_axis(now, order, axis=1), np.take_along_axis(cost, order, axis=1)
+        k = self.others.shape[1]
+        self.others[low], self.bound[low] = now[:, :k], np.minimum(bound, cost[:, k])
+        self.nearest[low], self.cost[low] = now[:, 0], cost[:, 0]
+        joined = np.zeros(len(self.ids), bool)
+        joined[low] = joined[high] = True
+        changed = self.alive & ~joined
+        changed[changed] = joined[self.nearest[changed]]
+        self.look(np.flatnonzero(changed))
+        self.number += 1
+        return True
+
+    def ask(self, k: int) -> None:
+        """Those that know too little are compared with all."""
+        at, live = np.flatnonzero(self.alive & ~self.sure()), np.flatnonzero(self.alive)
+        best = _closest(self.n[at], self.x[at], self.n[live], self.x[live], live, k + 2)  # of these one is the cluster itself, one the bound
+        order = np.argsort(best.at == at[:, None], axis=1, kind="stable")
+        others, cost = np.take_along_axis(best.at, order, axis=1), -np.take_along_axis(best.score, order, axis=1)
+        self.tell(at, np.where(others[:, :k] == NONE, -1, others[:, :k]), cost[:, k])
+
+
+def _join_known(first_round: int, finish_rows: int, k: int):
+    """Joins of the clusters in one task as far as it is known which are the nearest; few are compared anew, until one is left."""
+    def join(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("id")
+        ids = rows["id"].to_numpy()
+        near = rows["near"].combine_chunks()
+        others = np.full((len(ids), k), -1)
+        sizes = np.diff(near.offsets.to_numpy())
+        at = np.searchsorted(ids, near.flatten().to_numpy())
+        others[np.arange(k) < sizes[:, None]] = at
+        known = Known(ids, rows["n"].to_numpy().astype(float), vectors(rows["centre"]).copy(), others, rows["bound"].to_numpy().copy(), first_round)
+        while known.alive.sum() > 1:
+            if not known.join():
+                live = int(known.alive.sum())
+                if live * (live - int(known.sure().sum())) > finish_rows ** 2:
+                    break
+                known.ask(k)
+        low, high, increase, n, number = map(np.concatenate, zip(*known.out))
+        joins = pa.table({"id": low, "gone": high, "increase": increase, "n": n.astype(np.int64), "round": number.astype(np.int32)})
+        live = np.flatnonzero(known.alive)
+        if len(live) == 1:
+            live = live[:0]
+        others = np.where(known.others[live] < 0, -1, known.root[known.others[live]])
+        others[others == live[:, None]] = -1
+        sure = known.sure()[live]
+        there = (others >= 0) & sure[:, None]
+        ends = np.concatenate([[0], there.sum(axis=1).cumsum()])
+        left = pa.table({
+            "id": ids[live], "n": known.n[live].astype(np.int64),
+            "centre": pa.ListArray.from_arrays(pa.array(np.arange(len(live) + 1) * known.x.shape[1], pa.int32()), pa.array(known.x[live].ravel())),
+            "near": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids[others[there]]), mask=pa.array(~sure)),
+            "bound": known.bound[live]})
+        return pa.concat_tables([joins, left], promote_options="default").select(_STATE).cast(kind)
+
+    kind = to_arrow_schema(StructType.fromDDL(f"{_MERGES}, {_LEFT}"))
+    return join
+
+
+def merges(features: DataFrame, finish_rows: int = FINISH_ROWS, known: int = KNOWN) -> DataFrame:
     """(id, gone, increase, n, round): every join of ``features(id, n, centre)`` down to one cluster.
 
     A cluster goes by the smallest id in it; ``gone`` joins ``id`` and makes a
@@ -145,15 +305,35 @@ def merges(features: DataFrame, finish_rows: int = FINISH_ROWS) -> DataFrame:
     usual height is the root of twice that). A join's increase is never smaller
     than those of the joins that made its parts, but for rounding.
     """
-    live = cut_lineage(features.select("id", "n", "centre", F.lit(None).cast("long").alias("nearest"), F.lit(None).cast("double").alias("increase")))
+    none = [F.lit(None).cast(kind).alias(c) for c, kind in (("nearest", "long"), ("increase", "double"))]
+    live = cut_lineage(features.select("id", "n", "centre", *none))
     rounds: list[DataFrame] = []
-    while live.count() > max(finish_rows, 1):
+    number = 0
+    n, width = live.agg(F.count("*"), F.max(F.size("centre"))).first()
+    while n * (width + 4 * known) * 8 > TASK_BYTES:
         live = _with_nearest(live)
         pairs = _pairs(live)
-        rounds.append(pairs.select("id", "gone", "increase", (F.col("n") + F.col("m")).alias("n"), F.lit(len(rounds)).alias("round")))
+        rounds.append(pairs.select("id", "gone", "increase", (F.col("n") + F.col("m")).alias("n"), F.lit(number).alias("round")))
         live = _joined(live, pairs)
-    last = live.select("id", "n", "centre").groupBy(F.lit("all")).applyInPandas(_finish(len(rounds)), _MERGES)
-    return cut_lineage(reduce(DataFrame.unionByName, [*rounds, last]))
+        n, number = live.count(), number + 1
+    live = live.select("id", "n", "centre", F.lit(None).cast("array<long>").alias("near"), F.lit(None).cast("double").alias("bound"))
+    while n > 1:
+        if n > finish_rows:
+            least = F.coalesce("least", F.array().cast("array<struct<increase:double,nearest:long>>"))
+            asked = _asked(live, known + 1).withColumn("least", least).select(
+                "id", "n", "centre", F.slice("least.nearest", 1, known).alias("near"),
+                F.coalesce(F.get("least", F.lit(known))["increase"], F.lit(float("inf"))).alias("bound"))
+            live = live.where("near IS NOT NULL").unionByName(asked)
+        else:
+            live = live.select("id", "n", "centre", F.coalesce("near", F.array().cast("array<long>")).alias("near"), F.coalesce("bound", F.lit(0.0)).alias("bound"))
+        done = cut_lineage(live.groupBy(F.lit("all")).applyInArrow(_join_known(number, finish_rows, known), f"{_MERGES}, {_LEFT}"))
+        rounds.append(done.where("gone IS NOT NULL").select("id", "gone", "increase", "n", "round"))
+        live = done.where("gone IS NULL").select("id", "n", "centre", "near", F.when(F.col("near").isNotNull(), F.col("bound")).alias("bound"))
+        n, last = done.agg(F.count_if(F.col("gone").isNull()), F.max("round")).first()
+        number = last + 1
+    if not rounds:
+        return cut_lineage(features.sparkSession.createDataFrame([], _MERGES))
+    return cut_lineage(reduce(DataFrame.unionByName, rounds))
 
 
 def cut(tree: DataFrame, starts: DataFrame, counts: Sequence[int]) -> DataFrame:
