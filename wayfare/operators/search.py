@@ -57,7 +57,9 @@ def _best_in_block(k: int):
         if "_bits" in l.column_names:
             met = met_lists(b"".join(l["_bits"].to_pylist()), len(l), r["_list"].to_numpy()[order][ends - 1])
         floor = l["floor"].fill_null(-np.inf).to_numpy().copy() if "floor" in l.column_names else None
-        return pa.table(found_pairs(best_rows(scores, Segments(len(l), len(r), met, ends), k, rank, floor), l, r)).cast(kind)
+        # Cells that were visited before must not give their rows again.
+        found = best_rows(scores, Segments(len(l), len(r), met, ends), k, rank, floor, only=True)
+        return pa.table(found_pairs(found, l, r)).cast(kind)
 
     return best
 
